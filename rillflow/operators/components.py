@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.operators.graph import Graph
-from rillflow.operators.joins import heaviest, salted_join
+from rillflow.operators.joins import ROWS_PER_CHUNK, heaviest, salted_join
 from rillflow.session import new_scratch
 from rillflow.sources.paths import delete
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
+def _large_star(pairs: DataFrame, skewed: bool) -> DataFrame:
     """Hang every larger neighbour of a vertex on the smallest vertex around it.
 
     ``pairs(hi, lo)`` has ``hi > lo``. No neighbour list is ever built: the
@@ -27,19 +27,25 @@ def _large_star(pairs: DataFrame) -> DataFrame:
         .groupBy("u")
         .agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
     )
-    hot = heaviest(smallest.select(F.col("u").alias("lo"), "n"))
     centers = smallest.select(F.col("u").alias("lo"), "m")
-    joined = salted_join(pairs, centers, ["lo"], by=["hi"], hot=hot)
+    if skewed:
+        hot = heaviest(smallest.select(F.col("u").alias("lo"), "n"))
+        joined = salted_join(pairs, centers, ["lo"], by=["hi"], hot=hot)
+    else:
+        joined = pairs.join(centers, "lo")
     return joined.select("hi", F.col("m").alias("lo")).distinct()
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
+def _small_star(pairs: DataFrame, skewed: bool) -> DataFrame:
     """Hang a vertex and its smaller neighbours on the smallest of them."""
     smallest = pairs.groupBy("hi").agg(
         F.min("lo").alias("m"), F.count(F.lit(1)).alias("n")
     )
-    hot = heaviest(smallest.select("hi", "n"))
-    joined = salted_join(pairs, smallest.select("hi", "m"), ["hi"], by=["lo"], hot=hot)
+    if skewed:
+        hot = heaviest(smallest.select("hi", "n"))
+        joined = salted_join(pairs, smallest.select("hi", "m"), ["hi"], by=["lo"], hot=hot)
+    else:
+        joined = pairs.join(smallest.select("hi", "m"), "hi")
     hung = F.array(
         F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
         F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
@@ -64,8 +70,11 @@ def stars(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     previous = None
     for number in range(max_rounds):
         path = f"{root}/round={number}"
-        contracted = pairs if number == 0 else _small_star(_large_star(pairs))
-        contracted.write.parquet(path)
+        if number:
+            # No vertex can be hot among fewer edges than one task takes.
+            skewed = previous[0] > ROWS_PER_CHUNK
+            pairs = _small_star(_large_star(pairs, skewed), skewed)
+        pairs.write.parquet(path)
         pairs = spark.read.schema("hi bigint, lo bigint").parquet(path)
         current = tuple(pairs.agg(*fingerprint).first())
         if number > 1:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillflow.operators.graph import Graph, build_graph
 from rillflow.operators.vocabulary import admit, kept_texts, new_words
-from rillflow.session import materialize, new_scratch
+from rillflow.session import materialize, new_scratch, over_cores
 from rillflow.sources.logs import good_lines, parse_lines
 
 UNKNOWN_PERSON = {"name": "John Doe", "age": -1}
@@ -41,7 +41,7 @@ def access_log(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract("props", "[0-9]+", 0), F.lit(' HTTP/1.0" '), status, F.lit(" "), size,
     )
     garbled = F.concat(F.lit("bad line "), F.col("event_id").cast("string"))
-    return table(spark, sf, "events").select(
+    return over_cores(table(spark, sf, "events"), "event_id").select(
         "event_id", F.when(F.col("value") < 1, garbled).otherwise(line).alias("line")
     )
 
@@ -98,7 +98,7 @@ def social_graph(spark: SparkSession, sf: str) -> Graph:
 def tagged_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the distinct words of their text as tags; equal texts are the same entity."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)")))
-    return table(spark, sf, "documents").select(
+    return over_cores(table(spark, sf, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"), F.col("text").alias("title"), F.col("lang").alias("artist"),
         words.alias("tags"),
     )

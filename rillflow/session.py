@@ -58,3 +58,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_scratch(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def over_cores(scan: DataFrame, key: str) -> DataFrame:
+    """Deal out a scan that has fewer splits than there are cores, by its key.
+
+    For work that is heavy per row. A table of many splits comes back as it is,
+    without a shuffle. Only for a plain scan: the splits are known from its plan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillflow.functions.binding import computed_once
+
 # Fixed value: the nine fields of a log line. Anchored at the start only.
 CLF_PATTERN = (
     r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
@@ -50,35 +52,31 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add the nine fields and ``ok`` to a table of raw lines.
 
     One replacement turns a matching line into its groups, so the pattern runs
-    once per line and not once per field. A line counts as bad when it does not
-    match, names no real time, or has a size that is no number; its fields are
-    then null.
+    once per line and not once per field, and a filter on a field reads the
+    finished column. A line counts as bad when it does not match, names no real
+    time, or has a size that is no number; its fields are then null.
     """
     groups = _SEPARATOR.join(f"${i}" for i in range(1, 10))
-    pieces = F.split(
-        F.regexp_replace(F.col(line), f"(?s){CLF_PATTERN}.*", groups), _SEPARATOR
-    )
-    split = lines.withColumn("_pieces", pieces)
-    typed = split.select(
-        *lines.columns,
-        (F.size("_pieces") == 9).alias("_matched"),
-        *[
-            F.try_element_at("_pieces", F.lit(i)).alias(f"_{name}")
-            for i, name in enumerate(FIELDS, 1)
-        ],
-    )
-    typed = typed.withColumn("_date_time", clf_time(F.col("_date_time"))).withColumn(
-        "_size", clf_size(F.col("_size"))
-    )
-    ok = F.coalesce(
-        F.col("_matched") & F.col("_date_time").isNotNull() & F.col("_size").isNotNull(),
-        F.lit(False),
+    pieces = F.split(F.regexp_replace(F.col(line), f"(?s){CLF_PATTERN}.*", groups), _SEPARATOR)
+    split = computed_once(lines, _pieces=pieces)
+    text = {
+        name: F.try_element_at("_pieces", F.lit(i)) for i, name in enumerate(FIELDS, 1)
+    }
+    typed = {
+        **text,
+        "date_time": clf_time(text["date_time"]),
+        "status": text["status"].try_cast("int"),
+        "size": clf_size(text["size"]),
+    }
+    bound = computed_once(
+        split,
+        lines.columns,
+        _matched=F.coalesce(F.size("_pieces") == len(FIELDS), F.lit(False)),
+        **{f"_{name}": column for name, column in typed.items()},
     )
-    typed = typed.withColumn("_status", F.col("_status").try_cast("int"))
-    return typed.withColumn("ok", ok).select(
-        *lines.columns,
-        "ok",
-        *[F.when(F.col("ok"), F.col(f"_{name}")).alias(name) for name in FIELDS],
+    ok = F.col("_matched") & F.col("_date_time").isNotNull() & F.col("_size").isNotNull()
+    return bound.select(
+        *lines.columns, ok.alias("ok"), *[F.when(ok, F.col(f"_{name}")).alias(name) for name in FIELDS]
     )
 
 
