@@ -75,7 +75,7 @@ def join_vertices(g: Graph, other: DataFrame, updates: Callable[[DataFrame], Map
     return Graph(joined.withColumns(changed).select(*g.vertices.columns), g.edges)
 
 
-def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst")) -> DataFrame:
+def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst"), **limits: int) -> DataFrame:
     """Edges with the attributes of their ends as structs ``src_attr`` and ``dst_attr``.
 
     Name only the ends that are needed: each one is a join on the edges. A vertex
@@ -87,7 +87,7 @@ def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst")) -> DataFrame:
         attributes = g.vertices.select(
             F.col("id").alias(end), F.struct(*g.attributes).alias(f"{end}_attr")
         )
-        result = salted_join(result, attributes, [end], by=[other], counted=g.edges)
+        result = salted_join(result, attributes, [end], by=[other], counted=g.edges, **limits)
     order = ["src", "dst", *g.edge_attributes, *[f"{end}_attr" for end in ends]]
     return result.select(*order)
 

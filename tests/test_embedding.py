@@ -1,0 +1,118 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from conftest import rows
+from rillflow.operators import embedding
+
+D, CONTEXT, RATE = 3, 2, 0.1
+
+
+def setup(seed=0, n_words=9):
+    rng = random.Random(seed)
+    words = {f"w{chr(97 + i)}": i for i in range(n_words)}
+    matrix = np.array([[rng.uniform(-1, 1) for _ in range(D)] for _ in words])
+    points = np.array([[rng.uniform(-1, 1) for _ in range(D)] for _ in words])
+    texts = []
+    for i in range(14):
+        known = rng.choices(list(words), k=rng.randint(0, 12))
+        texts.append((i, " ".join(w if rng.random() < 0.8 else "unknown" for w in known)))
+    texts += [(50, "wa"), (51, "nothing known"), (52, "wb wb wb wb"), (53, "")]
+    return words, points, matrix, texts
+
+
+def by_definition(words, points, matrix, texts):
+    """Text by text and occurrence by occurrence, with full dense targets."""
+    total = np.zeros_like(matrix)
+    moves = {}
+    for _, text in texts:
+        ids = [words[t] for t in re.split(r"\s+", text) if t in words]
+        for place, word in enumerate(ids):
+            near = [
+                ids[place + step]
+                for step in range(-CONTEXT, CONTEXT + 1)
+                if step and 0 <= place + step < len(ids)
+            ]
+            target = np.zeros(len(words))
+            target[near] = 1 / len(near) if near else 0
+            x = points[word]
+            p = np.exp(matrix @ x)
+            g = p / p.sum() - target
+            total += np.outer(g, x)
+            moves.setdefault(word, []).append(matrix.T @ g)
+    new_points = points.copy()
+    for word, found in moves.items():
+        new_points[word] -= RATE * np.mean(found, axis=0)
+    return new_points, matrix - RATE * total / len(texts)
+
+
+def frames(spark, words, points, matrix, texts):
+    vocab = spark.createDataFrame(
+        [(w, i, points[i].tolist()) for w, i in words.items()], "word string, id int, vector array<double>"
+    )
+    weights = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(matrix)], "id int, vector array<double>"
+    )
+    return spark.createDataFrame(texts, "doc_id bigint, text string"), vocab, weights
+
+
+def as_matrix(df):
+    return np.array([r.vector for r in df.orderBy("id").collect()])
+
+
+@pytest.mark.parametrize("block_rows", [None, 2, 4, 100])
+def test_step_against_definition(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(embedding, "SLICE_ROWS", 3)
+    words, points, matrix, texts = setup()
+    expected = by_definition(words, points, matrix, texts)
+    batch, vocab, weights = frames(spark, words, points, matrix, texts)
+    got = embedding.train_step(batch, vocab, weights, RATE, CONTEXT, D, block_rows=block_rows)
+    np.testing.assert_allclose(as_matrix(got[0]), expected[0], atol=1e-12)
+    np.testing.assert_allclose(as_matrix(got[1]), expected[1], atol=1e-12)
+
+
+def test_large_vocabulary_is_not_broadcast(spark):
+    words, points, matrix, texts = setup(3)
+    batch, vocab, _ = frames(spark, words, points, matrix, texts)
+    assert rows(embedding.occurrences(batch, vocab, broadcast_words=3)) == rows(
+        embedding.occurrences(batch, vocab)
+    )
+
+
+def test_targets(spark):
+    texts = spark.createDataFrame([(1, "wa x wb wa wa"), (2, "wc")], "doc_id bigint, text string")
+    vocab = spark.createDataFrame([("wa", 0), ("wb", 1), ("wc", 2)], "word string, id int")
+    targets = embedding.contexts(embedding.occurrences(texts, vocab), 2)
+    got = [(r.doc_id, r.pos, r.id, sorted(r.context), r.value) for r in targets.orderBy("doc_id", "pos").collect()]
+    assert got == [
+        (1, 0, 0, [0, 1], 0.5), (1, 2, 1, [0], 1 / 3), (1, 3, 0, [0, 1], 1 / 3), (1, 4, 0, [0, 1], 0.5),
+        (2, 0, 2, [], 0.0),
+    ]
+    totals = embedding.context_totals(targets).filter("id = 1")
+    assert [(r.context_id, r.weight) for r in totals.orderBy("context_id").collect()] == [(None, 1.0), (0, 1 / 3)]
+
+
+def test_large_exponents(spark):
+    rows_of = [(0, [800.0, 0.0]), (1, [-800.0, 1.0])]
+    vectors = spark.createDataFrame(rows_of, "id int, vector array<double>")
+    sums = {r.id: r.log_sum for r in embedding.log_sums(vectors, vectors, 2, block_rows=1).collect()}
+    assert sums == {0: 640000.0, 1: 640001.0}
+
+
+def test_nothing_to_do(spark):
+    words, points, matrix, texts = setup()
+    batch, vocab, weights = frames(spark, words, points, matrix, texts)
+    assert embedding.train_step(batch.limit(0), vocab, weights, RATE, CONTEXT, D) == (vocab, weights)
+    unknown = embedding.train_step(batch.filter("doc_id = 51"), vocab, weights, RATE, CONTEXT, D)
+    np.testing.assert_array_equal(as_matrix(unknown[0]), points)
+    np.testing.assert_array_equal(as_matrix(unknown[1]), matrix)
+
+
+def test_tokens_are_split_on_the_executors(spark):
+    words, points, matrix, texts = setup()
+    batch, vocab, _ = frames(spark, words, points, matrix, texts)
+    plan = embedding.contexts(embedding.occurrences(batch, vocab), CONTEXT)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("hashpartitioning(doc_id") == 1  # the texts, not their words

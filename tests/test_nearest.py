@@ -1,0 +1,63 @@
+import math
+import random
+
+import pytest
+
+from conftest import rows
+from rillflow.operators import nearest
+
+WORDS = [("a", [0.0, 0.0]), ("b", [0.0, 1.0]), ("c", [0.0, 1.0]), ("d", [3.0, 4.0])]
+
+
+def vectors(spark, data=WORDS):
+    return spark.createDataFrame(data, "word string, vector array<double>")
+
+
+def test_one_word(spark):
+    got = [tuple(r) for r in nearest.nearest(vectors(spark), "a", 2).collect()]
+    assert got == [("b", 1.0, 80), ("c", 1.0, 80)]
+    more = nearest.nearest(vectors(spark), "b", 10).collect()
+    assert [r.word for r in more] == ["c", "a", "d"] and more[0].percent == 100
+    assert nearest.nearest(vectors(spark), "zzz", 3).collect() == []
+    same = nearest.nearest(vectors(spark, [("a", [1.0]), ("b", [1.0])]), "a", 1).collect()
+    assert [tuple(r) for r in same] == [("b", 0.0, None)]
+
+
+def test_requests(spark):
+    lines = spark.createDataFrame([("Dog",), ("DOG 3",), ("dog x",), ("dog 0",), ("a b c",)], "line string")
+    got = [tuple(r) for r in nearest.parse_requests(lines.coalesce(1)).collect()]
+    assert got == [
+        ("dog", 5, True), ("dog", 3, True), ("dog", 0, False), ("dog", 0, False), ("a", 5, False)
+    ]
+
+
+@pytest.mark.parametrize("blocks", [{}, {"queries_per_block": 2, "vectors_per_block": 9}])
+def test_many_words(spark, blocks):
+    rng = random.Random(1)
+    data = [(f"w{i:02d}", [float(rng.randint(0, 3)) for _ in range(3)]) for i in range(60)]
+    asked = [("w00", 3), ("w01", 100), ("w00", 1), ("nobody", 2), ("w05", 7)]
+    queries = spark.createDataFrame(asked + [("w00", 3)], "word string, n int")
+    got = nearest.nearest_many(vectors(spark, data), queries, **blocks)
+    assert [tuple(r) for r in got.filter("not known").collect()] == [
+        ("nobody", 2, False, None, None, None, None)
+    ]
+    expected = []
+    points = dict(data)
+    for word, n in asked:
+        if word in points:
+            distances = {w: math.dist(points[word], v) for w, v in data}
+            farthest = max(distances.values())
+            order = sorted((d, w) for w, d in distances.items() if w != word)[:n]
+            expected += [
+                (word, n, rank, w, round(d, 9), math.floor(100 * (1 - d / farthest)))
+                for rank, (d, w) in enumerate(order, 1)
+            ]
+    found = got.filter("known").selectExpr("query", "n", "rank", "word", "round(distance, 9)", "percent")
+    assert rows(found) == sorted(expected)
+
+
+def test_one_and_many_agree(spark):
+    one = nearest.nearest(vectors(spark), "a", 3).collect()
+    queries = spark.createDataFrame([("a", 3)], "word string, n int")
+    many = nearest.nearest_many(vectors(spark), queries).orderBy("rank").collect()
+    assert [(r.word, r.distance, r.percent) for r in one] == [(r.word, r.distance, r.percent) for r in many]

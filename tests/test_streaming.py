@@ -1,0 +1,156 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from rillflow.sources import keyed, streams
+from rillflow.streaming import running_mean, training
+
+
+def lines(folder, name, *texts):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(texts) + "\n")
+
+
+def run_mean(spark, root):
+    pairs = streams.keyed_numbers(streams.text_lines(spark, str(root / "in"), files_per_batch=1))
+    query = running_mean.write_running_mean(pairs, str(root / "avg"), str(root / "cp"), every=None)
+    query.awaitTermination()
+    return query
+
+
+def test_running_mean_over_restarts(spark, tmp_path):
+    lines(tmp_path / "in", "1", "a,1", "b,10", "a,2")
+    run_mean(spark, tmp_path)
+    table = str(tmp_path / "avg")
+    assert rows(running_mean.read_running_mean(spark, table)) == [("a", 1.5), ("b", 10.0)]
+    lines(tmp_path / "in", "2", "a,6,extra", "c,x", "c")
+    query = run_mean(spark, tmp_path)
+    assert rows(running_mean.read_running_mean(spark, table)) == [("a", 3.0), ("b", 10.0)]
+    seen = [p["observedMetrics"]["pairs"] for p in query.recentProgress if "pairs" in p["observedMetrics"]]
+    assert sum(m["n_bad"] for m in seen) == 2
+    lines(tmp_path / "in", "3", "c,5")
+    run_mean(spark, tmp_path)
+    got = running_mean.read_running_mean(spark, table)
+    assert rows(got) == [("a", 3.0), ("b", 10.0), ("c", 5.0)]
+    assert got.schema["count"].dataType.simpleString() == "float"
+
+
+def test_trace_over_restarts(spark, tmp_path):
+    data = [(i, "a" if i % 3 else "b", float(i)) for i in range(40)]
+    expected, totals = [], {}
+    for i, word, value in data:
+        total, n = totals.get(word, (0.0, 0))
+        totals[word] = (total + value, n + 1)
+        expected.append((i, word, (total + value) / (n + 1)))
+    for part in (data[:15], data[15:18], data[18:]):
+        spark.createDataFrame(
+            [(i, f"{w},{v}") for i, w, v in reversed(part)], "event_id bigint, value string"
+        ).write.mode("append").parquet(str(tmp_path / "in"))
+        pairs = streams.keyed_numbers(
+            streams.parquet_rows(spark, str(tmp_path / "in"), "event_id bigint, value string")
+        )
+        running_mean.write_mean_trace(
+            pairs, "event_id", str(tmp_path / "out"), str(tmp_path / "cp"), every=None, width=4
+        ).awaitTermination()
+    got = running_mean.read_mean_trace(spark, str(tmp_path / "out"))
+    assert rows(got.select("event_id", "word", F.round("mean", 9))) == [
+        (i, w, round(m, 9)) for i, w, m in expected
+    ]
+    state = keyed.read_table(spark, str(tmp_path / "out" / "state"), ["word"])
+    assert rows(state) == sorted((w, t, n) for w, (t, n) in totals.items())
+
+
+def test_keyed_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int"
+    keyed.create_table(spark, path, schema)
+    assert keyed.read_table(spark, path, ["k"]).columns == ["k", "v"]
+
+    def put(batch, *pairs):
+        keyed.upsert(spark.createDataFrame(list(pairs), schema), path, ["k"], batch, full_every=3)
+
+    def now():
+        return rows(keyed.read_table(spark, path, ["k"]))
+
+    put(0, ("a", 1), ("b", 1))
+    put(1, ("a", 2))
+    put(1, ("a", 2))  # replayed
+    assert now() == [("a", 2), ("b", 1)]
+    put(2, ("c", 7))
+    put(3, ("b", 5))
+    put(3, ("b", 5))  # a replayed full batch does not read itself
+    put(4, ("a", None))
+    assert {(r.k, r.v) for r in keyed.read_table(spark, path, ["k"]).collect()} == {
+        ("a", None), ("b", 5), ("c", 7)
+    }
+    keyed.create_table(spark, path, schema)  # leaves an existing table alone
+    assert keyed.read_table(spark, path, ["k"]).count() == 3
+    assert rows(keyed.read_table(spark, path, ["k"], before=2)) == [("a", 2), ("b", 1)]
+
+
+def test_kafka_needs_its_package(spark):
+    reader = streams.kafka_reader(spark, "localhost:9092", "avg", startingOffsets="earliest")
+    with pytest.raises(Exception, match="kafka"):
+        reader.load()
+    messages = spark.createDataFrame([(bytearray(b"k"), bytearray(b"a,1"))], "key binary, value binary")
+    pairs = streams.keyed_numbers(streams.kafka_text(messages).select("value"))
+    assert rows(pairs) == [("a", 1.0)]
+
+
+SETTINGS = training.Settings(
+    length=3, admit_above=2, decay_every=4, snapshot_every=3, every=None, rate=0.1
+)
+
+
+def feed(spark, root, first_id, *texts, lang="en"):
+    spark.createDataFrame(
+        [(first_id + i, t, lang, None) for i, t in enumerate(texts)], streams.SHORT_TEXT_SCHEMA
+    ).coalesce(1).write.mode("append").parquet(str(root / "in"))
+    stream = streams.parquet_rows(spark, str(root / "in"), streams.SHORT_TEXT_SCHEMA)
+    training.train_stream(
+        stream, str(root / "state"), str(root / "cp"), SETTINGS, snapshots=str(root / "snap")
+    ).awaitTermination()
+
+
+def test_training_stream(spark, tmp_path):
+    state = str(tmp_path / "state")
+    feed(spark, tmp_path, 0, "dog cat", "dog the dog")  # batch 0: dog 1, cat 1
+    feed(spark, tmp_path, 10, "dog bird", lang="en")  # batch 1: dog 2, bird 1
+    feed(spark, tmp_path, 20, "dog dog cat")  # batch 2: dog 3 -> a word, cat 2
+    assert rows(training.read_metrics(spark, state)) == [(0, 0, 2, 2), (1, 0, 3, 1), (2, 1, 2, 1)]
+    before = training.load_state(spark, state)
+    assert rows(before["vocab"], "word", "id") == [("dog", 0)]
+    feed(spark, tmp_path, 30, "dog cat")  # batch 3: trains dog, cat 3 -> a word; snapshot
+    after = training.load_state(spark, state)
+    assert rows(after["vocab"], "word", "id") == [("cat", 1), ("dog", 0)]
+    assert rows(after["weights"], "id") == [(0,), (1,)]
+    trained = rows(after["vocab"])
+    feed(spark, tmp_path, 40, "katze hund", lang="de")  # batch 4: nothing kept; decay drops bird
+    assert rows(training.read_metrics(spark, state))[-2:] == [(3, 2, 1, 1), (4, 2, 0, 0)]
+
+    # A replayed batch starts from the state before it and ends in the same one.
+    batch = spark.createDataFrame([(30, "dog cat", "en", None)], streams.SHORT_TEXT_SCHEMA)
+    training.process_batch(batch, 3, state, SETTINGS)
+    assert rows(spark.read.parquet(f"{state}/vocab/batch=3")) == trained
+
+    # A new stream goes on from the snapshot.
+    snapshot = training.load_snapshot(spark, str(tmp_path / "snap"))
+    assert rows(snapshot["vocab"]) == trained
+    fresh = tmp_path / "fresh"
+    fresh.mkdir()
+    spark.createDataFrame([(1, "cat dog emu", "en", None)], streams.SHORT_TEXT_SCHEMA).write.parquet(
+        str(fresh / "in")
+    )
+    stream = streams.parquet_rows(spark, str(fresh / "in"), streams.SHORT_TEXT_SCHEMA)
+    training.train_stream(
+        stream, str(fresh / "state"), str(fresh / "cp"), SETTINGS, snapshots=str(tmp_path / "snap")
+    ).awaitTermination()
+    assert rows(training.read_metrics(spark, str(fresh / "state"))) == [(0, 2, 1, 1)]
+    restored = training.load_state(spark, str(fresh / "state"))
+    assert rows(restored["vocab"], "word", "id") == [("cat", 1), ("dog", 0)]
+    assert rows(restored["vocab"]) != trained  # it has trained on
+
+
+def test_empty_snapshot_folder(spark, tmp_path):
+    tables = training.load_snapshot(spark, str(tmp_path / "none"))
+    assert tables["vocab"].count() == tables["weights"].count() == 0
