@@ -75,7 +75,7 @@ def stars(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             skewed = previous[0] > ROWS_PER_CHUNK
             pairs = _small_star(_large_star(pairs, skewed), skewed)
         pairs.write.parquet(path)
-        pairs = spark.read.schema("hi bigint, lo bigint").parquet(path)
+        pairs = spark.read.schema(pairs.schema).parquet(path)
         current = tuple(pairs.agg(*fingerprint).first())
         if number > 1:
             delete(spark, f"{root}/round={number - 2}")

@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.vectors import add_scaled, column_sums, from_columns
-from rillflow.operators.joins import fits, salted_join
+from rillflow.operators.joins import fits, pair_blocks, salted_join
 from rillflow.operators.vocabulary import text_tokens
 from rillflow.session import materialize
 
 BROADCAST_WORDS = 200_000  # at well under 100 bytes per word and id
 MAX_BLOCK_ROWS = 16_384
+MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024
 
 
@@ -87,27 +88,37 @@ def _rows(table: pa.Table, column: str) -> np.ndarray:
     return flat.reshape(table.num_rows, -1)
 
 
+def _block_log_sums(w: np.ndarray, x: np.ndarray) -> np.ndarray:
+    sums = np.full(len(x), -np.inf)
+    for start in range(0, len(w), SLICE_ROWS):
+        part = w[start:start + SLICE_ROWS] @ x.T
+        top = part.max(axis=0)
+        sums = np.logaddexp(sums, top + np.log(np.exp(part - top).sum(axis=0)))
+    return sums
+
+
 def _log_sums(weights: pa.Table, words: pa.Table) -> pa.Table:
     """Per word of a block: log of the summed exponentials over a block of weight rows."""
     if not weights.num_rows or not words.num_rows:
         return pa.table({"id": pa.array([], "int32"), "log_sum": pa.array([], "float64")})
-    w, x = _rows(weights, "vector"), _rows(words, "vector")
-    logits = np.full(len(x), -np.inf)
-    for start in range(0, len(w), SLICE_ROWS):
-        part = w[start:start + SLICE_ROWS] @ x.T
-        top = part.max(axis=0)
-        logits = np.logaddexp(logits, top + np.log(np.exp(part - top).sum(axis=0)))
-    return pa.table({"id": words["id"], "log_sum": pa.array(logits)})
+    sums = _block_log_sums(_rows(weights, "vector"), _rows(words, "vector"))
+    return pa.table({"id": words["id"], "log_sum": pa.array(sums)})
 
 
 def _dense_gradients(weights: pa.Table, words: pa.Table) -> pa.Table:
-    """The softmax part of both gradients for a block of weight rows and a block of words."""
+    """The softmax part of both gradients for a block of weight rows and a block of words.
+
+    Words without ``log_sum`` meet all weight rows in this block, which then gives it.
+    """
     if not weights.num_rows or not words.num_rows:
         sides, ids, grads = [], np.array([], "int32"), np.zeros((0, 1))
     else:
         w, x = _rows(weights, "vector"), _rows(words, "vector")
         n = words["n"].to_numpy()
-        log_sum = words["log_sum"].to_numpy()
+        if "log_sum" in words.column_names:
+            log_sum = words["log_sum"].to_numpy()
+        else:
+            log_sum = _block_log_sums(w, x)
         for_words = np.zeros_like(x)
         for_weights = np.empty_like(w)
         for start in range(0, len(w), SLICE_ROWS):
@@ -129,18 +140,29 @@ def _dense_gradients(weights: pa.Table, words: pa.Table) -> pa.Table:
 
 
 def _blocked(weights: DataFrame, words: DataFrame, n_words: int, block_rows: int | None):
-    """Both sides repeated so that each pair of blocks meets in one group."""
-    spark = weights.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if block_rows is None:
-        per_side = math.ceil(math.sqrt(tasks))
-        block_rows = min(MAX_BLOCK_ROWS, max(256, math.ceil(n_words / per_side)))
-    last = max(0, (n_words - 1) // block_rows)
-    every = F.explode(F.sequence(F.lit(0), F.lit(last)))
-    own = (F.col("id") / block_rows).cast("int")
-    left = weights.withColumn("a", own).withColumn("b", every).groupBy("a", "b")
-    right = words.withColumn("b", own).withColumn("a", every).groupBy("a", "b")
-    return left.cogroup(right)
+    """Both sides repeated so that each pair of blocks meets in one group.
+
+    Weight rows come in blocks as large as a task holds; words in as many blocks
+    as there are tasks, within limits.
+    """
+    tasks = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = block_rows or MAX_BLOCK_ROWS
+    cols = block_rows or min(MAX_BLOCK_ROWS, max(MIN_BLOCK_WORDS, math.ceil(n_words / tasks)))
+
+    def own(size: int) -> Column:
+        return F.floor(F.col("id") / size).cast("int")
+
+    def last(size: int) -> int:
+        return max(0, (n_words - 1) // size)
+
+    def every(size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(last(size))))
+
+    return pair_blocks(
+        weights.withColumn("a", own(rows)).withColumn("b", every(cols)),
+        words.withColumn("b", own(cols)).withColumn("a", every(rows)),
+        cells=(last(rows) + 1) * (last(cols) + 1),
+    )
 
 
 def log_sums(vocab: DataFrame, weights: DataFrame, n_words: int,
@@ -172,9 +194,11 @@ def gradients(targets: DataFrame, vocab: DataFrame, weights: DataFrame, n_words:
     totals = summed.filter(F.col("context_id").isNotNull())
     counts = summed.filter(F.col("context_id").isNull()).select("id", F.col("weight").alias("n"))
     active = counts.join(vocab.select("id", "vector"), "id")
-    sums = log_sums(active, weights, n_words, block_rows)
+    words = active
+    if n_words > (block_rows or MAX_BLOCK_ROWS):
+        words = active.join(log_sums(active, weights, n_words, block_rows), "id")
     dense = _blocked(
-        weights.select("id", "vector"), active.join(sums, "id"), n_words, block_rows
+        weights.select("id", "vector"), words, n_words, block_rows
     ).applyInArrow(_dense_gradients, "side string, id int, grad array<double>")
 
     def scaled(factor: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 1000
+MAX_CELL_PARTITIONS = 20_000
 ROWS_PER_CHUNK = 250_000
 SALT = "_salt"
 
@@ -75,6 +76,19 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequ
     )
 
 
+def pair_blocks(left: DataFrame, right: DataFrame, cells: int):
+    """Group two sides by their block numbers ``a`` and ``b``, cell by cell.
+
+    A cell is much work on few bytes, so the number of partitions follows the
+    number of cells and is not left to be merged by size.
+    """
+    n = min(2 * cells, MAX_CELL_PARTITIONS)
+    return (
+        left.repartition(n, "a", "b").groupBy("a", "b")
+        .cogroup(right.repartition(n, "a", "b").groupBy("a", "b"))
+    )
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; looks at no more than one row beyond."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.casts import int_or_zero
 from rillflow.functions.vectors import euclidean, similarity_percent
+from rillflow.operators.joins import pair_blocks
 
-QUERIES_PER_BLOCK = 256
-VECTORS_PER_BLOCK = 16_384
+QUERIES_PER_BLOCK = 1_024
+VECTORS_PER_BLOCK = 8_192
 
 
 def parse_requests(lines: DataFrame, line: str = "line", default_n: int = 5) -> DataFrame:
@@ -134,13 +135,9 @@ def nearest_many(
         blocks(key, n_right).alias("b"), every(n_left).alias("a"),
     )
     key_type = vectors.schema[key].dataType.simpleString()
-    parts = (
-        left.groupBy("a", "b")
-        .cogroup(right.groupBy("a", "b"))
-        .applyInArrow(
-            _closest_in_block,
-            f"query {key_type}, n int, key {key_type}, distance double, farthest double",
-        )
+    parts = pair_blocks(left, right, cells=n_left * n_right).applyInArrow(
+        _closest_in_block,
+        f"query {key_type}, n int, key {key_type}, distance double, farthest double",
     )
     per_query = Window.partitionBy("query", "n")
     found = (

@@ -103,7 +103,7 @@ common AS (SELECT a.id AS src, b.id AS dst, count(*) AS n FROM rows a JOIN rows
   GROUP BY 1, 2),
 pairs AS (
   SELECT src, dst, n::DOUBLE / (len(a.tags) + len(b.tags) - n)::DOUBLE AS score,
-    len(a.tags) AS src_tags, len(b.tags) AS dst_tags
+    CAST(len(a.tags) AS INTEGER) AS src_tags, CAST(len(b.tags) AS INTEGER) AS dst_tags
   FROM common JOIN tagged a ON a.id = src JOIN tagged b ON b.id = dst
   WHERE (a.title <> b.title OR a.artist <> b.artist)
     AND n::DOUBLE > (len(a.tags) + len(b.tags) - n)::DOUBLE * CAST('0.7' AS DOUBLE))"""

@@ -133,7 +133,7 @@ def tag_files(spark: SparkSession, sf: str) -> tuple[str, str, str]:
 
 def short_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as short texts; each fifth one reposts another. ``batch`` is its arrival."""
-    documents = table(spark, sf, "documents")
+    documents = over_cores(table(spark, sf, "documents"), "doc_id")
     original = documents.select(
         (F.col("doc_id") * 5).alias("doc_id"), F.col("text").alias("retweet_text")
     )

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillflow.sources.paths import delete
+
 
 def local_session(app: str = "rillflow", cpus: int | str = 8, **conf: str) -> SparkSession:
     """A local session. On a cluster the caller brings a session of its own."""
@@ -43,9 +45,18 @@ def scratch_root(spark: SparkSession) -> str:
     return fallback
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/rillflow-{spark.sparkContext.applicationId}"
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/rillflow/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to scratch, once its results are stored elsewhere."""
+    delete(spark, _own_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

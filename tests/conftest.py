@@ -11,10 +11,11 @@ for folder in (ROOT, os.path.join(ROOT, "tests")):
 
 @pytest.fixture(scope="session")
 def spark():
-    from rillflow.session import local_session
+    from rillflow.session import drop_scratch, local_session
 
     session = local_session("tests", cpus=4, **{"spark.driver.memory": "6g"})
     yield session
+    drop_scratch(session)
     session.stop()
 
 
