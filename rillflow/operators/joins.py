@@ -57,7 +57,8 @@ def replicate(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
                 how: str = "inner", hot: DataFrame | None = None,
-                counted: DataFrame | None = None, **limits: int) -> DataFrame:
+                counted: DataFrame | None = None, skewed: bool = True,
+                **limits: int) -> DataFrame:
     """Join where ``left`` may be skewed on ``keys``.
 
     Rows of a hot key are dealt out over its chunks by a hash of the ``by``
@@ -65,8 +66,11 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequ
     left row still meets every right row of its key exactly once. Valid for
     inner, left, left semi and left anti joins. The hot keys are counted in
     ``counted`` where that is cheaper to read than ``left``, or given as ``hot``.
+    Where the caller knows that no key can be hot, ``skewed=False`` joins plainly.
     """
     keys = list(keys)
+    if not skewed:
+        return left.join(right, keys, how)
     if hot is None:
         hot = hot_keys(left if counted is None else counted, keys, **limits)
     return (

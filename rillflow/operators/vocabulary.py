@@ -33,7 +33,8 @@ def text_tokens(texts: DataFrame) -> DataFrame:
 def new_words_by_text(texts: DataFrame, vocab: DataFrame) -> DataFrame:
     """The distinct words of each text that may enter the vocabulary: ``doc_id``, ``word``."""
     seen = text_tokens(texts).filter(may_become_word(F.col("word"))).select("doc_id", "word").distinct()
-    return salted_join(seen, vocab.select("word"), ["word"], by=["doc_id"], how="left_anti")
+    unknown = salted_join(seen, vocab.select("word"), ["word"], by=["doc_id"], how="left_anti")
+    return unknown.select("doc_id", "word")
 
 
 def new_words(texts: DataFrame, vocab: DataFrame, *keys: str) -> DataFrame:

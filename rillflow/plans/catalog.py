@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -254,7 +255,9 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.read_table(spark, path, ["user_id"])
 
 
+@lru_cache(maxsize=None)
 def _train(spark: SparkSession, sf: str) -> str:
+    """All texts, one batch after the other; the folder with the state."""
     root = new_scratch(spark, "training")
     settings = training.Settings(length=LENGTH, context=CONTEXT, rate=RATE, snapshot_every=5, every=None)
     arrivals = views.short_texts(spark, sf)
@@ -271,6 +274,15 @@ def stream_train_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return training.read_metrics(spark, _train(spark, sf))
 
 
+def stream_train_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    """The vocabulary after the last batch, which is the first one to train."""
+    return _long(training.load_state(spark, _train(spark, sf))["vocab"], "id", "word")
+
+
+def stream_train_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return _long(training.load_state(spark, _train(spark, sf))["weights"], "id")
+
+
 # Vocabulary and training
 
 
@@ -414,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "stream_running_avg_trace": stream_running_avg_trace,
     "keyed_upsert": keyed_upsert,
     "stream_train_metrics": stream_train_metrics,
+    "stream_train_vocab": stream_train_vocab,
+    "stream_train_weights": stream_train_weights,
     "text_tokens": text_tokens,
     "text_new_words": text_new_words,
     "contender_counts": contender_counts,

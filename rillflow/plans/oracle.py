@@ -199,6 +199,32 @@ def _unnested(columns: str, vector: str) -> str:
     return f"SELECT {columns}, unnest(range(0, {LENGTH})) AS dim, unnest({vector}) AS value FROM vocab"
 
 
+_LAST = BATCHES - 1
+# Words of all batches but the last are known to the last one, which alone trains;
+# those that the last batch brings to eleven come after them.
+_STREAMED = (
+    f"""contenders AS (
+  SELECT word, count(DISTINCT batch) AS n FROM tokens WHERE {_MAY} AND batch < {_LAST} GROUP BY word)""",
+    _VOCAB,
+    _CONTEXTS.replace("FROM tokens JOIN vocab USING (word)", f"FROM tokens JOIN vocab USING (word) WHERE batch = {_LAST}"),
+    _SOFTMAX,
+    _GRADIENTS,
+    f"""late AS (
+  SELECT word, CAST((SELECT count(*) FROM vocab) + row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS id,
+    {_seeded("word")} AS x, {_seeded("weight")} AS w
+  FROM (SELECT word FROM tokens WHERE {_MAY} AND word NOT IN (SELECT word FROM vocab)
+    GROUP BY word HAVING count(DISTINCT batch) > 10)),
+old AS (
+  SELECT word, id, 'x' AS side, unnest(range(0, {LENGTH})) AS dim, unnest(x) AS value FROM vocab
+  UNION ALL SELECT word, id, 'w', unnest(range(0, {LENGTH})), unnest(w) FROM vocab),
+final AS (
+  SELECT o.word, o.id, o.side, o.dim, o.value - {RATE} * coalesce(grads.value, 0)
+    / CASE o.side WHEN 'w' THEN (SELECT count(*) FROM kept WHERE batch = {_LAST}) ELSE 1 END AS value
+  FROM old o LEFT JOIN grads ON grads.side = o.side AND grads.id = o.id AND grads.dim = o.dim
+  UNION ALL SELECT word, id, 'x', unnest(range(0, {LENGTH})), unnest(x) FROM late
+  UNION ALL SELECT word, id, 'w', unnest(range(0, {LENGTH})), unnest(w) FROM late)""",
+)
+
 _COUNT_ENDPOINTS = "SELECT endpoint, count(*) AS n FROM logs {where} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
 
 ORACLES: dict[str, str] = {
@@ -358,6 +384,14 @@ ORACLES: dict[str, str] = {
         "words AS (SELECT word, min(batch) AS first_seen, min(batch) FILTER (times = 11) AS admitted"
         " FROM counted GROUP BY word)",
     ),
+    "stream_train_vocab": _texts(
+        "SELECT id, word, CAST(dim AS INTEGER) AS dim, round(value, 6) AS value FROM final WHERE side = 'x'",
+        *_STREAMED,
+    ),
+    "stream_train_weights": _texts(
+        "SELECT id, CAST(dim AS INTEGER) AS dim, round(value, 6) AS value FROM final WHERE side = 'w'",
+        *_STREAMED,
+    ),
     "text_tokens": _texts(
         "SELECT doc_id, CAST(position AS INTEGER) AS position, word, regexp_matches(word, '[0-9]') AS has_digit FROM tokens"
     ),
