@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 1000
 MAX_CELL_PARTITIONS = 20_000
-ROWS_PER_CHUNK = 250_000
+ROWS_PER_CHUNK = 2_000_000
+MAX_CHUNKS = 10_000  # of one key; beyond it the chunks grow
 SALT = "_salt"
 
 
@@ -25,7 +26,10 @@ def heaviest(counts: DataFrame, n: str = "n", rows_per_chunk: int = ROWS_PER_CHU
         counts.filter(F.col(n) > rows_per_chunk)
         .orderBy(F.desc(n))
         .limit(max_keys)
-        .withColumn("_chunks", F.ceil(F.col(n) / F.lit(rows_per_chunk)).cast("int"))
+        .withColumn(
+            "_chunks",
+            F.least(F.ceil(F.col(n) / F.lit(rows_per_chunk)), F.lit(MAX_CHUNKS)).cast("int"),
+        )
         .drop(n)
     )
 

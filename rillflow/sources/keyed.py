@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rillflow.sources.paths import exists, finished_numbers
+from rillflow.sources.paths import delete, exists, is_finished, last_finished, numbers
 
 
 def create_table(spark: SparkSession, path: str, schema: StructType | str) -> None:
@@ -27,18 +27,17 @@ def create_table(spark: SparkSession, path: str, schema: StructType | str) -> No
 def read_table(spark: SparkSession, path: str, key: list[str], before: int | None = None) -> DataFrame:
     """The current rows, or those before batch ``before``."""
 
-    def earlier(kind: str) -> list[int]:
-        numbers = finished_numbers(spark, f"{path}/{kind}", "batch")
-        return [n for n in numbers if before is None or n < before]
-
-    base = earlier("full")[-1]
+    base = last_finished(spark, f"{path}/full", "batch", before)
+    later = [
+        n
+        for n in numbers(spark, f"{path}/changes", "batch")
+        if n > base and (before is None or n < before)
+        and is_finished(spark, f"{path}/changes", "batch", n)
+    ]
     parts = [
         spark.read.parquet(f"{path}/{kind}/batch={n}").withColumn("_batch", F.lit(n))
-        for kind, numbers in (
-            ("full", [base]),
-            ("changes", [n for n in earlier("changes") if n > base]),
-        )
-        for n in numbers
+        for kind, chosen in (("full", [base]), ("changes", later))
+        for n in chosen
     ]
     names = [c for c in parts[0].columns if c not in (*key, "_batch")]
     if len(parts) == 1:
@@ -56,3 +55,12 @@ def upsert(df: DataFrame, path: str, key: list[str], batch: int, full_every: int
     old = read_table(df.sparkSession, path, key, before=batch)
     merged = old.join(df.select(*key), key, "left_anti").unionByName(df.select(*old.columns))
     merged.write.mode("overwrite").parquet(f"{path}/full/batch={batch}")
+    _forget(df.sparkSession, path, last_finished(df.sparkSession, f"{path}/full", "batch", batch))
+
+
+def _forget(spark: SparkSession, path: str, base: int) -> None:
+    """Drop what is older than the full folder ``base``; that one stays for running readers."""
+    for kind in ("full", "changes"):
+        for n in numbers(spark, f"{path}/{kind}", "batch"):
+            if n < base:
+                delete(spark, f"{path}/{kind}/batch={n}")

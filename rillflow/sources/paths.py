@@ -23,14 +23,24 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def finished_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """The ``N`` of all children ``<prefix>=N`` whose write has completed, ascending."""
+def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The ``N`` of all children ``<prefix>=N``, ascending; one listing."""
     fs, where = _open(spark, path)
     if not fs.exists(where):
         return []
-    found = []
-    for status in fs.listStatus(where):
-        match = re.fullmatch(rf"{prefix}=(-?\d+)", status.getPath().getName())
-        if match and exists(spark, f"{status.getPath().toString()}/_SUCCESS"):
-            found.append(int(match.group(1)))
-    return sorted(found)
+    names = (status.getPath().getName() for status in fs.listStatus(where))
+    matches = (re.fullmatch(rf"{prefix}=(-?\d+)", name) for name in names)
+    return sorted(int(match.group(1)) for match in matches if match)
+
+
+def is_finished(spark: SparkSession, path: str, prefix: str, number: int) -> bool:
+    """Whether the write of ``<prefix>=<number>`` has completed."""
+    return exists(spark, f"{path}/{prefix}={number}/_SUCCESS")
+
+
+def last_finished(spark: SparkSession, path: str, prefix: str, before: int | None = None) -> int | None:
+    """The highest finished number (below ``before``), looking from the top down."""
+    for number in reversed(numbers(spark, path, prefix)):
+        if (before is None or number < before) and is_finished(spark, path, prefix, number):
+            return number
+    return None

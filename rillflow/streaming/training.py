@@ -19,7 +19,7 @@ from rillflow.operators.vocabulary import (
     ADMIT_ABOVE, admit, count_contenders, decay_contenders, kept_texts, new_words,
 )
 from rillflow.session import materialize
-from rillflow.sources.paths import delete, finished_numbers
+from rillflow.sources.paths import delete, is_finished, last_finished, numbers
 
 SCHEMAS = {
     "vocab": "word string, id int, vector array<double>",
@@ -45,16 +45,14 @@ class Settings:
 
 def load_state(spark: SparkSession, state: str, before: int | None = None) -> dict[str, DataFrame]:
     """The tables after the last finished batch (before batch ``before``), empty at the start."""
-    done = [
-        n for n in finished_numbers(spark, f"{state}/metrics", "batch") if before is None or n < before
-    ]
+    done = last_finished(spark, f"{state}/metrics", "batch", before)
     tables = {}
     for name, schema in SCHEMAS.items():
-        versions = [
-            n for n in finished_numbers(spark, f"{state}/{name}", "batch") if done and n <= done[-1]
-        ]
-        if versions:
-            tables[name] = spark.read.schema(schema).parquet(f"{state}/{name}/batch={versions[-1]}")
+        version = None
+        if done is not None:
+            version = last_finished(spark, f"{state}/{name}", "batch", before=done + 1)
+        if version is not None:
+            tables[name] = spark.read.schema(schema).parquet(f"{state}/{name}/batch={version}")
         else:
             tables[name] = spark.createDataFrame([], schema)
     return tables
@@ -67,13 +65,10 @@ def save_snapshot(tables: dict[str, DataFrame], path: str, number: int) -> None:
 
 
 def load_snapshot(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The newest snapshot of which both tables are there; empty tables without one."""
-    both = set(finished_numbers(spark, f"{path}/words", "batch")) & set(
-        finished_numbers(spark, f"{path}/w", "batch")
-    )
-    if not both:
+    """The newest complete snapshot; empty tables without one."""
+    newest = last_finished(spark, f"{path}/w", "batch")  # written after the words
+    if newest is None:
         return {name: spark.createDataFrame([], SCHEMAS[name]) for name in ("vocab", "weights")}
-    newest = max(both)
     return {
         "vocab": spark.read.schema(SCHEMAS["vocab"]).parquet(f"{path}/words/batch={newest}"),
         "weights": spark.read.schema(SCHEMAS["weights"]).parquet(f"{path}/w/batch={newest}"),
@@ -135,7 +130,7 @@ def process_batch(texts: DataFrame, batch: int, state: str, settings: Settings,
 def _forget(spark: SparkSession, state: str, batch: int, keep: int = 3) -> None:
     """Drop all but the newest versions. No later batch starts before the last finished one."""
     for name in SCHEMAS:
-        versions = finished_numbers(spark, f"{state}/{name}", "batch")
+        versions = numbers(spark, f"{state}/{name}", "batch")
         for old in [n for n in versions if n <= batch][:-keep]:
             delete(spark, f"{state}/{name}/batch={old}")
 
@@ -147,7 +142,7 @@ def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settin
     A new state starts from the newest snapshot, if there is one.
     """
     spark = texts.sparkSession
-    if snapshots and not finished_numbers(spark, f"{state}/metrics", "batch"):
+    if snapshots and last_finished(spark, f"{state}/metrics", "batch") is None:
         restored = load_snapshot(spark, snapshots)
         n_words = restored["weights"].count()
         if n_words:
@@ -171,8 +166,11 @@ def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settin
 
 def read_metrics(spark: SparkSession, state: str) -> DataFrame:
     """One row per batch: words known, contenders, texts kept."""
-    done = [n for n in finished_numbers(spark, f"{state}/metrics", "batch") if n >= 0]
-    paths = [f"{state}/metrics/batch={n}" for n in done]
+    paths = [
+        f"{state}/metrics/batch={n}"
+        for n in numbers(spark, f"{state}/metrics", "batch")
+        if n >= 0 and is_finished(spark, f"{state}/metrics", "batch", n)
+    ]
     if not paths:
         return spark.createDataFrame([], METRICS_SCHEMA)
     return spark.read.schema(METRICS_SCHEMA).parquet(*paths)

@@ -19,6 +19,11 @@ def test_salted_join_equals_plain_join(spark, how):
     assert rows(hot_keys(left, ["k"], rows_per_chunk=100)) == [(7, 11)]
 
 
+def test_chunks_of_one_key_are_bounded(spark):
+    counts = spark.createDataFrame([(1, 10**12)], "id bigint, n bigint")
+    assert heaviest(counts).first()["_chunks"] == 10_000
+
+
 def test_hot_list_is_bounded(spark):
     counts = spark.range(100).select("id", (F.col("id") + 10).alias("n"))
     assert rows(heaviest(counts, rows_per_chunk=5, max_keys=3), "id") == [(97,), (98,), (99,)]
