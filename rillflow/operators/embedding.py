@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.vectors import add_scaled, column_sums, from_columns
 from rillflow.operators.joins import fits, pair_blocks, salted_join
-from rillflow.operators.vocabulary import text_tokens
+from rillflow.operators.vocabulary import BROADCAST_WORDS, text_tokens
 from rillflow.session import materialize
 
-BROADCAST_WORDS = 200_000  # at well under 100 bytes per word and id
 MAX_BLOCK_ROWS = 16_384
 MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024

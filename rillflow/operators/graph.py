@@ -85,7 +85,7 @@ def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst"), **limits: int) ->
     for end in ends:
         other = "dst" if end == "src" else "src"
         attributes = g.vertices.select(
-            F.col("id").alias(end), F.struct(*g.attributes).alias(f"{end}_attr")
+            F.col("id").alias(end), F.struct("id", *g.attributes).alias(f"{end}_attr")
         )
         result = salted_join(result, attributes, [end], by=[other], counted=g.edges, **limits)
     order = ["src", "dst", *g.edge_attributes, *[f"{end}_attr" for end in ends]]
@@ -183,12 +183,16 @@ def _no_followers() -> Column:
     return F.format_string("%s does not have any followers.", "name")
 
 
-def subgraph(g: Graph, vertex: Column | None = None, edge: Column | None = None) -> Graph:
-    """Vertices that satisfy ``vertex``, and edges that satisfy ``edge`` and keep both ends.
+def subgraph(g: Graph, vertex: Column | None = None, edge: Column | None = None,
+             triplet: Column | None = None) -> Graph:
+    """Vertices that satisfy ``vertex``, and edges that satisfy the others and keep both ends.
 
-    ``edge`` is built from edge columns.
+    ``edge`` is built from edge columns; ``triplet`` from the columns of
+    :func:`triplets`, which costs the joins to the ends.
     """
     edges = g.edges if edge is None else g.edges.filter(edge)
+    if triplet is not None:
+        edges = triplets(Graph(g.vertices, edges)).filter(triplet).select(*g.edges.columns)
     if vertex is None:
         return Graph(g.vertices, edges)
     vertices = g.vertices.filter(vertex)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.text import chosen_text, may_become_word, tokens
 from rillflow.functions.vectors import seeded_vector
-from rillflow.operators.joins import salted_join
+from rillflow.operators.joins import fits, salted_join
 from rillflow.operators.numbering import dense_ids
 
 ADMIT_ABOVE = 10
+BROADCAST_WORDS = 200_000  # at well under 100 bytes per word and id
 
 
 def kept_texts(texts: DataFrame, lang: str = "en") -> DataFrame:
@@ -30,10 +31,17 @@ def text_tokens(texts: DataFrame) -> DataFrame:
     return texts.select(*others, F.posexplode(tokens(F.col("text"))).alias("pos", "word"))
 
 
-def new_words_by_text(texts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """The distinct words of each text that may enter the vocabulary: ``doc_id``, ``word``."""
-    seen = text_tokens(texts).filter(may_become_word(F.col("word"))).select("doc_id", "word").distinct()
-    unknown = salted_join(seen, vocab.select("word"), ["word"], by=["doc_id"], how="left_anti")
+def new_words_by_text(texts: DataFrame, vocab: DataFrame,
+                      broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """The distinct words of each text that may enter the vocabulary: ``doc_id``, ``word``.
+
+    Known words go before the shuffle if the vocabulary, its size checked, can be broadcast.
+    """
+    found = text_tokens(texts).filter(may_become_word(F.col("word"))).select("doc_id", "word")
+    known = vocab.select("word")
+    if fits(known, broadcast_words):
+        return found.join(F.broadcast(known), "word", "left_anti").select("doc_id", "word").distinct()
+    unknown = salted_join(found.distinct(), known, ["word"], by=["doc_id"], how="left_anti")
     return unknown.select("doc_id", "word")
 
 

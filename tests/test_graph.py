@@ -79,6 +79,10 @@ def test_subgraph_and_components(social):
     assert rows(older.edges) == [(3, 6, 3), (5, 3, 8), (5, 6, 3)]
     assert rows(components.connected_components(older)) == [(3, 3), (4, 4), (5, 3), (6, 3)]
     assert rows(graph.subgraph(social, edge=F.col("attr") > 5).edges) == [(2, 1, 7), (5, 3, 8)]
+    to_older = F.col("src_attr.age") < F.col("dst_attr.age")
+    assert rows(graph.subgraph(social, triplet=to_older).edges) == [(2, 1, 7), (2, 4, 2), (5, 3, 8)]
+    both = graph.subgraph(social, vertex=F.col("age") > 27, triplet=to_older)
+    assert rows(both.edges) == [(5, 3, 8)]
 
 
 def test_graph_without_edges(social):
