@@ -1,0 +1,250 @@
+"""Personal data in texts replaced by keyed surrogates of the same type and form."""
+
+from __future__ import annotations
+
+import hmac
+import re
+from collections.abc import Iterator
+from hashlib import sha256
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rillflow.llm.running import same
+from rillflow.session import materialize
+
+#: Given names by gender and script, of which surrogates are drawn and by which names are told.
+GIVEN = {
+    ("f", "latin"): "Anna Maria Laura Sarah Emma Julia Clara Elena Sofia Marta Lucia Nora Alice Ines Eva Lena".split(),
+    ("m", "latin"): "John Peter Paul Thomas David Martin Daniel Marco Lucas Simon Hugo Felix Oscar Emil Leon Karl".split(),
+    ("f", "cyrillic"): "Анна Мария Елена Ольга Ирина Наталья Вера Дарья".split(),
+    ("m", "cyrillic"): "Иван Пётр Сергей Павел Андрей Николай Олег Борис".split(),
+}
+#: Titles before a name and the gender they tell.
+TITLES = {
+    "Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "г-н": "m",
+    "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Señora": "f", "Sra": "f", "г-жа": "f",
+    "Dr": "n", "Prof": "n",
+}
+_GENDER_OF = {name: key[0] for key, names in GIVEN.items() for name in names}
+
+_NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+#: The types in the order in which they claim text; letter case is of no matter but in names.
+PATTERNS = {
+    "email": r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+",
+    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.]*\d)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])",
+    "name": rf"(?<!\w)(?:{'|'.join(TITLES)})\.?[ ]+{_NAME}(?:[ ]+{_NAME})?|(?<!\w)(?:{'|'.join(_GENDER_OF)})[ ]+{_NAME}",
+}
+_ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
+#: What any match holds; the engine's regex picks the documents to be looked at by it.
+HINT = r"@|\d[.\-)]\d|\d{7}|\d[ -]\d{2}|\+\d|\)[ .-]?\d|" + "|".join(
+    rf"\b{word}\b" for word in [*(t for t in TITLES if t.isascii()), *(n for n in _GENDER_OF if n.isascii())]
+) + "|г-н|г-жа|" + "|".join(n for n in _GENDER_OF if not n.isascii())
+
+
+def script_of(text: str) -> str:
+    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in text) else "latin"
+
+
+def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, type, form and value of each entity. Equal values are one entity.
+
+    The value is what identifies the entity: a card without blanks, an address in
+    lower case, a name without its title. The form is what a surrogate must match.
+    """
+    for found in _ALL.finditer(text):
+        kind, start, end = found.lastgroup, found.start(), found.end()
+        if kind == "ip" and any(int(part) > 255 for part in found.group().split(".")):
+            continue
+        if kind == "name":
+            first, _, rest = found.group().partition(" ")
+            title = first.rstrip(".")
+            if title in TITLES:
+                start = end - len(rest.lstrip())
+            name = text[start:end]
+            if not all(part[:1].isupper() for part in name.split()):
+                continue
+            given = name.split()[0]
+            gender = _GENDER_OF.get(given) or TITLES.get(title, "n")
+            yield start, end, kind, f"{gender}/{script_of(name)}/{len(name.split())}", " ".join(name.split())
+        elif kind == "email":
+            yield start, end, kind, "", found.group().lower()
+        else:
+            yield start, end, kind, "", re.sub(r"\D" if kind != "ip" else r"[^\d.]", "", found.group())
+
+
+class _Stream:
+    """Numbers fixed by key, entity and attempt."""
+
+    def __init__(self, key: bytes, *parts: str):
+        self.key, self.name, self.used, self.left = key, "\0".join(parts).encode(), 0, b""
+
+    def below(self, n: int) -> int:
+        if len(self.left) < 4:
+            self.left = hmac.new(self.key, self.name + self.used.to_bytes(4, "big"), sha256).digest()
+            self.used += 1
+        part, self.left = self.left[:4], self.left[4:]
+        return int.from_bytes(part, "big") % n
+
+
+def _luhn(digits: str) -> int:
+    total = 0
+    for place, digit in enumerate(reversed(digits)):
+        value = int(digit) * (2 if place % 2 else 1)
+        total += value - 9 if value > 9 else value
+    return total % 10
+
+
+_SYLLABLES = {
+    "latin": "ba be da do fa ga ka la le lo ma mi na no pa ra ri ro sa ta to va vi za".split(),
+    "cyrillic": "ба бе да до га ка ла ле ло ма ми на но па ра ри ро са та то ва ви за".split(),
+}
+
+
+def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str:
+    """A value of the same type, script, gender, length of digits; Luhn-valid where the value is."""
+    draw = _Stream(key, kind, form, value, str(attempt))
+
+    def word(script: str, least: int) -> str:
+        return "".join(_SYLLABLES[script][draw.below(24)] for _ in range(least))
+
+    if kind == "email":
+        return f"{word('latin', 3 + attempt)}.{draw.below(10**6)}@{word('latin', 3)}.example"
+    if kind == "ip":
+        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if kind == "name":
+        gender, script, parts = form.split("/")
+        if gender == "n":
+            gender = "fm"[draw.below(2)]
+        names = GIVEN[gender, script]
+        given = names[draw.below(len(names))]
+        family = word(script, 3 + min(attempt, 3)).capitalize()
+        return family if parts == "1" else f"{given} {family}"
+    keep = 1 if kind == "phone" and len(value) > 10 else 0
+    digits = value[:keep] + "".join(str(draw.below(10)) for _ in value[keep:])
+    if kind == "card" and _luhn(value) == 0:
+        digits = next(digits[:-1] + str(d) for d in range(10) if _luhn(digits[:-1] + str(d)) == 0)
+    return digits
+
+
+def written(kind: str, original: str, new: str) -> str:
+    """The surrogate in the format of the text: blanks, hyphens, brackets and capitals stay."""
+    if kind in ("email", "ip", "name"):
+        return new.upper() if kind != "ip" and original.isupper() else new
+    digits = iter(new)
+    return re.sub(r"\d", lambda _: next(digits), original)
+
+
+FOUND = "doc long, hash long, start int, end int, kind string, form string, value string, original string"
+
+
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc", "hash", "start", "end", "kind", "form", "value", "original"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 4]
+    for batch in batches:
+        rows = []
+        for doc, digest, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "hash", "text"))):
+            for start, end, kind, form, value in mentions(text):
+                rows.append((doc, digest, start, end, kind, form, value, text[start:end]))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
+def distinct_surrogates(entities: DataFrame, key: str, max_attempts: int = 20) -> DataFrame:
+    """``kind, form, value`` with a ``surrogate`` that no other entity has, nor is one of the values.
+
+    Every round draws surrogates for the entities still without; of those that drew
+    the same, the least value keeps it. What is taken in a round stays taken. Whether
+    a surrogate is itself a value in the texts is checked against all entities.
+    """
+    secret = key.encode()
+
+    def drawn(attempt: int):
+        @F.pandas_udf("string")
+        def draw(kind: pd.Series, form: pd.Series, value: pd.Series) -> pd.Series:
+            return pd.Series([surrogate(k, f, v, secret, attempt) for k, f, v in zip(kind, form, value)])
+
+        return draw
+
+    spoken = entities.select(F.col("kind").alias("_kind"), F.col("value").alias("_value")).distinct()
+    left, done = entities, None
+    for attempt in range(max_attempts):
+        tried = left.withColumn("surrogate", drawn(attempt)("kind", "form", "value"))
+        taken = spoken if done is None else spoken.unionByName(
+            done.select(F.col("kind").alias("_kind"), F.col("surrogate").alias("_value"))
+        )
+        clash = (F.col("kind") == F.col("_kind")) & (F.col("surrogate") == F.col("_value"))
+        first = Window.partitionBy("kind", "surrogate").orderBy("value", "form")
+        tried = tried.withColumn("_nth", F.row_number().over(first)).join(
+            taken.distinct().withColumn("_taken", F.lit(True)), clash, "left"
+        )
+        tried = materialize(tried.drop("_kind", "_value"), "surrogates-tried")
+        good = (F.col("_nth") == 1) & F.col("_taken").isNull()
+        won = tried.filter(good).drop("_nth", "_taken")
+        done = won if done is None else done.unionByName(won)
+        left = tried.filter(~good).drop("_nth", "_taken", "surrogate")
+        if left.isEmpty():
+            return done
+    raise RuntimeError(f"surrogates still collide after {max_attempts} attempts")
+
+
+def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, personal data in ``text`` replaced; adds ``n_replaced``.
+
+    Addresses, IP numbers, phone, social security and card numbers and names are
+    found by :data:`PATTERNS`. An entity gets the same surrogate wherever it stands
+    and no two entities share one; see :func:`distinct_surrogates`. Surrogates
+    depend on the key and the set of entities alone. Documents without a hint of
+    an entity go through as they are; the others meet their replacements by doc_id
+    and a hash of the text. Null and empty texts stay; rows that repeat get the
+    same replacements. A column ``n_replaced`` that is there is replaced.
+    """
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.col("doc_id").cast("long").alias("doc"),
+        F.xxhash64(text).alias("hash"),
+        F.col(text).cast("string").alias("text"),
+        F.coalesce(F.col(text).rlike(HINT), F.lit(False)).alias("_hint"),
+    )
+    found = materialize(
+        rows.filter("_hint").select("doc", "hash", "text").mapInArrow(_find, FOUND), "personal-found"
+    )
+    entities = found.select("kind", "form", "value").distinct()
+    chosen = distinct_surrogates(entities, key).withColumnsRenamed({c: f"_{c}" for c in ("kind", "form", "value")})
+    equal = [F.col(c) == F.col(f"_{c}") for c in ("kind", "form", "value")]
+    by_document = (
+        found.join(chosen, equal[0] & equal[1] & equal[2])
+        .groupBy(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"))
+        .agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind", "original", "surrogate"))).alias("_found"))
+    )
+
+    @F.pandas_udf("string")
+    def rewritten(texts: pd.Series, lists: pd.Series) -> pd.Series:
+        out = []
+        for body, places in zip(texts, lists):
+            parts, at = [], 0
+            for place in places if places is not None else ():
+                parts += [body[at : place["start"]], written(place["kind"], place["original"], place["surrogate"])]
+                at = place["end"]
+            out.append(body if not at else "".join(parts) + body[at:])
+        return pd.Series(out, dtype=object)
+
+    def result(df: DataFrame, new_text, n) -> DataFrame:
+        columns = [c for c in docs.columns if c != "n_replaced"]
+        return df.select(
+            *(new_text.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in columns),
+            n.cast("long").alias("n_replaced"),
+        )
+
+    hinted = rows.filter("_hint").join(
+        by_document, same(F.col("doc"), F.col("_doc")) & (F.col("hash") == F.col("_hash")), "left"
+    )
+    changed = result(
+        hinted, rewritten("text", "_found"), F.greatest(F.coalesce(F.size("_found"), F.lit(0)), F.lit(0))
+    )
+    return changed.unionByName(result(rows.filter("not _hint"), F.col("text"), F.lit(0)))
