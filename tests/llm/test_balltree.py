@@ -1,0 +1,91 @@
+"""Exact top-k against all scores."""
+
+import numpy as np
+import pytest
+
+from rillflow.llm import balltree
+
+ROWS = "vec_id long, v array<double>, score string"
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v)
+
+
+def brute(rows, queries, k):
+    out = []
+    good = [(i, [int(x) for x in v]) for i, v in rows if i is not None and usable(v)]
+    for q in {q for q in queries if q is not None}:
+        scores = {}
+        for own in (v for i, v in good if i == q):
+            for i, v in good:
+                if i != q and len(v) == len(own):
+                    s = sum(a * b for a, b in zip(own, v))
+                    scores[i] = max(s, scores.get(i, s))
+        best = sorted((-s, i) for i, s in scores.items())[:k]
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def found(spark, rows, queries, k=5, **options):
+    df = spark.createDataFrame([(*r, "clash") for r in rows], ROWS).repartition(3)
+    asked = df.filter(df.vec_id.isin(queries))
+    return sorted(tuple(r) for r in balltree.top_k(df, asked, k, **options).collect())
+
+
+def clustered(seed, n, d=6):
+    rng = np.random.default_rng(seed)
+    centers = rng.integers(-200, 200, (5, d))
+    points = centers[rng.integers(0, 5, n)] + rng.integers(-20, 20, (n, d))
+    return [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_all_scores(spark, seed):
+    rows = clustered(seed, 700)
+    queries = list(range(0, 700, 20))
+    assert found(spark, rows, queries, per_shard=150, per_block=10) == brute(rows, queries, 5)
+
+
+def test_ties_nulls_and_repeated_rows(spark):
+    rows = [(i, [3.0, 1.0]) for i in range(100, 400)]
+    rows += [(1, [2.0, 2.0]), (1, [2.0, 2.0]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [])]
+    rows += [(6, [float("inf"), 1.0]), (None, [9.0, 9.0]), (7, [1.0, 2.0, 3.0]), (8, [0.0, 0.0]), (9, [5.0, 5.0]), (9, [-5.0, 1.0])]
+    queries = [1, 2, 3, 4, 5, 6, 7, 8, 9, 150]
+    assert found(spark, rows, queries, per_shard=70, per_block=3) == brute(rows, queries, 5)
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    big = 2.0**29
+    rows = [(i, [big + i, big - 3 * i, 1.0 + i]) for i in range(90)]
+    assert found(spark, rows, [0, 50], per_shard=40) == brute(rows, [0, 50], 5)
+
+
+def test_few_candidates_and_empty_tables(spark):
+    rows = [(0, [1.0]), (1, [2.0])]
+    assert found(spark, rows, [0]) == [(0, 1, 1, 2)]
+    assert found(spark, rows[:1], [0]) == []
+    assert found(spark, [], [0]) == []
+
+
+def test_search_leaves_nodes_out():
+    rows = clustered(4, 6000)
+    points, ids = np.array([v for _, v in rows]), np.arange(6000)
+    tree = balltree.BallTree(points, ids)
+    seen = []
+    real = balltree._scores
+    balltree._scores = lambda p, q: seen.append(len(p) * len(q)) or real(p, q)
+    try:
+        best = balltree.search(tree, points[:50], ids[:50], np.full(50, -np.inf), 5)
+    finally:
+        balltree._scores = real
+    assert sum(seen) < 0.6 * 50 * 6000
+    scores = points[:50] @ points.T
+    for q in range(50):
+        expected = sorted((-s, i) for i, s in enumerate(scores[q]) if i != q)[:5]
+        assert best.found[q] == expected
+
+
+def test_quantized(spark):
+    df = spark.createDataFrame([(1, [0.5, -0.001, None, float("nan")])], "vec_id long, embedding array<float>")
+    assert df.select(balltree.quantized().alias("v")).first().v == [128.0, -1.0, None, None]
