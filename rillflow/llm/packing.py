@@ -39,10 +39,12 @@ class _Parts(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.model, self.letters = tokenizer.model, _byte_letters()
+        self.numbers = [struct.pack("<I", n) for n in range(tokenizer.get_vocab_size())]
 
     def __missing__(self, part: str) -> bytes:
         word = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        found = self[part] = b"".join([struct.pack("<I", token.id) for token in self.model.tokenize(word)])
+        numbers = self.numbers
+        found = self[part] = b"".join([numbers[token.id] for token in self.model.tokenize(word)])
         return found
 
 
@@ -63,33 +65,30 @@ class _Pieces(dict):
         self.parts = _Parts(self.tokenizer)
 
     def __missing__(self, stretch: str) -> bytes:
-        if len(stretch) <= 64 and _PLAIN.fullmatch(stretch) and "<|" not in stretch:
-            if len(self.parts) >= self.most:
-                self.parts.clear()
+        if len(self.parts) >= self.most:
+            self.parts.clear()
+        short = len(stretch) <= 64
+        lower = stretch.lower() if short and stretch.isascii() and stretch.isprintable() else ""
+        if lower.isalpha():
+            found = self.parts[lower]
+        elif lower[:-1].isalpha() and not lower[-1].isalnum():
+            found = self.parts[lower[:-1]] + self.parts[lower[-1]]
+        elif short and _PLAIN.fullmatch(stretch) and "<|" not in stretch:
             found = b"".join(map(self.parts.__getitem__, _PARTS.findall(stretch.lower())))
         else:
             ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
             found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(stretch) <= 64:
+        if short:
             if len(self) >= self.most:
                 self.clear()
             self[stretch] = found
         return found
 
 
-#: One cache per Python worker and tokenizer file, kept from task to task.
-_CACHES: dict[tuple[str, int], _Pieces] = {}
-
-
-def pieces_of(path: str, most: int) -> _Pieces:
-    if (path, most) not in _CACHES:
-        _CACHES.clear()
-        _CACHES[path, most] = _Pieces(path, most)
-    return _CACHES[path, most]
-
-
 def token_bytes(text: str, pieces: _Pieces, end_id: int) -> bytes:
     """The ids of a text, then ``end_id``, as little-endian 32-bit numbers."""
+    if text.isascii() and "<|" not in text:
+        text = text.lower()  # the tokenizer does so itself; fewer different stretches
     found = b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" ")))
     return found + struct.pack("<I", end_id)
 
@@ -98,7 +97,7 @@ def _cut(path: str, capacity: int, end_id: int, most: int):
     """Arrow batches of doc_id, text to pieces of at most ``capacity`` ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of(path, most)
+        pieces = _Pieces(path, most)
         width = 4 * capacity
         for batch in batches:
             texts, ids, numbers = texts_of(batch), batch.column("doc_id").to_pylist(), batch.column("doc_row").to_pylist()
@@ -174,7 +173,7 @@ def pack(
     per_group: int = 2000,
     enough: float = 0.98,
     rounds: int = 3,
-    cache: int = 600_000,
+    cache: int = 400_000,
 ) -> DataFrame:
     """Pieces of all documents and their places in windows of ``capacity`` ids.
 

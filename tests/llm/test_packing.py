@@ -38,7 +38,7 @@ def ids_of(tokenizer, text):
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_ids_are_those_of_the_tokenizer(tokenizer, text):
-    pieces = packing.pieces_of(tokenizer_path(), 1000)
+    pieces = packing._Pieces(tokenizer_path(), 1000)
     found = np.frombuffer(packing.token_bytes(text, pieces, 1), "<u4").tolist()
     assert found == ids_of(tokenizer, text)
 
@@ -46,7 +46,7 @@ def test_ids_are_those_of_the_tokenizer(tokenizer, text):
 def test_ids_of_random_texts(tokenizer):
     rng = random.Random(3)
     letters = "abcXYZéßÜñ0129 \n.,'!-_<|>\t­²µªÿ÷×"
-    pieces = packing.pieces_of(tokenizer_path(), 1000)
+    pieces = packing._Pieces(tokenizer_path(), 1000)
     for _ in range(300):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(60)))
         assert np.frombuffer(packing.token_bytes(text, pieces, 1), "<u4").tolist() == ids_of(tokenizer, text)
