@@ -6,50 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.operators.graph import Graph
-from rillflow.operators.joins import ROWS_PER_CHUNK, heaviest, salted_join
 from rillflow.session import new_scratch
 from rillflow.sources.paths import delete
 
 
-def _large_star(pairs: DataFrame, skewed: bool) -> DataFrame:
+def _large_star(pairs: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a vertex on the smallest vertex around it.
 
     ``pairs(hi, lo)`` has ``hi > lo``. No neighbour list is ever built: the
-    smallest neighbour is a plain minimum, and the rows of a vertex with very
-    many neighbours are dealt out over several tasks.
+    smallest neighbour is a plain minimum, and the join back is one whose hot
+    keys Spark splits.
     """
     ends = F.array(
         F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
         F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")),
     )
-    smallest = (
+    centers = (
         pairs.select(F.inline(ends))
-        .groupBy("u")
-        .agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        .groupBy(F.col("u").alias("lo"))
+        .agg(F.least(F.min("v"), F.col("lo")).alias("m"))
     )
-    centers = smallest.select(F.col("u").alias("lo"), "m")
-    if skewed:
-        hot = heaviest(smallest.select(F.col("u").alias("lo"), "n"))
-        joined = salted_join(pairs, centers, ["lo"], by=["hi"], hot=hot)
-    else:
-        joined = pairs.join(centers, "lo")
-    return joined.select("hi", F.col("m").alias("lo")).distinct()
+    return pairs.join(centers, "lo").select("hi", F.col("m").alias("lo")).distinct()
 
 
-def _small_star(pairs: DataFrame, skewed: bool) -> DataFrame:
+def _small_star(pairs: DataFrame) -> DataFrame:
     """Hang a vertex and its smaller neighbours on the smallest of them."""
-    smallest = pairs.groupBy("hi").agg(
-        F.min("lo").alias("m"), F.count(F.lit(1)).alias("n")
-    )
-    if skewed:
-        hot = heaviest(smallest.select("hi", "n"))
-        joined = salted_join(pairs, smallest.select("hi", "m"), ["hi"], by=["lo"], hot=hot)
-    else:
-        joined = pairs.join(smallest.select("hi", "m"), "hi")
+    smallest = pairs.groupBy("hi").agg(F.min("lo").alias("m"))
     hung = F.array(
         F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
         F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
     )
+    joined = pairs.join(smallest, "hi")
     return joined.select(F.inline(hung)).filter(F.col("hi") > F.col("lo")).distinct()
 
 
@@ -71,9 +58,7 @@ def stars(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for number in range(max_rounds):
         path = f"{root}/round={number}"
         if number:
-            # No vertex can be hot among fewer edges than one task takes.
-            skewed = previous[0] > ROWS_PER_CHUNK
-            pairs = _small_star(_large_star(pairs, skewed), skewed)
+            pairs = _small_star(_large_star(pairs))
         pairs.write.parquet(path)
         pairs = spark.read.schema(pairs.schema).parquet(path)
         current = tuple(pairs.agg(*fingerprint).first())

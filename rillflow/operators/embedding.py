@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.vectors import add_scaled, column_sums, from_columns
-from rillflow.operators.joins import fits, pair_blocks, salted_join
-from rillflow.operators.vocabulary import BROADCAST_WORDS, text_tokens
+from rillflow.operators.joins import fits, pair_blocks
+from rillflow.operators.vocabulary import BROADCAST_BYTES, text_tokens, word_bytes
 from rillflow.session import materialize
 
 MAX_BLOCK_ROWS = 16_384
@@ -27,20 +27,20 @@ MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024
 
 
-def occurrences(texts: DataFrame, vocab: DataFrame, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+def occurrences(texts: DataFrame, vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The known words of each text in order: ``doc_id``, ``pos``, ``id``.
 
     A vocabulary of a checked size is broadcast; the texts are then partitioned
     by document before they are split into words, and the later window needs no
-    shuffle of the words. A larger one is joined by word, very common words being
-    dealt out over several tasks.
+    shuffle of the words. A larger one is joined by word; Spark splits the
+    partitions of very common words.
     """
     known = vocab.select("word", "id")
-    if fits(known, broadcast_words):
+    if fits(known, broadcast_bytes, word_bytes()):
         words = text_tokens(texts.repartition("doc_id"))
         joined = words.join(F.broadcast(known), "word")
     else:
-        joined = salted_join(text_tokens(texts), known, ["word"], by=["doc_id", "pos"])
+        joined = text_tokens(texts).join(known, "word")
     return joined.select("doc_id", "pos", "id")
 
 

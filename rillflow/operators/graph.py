@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import salted_join
-
 
 @dataclass(frozen=True)
 class Graph:
@@ -75,19 +73,19 @@ def join_vertices(g: Graph, other: DataFrame, updates: Callable[[DataFrame], Map
     return Graph(joined.withColumns(changed).select(*g.vertices.columns), g.edges)
 
 
-def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst"), **limits: int) -> DataFrame:
+def triplets(g: Graph, ends: tuple[str, ...] = ("src", "dst")) -> DataFrame:
     """Edges with the attributes of their ends as structs ``src_attr`` and ``dst_attr``.
 
-    Name only the ends that are needed: each one is a join on the edges. A vertex
-    with very many edges is dealt out over several tasks.
+    Name only the ends that are needed: each one is a join on the edges. Spark
+    splits the partition of a vertex with very many edges at run time; a small
+    vertex table it broadcasts.
     """
     result = g.edges
     for end in ends:
-        other = "dst" if end == "src" else "src"
         attributes = g.vertices.select(
             F.col("id").alias(end), F.struct("id", *g.attributes).alias(f"{end}_attr")
         )
-        result = salted_join(result, attributes, [end], by=[other], counted=g.edges, **limits)
+        result = result.join(attributes, end)
     order = ["src", "dst", *g.edge_attributes, *[f"{end}_attr" for end in ends]]
     return result.select(*order)
 
@@ -196,7 +194,7 @@ def subgraph(g: Graph, vertex: Column | None = None, edge: Column | None = None,
     if vertex is None:
         return Graph(g.vertices, edges)
     vertices = g.vertices.filter(vertex)
-    for end, other in (("src", "dst"), ("dst", "src")):
+    for end in ("src", "dst"):
         kept = vertices.select(F.col("id").alias(end))
-        edges = salted_join(edges, kept, [end], by=[other], how="left_semi", counted=g.edges)
+        edges = edges.join(kept, end, "left_semi")
     return Graph(vertices, edges.select(*g.edges.columns))

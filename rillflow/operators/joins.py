@@ -1,102 +1,68 @@
-"""Equi-joins that stay balanced when a few keys hold most of the rows."""
+"""Work on key groups of any size: crowded keys cut into chunks, grids of blocks.
+
+Plain equi-joins need none of this: Spark splits the partitions of a hot key at run
+time (``spark.sql.adaptive.skewJoin``). Chunks are for joins whose *output* per key
+is quadratic, where no key may become one task's work.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
-MAX_CELL_PARTITIONS = 20_000
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 10_000  # of one key; beyond it the chunks grow
 SALT = "_salt"
 
+#: Beyond so many partitions several cells share one; a parameter of :func:`pair_blocks`.
+CELL_PARTITIONS = 20_000
+
 
-def heaviest(counts: DataFrame, n: str = "n", rows_per_chunk: int = ROWS_PER_CHUNK,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """The keys with more than ``rows_per_chunk`` rows, each with its number of chunks.
+def crowded_keys(df: DataFrame, keys: Sequence[str], rows_per_chunk: int) -> DataFrame:
+    """Every key with more than ``rows_per_chunk`` rows and its number of chunks, ``_chunks``.
 
-    At most ``max_keys`` rows come back, the heaviest ones, so the result may
-    always be broadcast. A key outside the list just keeps a single chunk, which
-    touches only the balance of the tasks and never the result.
+    Partial counts go before the shuffle. All such keys are listed, however many;
+    the list is joined to, not broadcast by force.
     """
-    return (
-        counts.filter(F.col(n) > rows_per_chunk)
-        .orderBy(F.desc(n))
-        .limit(max_keys)
-        .withColumn(
-            "_chunks",
-            F.least(F.ceil(F.col(n) / F.lit(rows_per_chunk)), F.lit(MAX_CHUNKS)).cast("int"),
-        )
-        .drop(n)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > rows_per_chunk).select(
+        *keys, F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("int").alias("_chunks")
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], **limits: int) -> DataFrame:
-    """:func:`heaviest` over the key columns of ``df`` (partial counts before the shuffle)."""
-    return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), **limits)
-
-
-def spread(df: DataFrame, hot: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Give each row of a hot key one of the key's chunks, picked by a hash of ``by``."""
+def spread(df: DataFrame, crowded: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Give each row of a crowded key one of the key's chunks, picked by a hash of ``by``."""
     chunks = F.coalesce(F.col("_chunks"), F.lit(1))
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
+        df.join(crowded, list(keys), "left")
         .withColumn(SALT, F.pmod(F.xxhash64(*by), chunks).cast("int"))
         .drop("_chunks")
     )
 
 
-def replicate(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeat each row of a hot key once for every chunk of that key."""
+def replicate(df: DataFrame, crowded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Repeat each row of a crowded key once for every chunk of that key."""
     last = F.coalesce(F.col("_chunks"), F.lit(1)) - 1
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
+        df.join(crowded, list(keys), "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
         .drop("_chunks")
     )
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str],
-                how: str = "inner", hot: DataFrame | None = None,
-                counted: DataFrame | None = None, skewed: bool = True,
-                **limits: int) -> DataFrame:
-    """Join where ``left`` may be skewed on ``keys``.
-
-    Rows of a hot key are dealt out over its chunks by a hash of the ``by``
-    columns, and the matching ``right`` rows are repeated per chunk, so every
-    left row still meets every right row of its key exactly once. Valid for
-    inner, left, left semi and left anti joins. The hot keys are counted in
-    ``counted`` where that is cheaper to read than ``left``, or given as ``hot``.
-    Where the caller knows that no key can be hot, ``skewed=False`` joins plainly.
-    """
-    keys = list(keys)
-    if not skewed:
-        return left.join(right, keys, how)
-    if hot is None:
-        hot = hot_keys(left if counted is None else counted, keys, **limits)
-    return (
-        spread(left, hot, keys, by)
-        .join(replicate(right, hot, keys), [*keys, SALT], how)
-        .drop(SALT)
-    )
-
-
-def pair_blocks(left: DataFrame, right: DataFrame, cells: int):
+def pair_blocks(left: DataFrame, right: DataFrame, cells: int, most: int = CELL_PARTITIONS):
     """Group two sides by their block numbers ``a`` and ``b``, cell by cell.
 
     A cell is much work on few bytes, so the number of partitions follows the
-    number of cells and is not left to be merged by size.
+    number of cells, up to ``most``, and is not left to be merged by size.
     """
-    n = min(2 * cells, MAX_CELL_PARTITIONS)
+    n = min(2 * cells, most)
     return (
         left.repartition(n, "a", "b").groupBy("a", "b")
         .cogroup(right.repartition(n, "a", "b").groupBy("a", "b"))
     )
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; looks at no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_bytes: int, size: Column) -> bool:
+    """Whether the rows of ``df`` have at most ``max_bytes`` bytes in all, ``size`` being a row's."""
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes

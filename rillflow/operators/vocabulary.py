@@ -5,16 +5,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.text import chosen_text, may_become_word, tokens
 from rillflow.functions.vectors import seeded_vector
-from rillflow.operators.joins import fits, salted_join
+from rillflow.operators.joins import fits
 from rillflow.operators.numbering import dense_ids
 
 ADMIT_ABOVE = 10
-BROADCAST_WORDS = 200_000  # at well under 100 bytes per word and id
+BROADCAST_BYTES = 32 << 20  # of words and ids, as the checked sum of their lengths
+
+
+def word_bytes() -> Column:
+    """What a row of word and id takes in a broadcast table, about."""
+    return F.octet_length("word") + 40
 
 
 def kept_texts(texts: DataFrame, lang: str = "en") -> DataFrame:
@@ -32,16 +37,16 @@ def text_tokens(texts: DataFrame) -> DataFrame:
 
 
 def new_words_by_text(texts: DataFrame, vocab: DataFrame,
-                      broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The distinct words of each text that may enter the vocabulary: ``doc_id``, ``word``.
 
     Known words go before the shuffle if the vocabulary, its size checked, can be broadcast.
     """
     found = text_tokens(texts).filter(may_become_word(F.col("word"))).select("doc_id", "word")
     known = vocab.select("word")
-    if fits(known, broadcast_words):
+    if fits(known, broadcast_bytes, word_bytes()):
         return found.join(F.broadcast(known), "word", "left_anti").select("doc_id", "word").distinct()
-    unknown = salted_join(found.distinct(), known, ["word"], by=["doc_id"], how="left_anti")
+    unknown = found.distinct().join(known, "word", "left_anti")
     return unknown.select("doc_id", "word")
 
 

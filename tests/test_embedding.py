@@ -76,7 +76,7 @@ def test_step_against_definition(spark, monkeypatch, block_rows):
 def test_large_vocabulary_is_not_broadcast(spark):
     words, points, matrix, texts = setup(3)
     batch, vocab, _ = frames(spark, words, points, matrix, texts)
-    assert rows(embedding.occurrences(batch, vocab, broadcast_words=3)) == rows(
+    assert rows(embedding.occurrences(batch, vocab, broadcast_bytes=3)) == rows(
         embedding.occurrences(batch, vocab)
     )
 

@@ -115,7 +115,6 @@ def test_components_against_union_find(spark, monkeypatch, kind):
         "random": [(rng.randrange(n), rng.randrange(n)) for _ in range(45)],
         "loops": [(i, i) for i in range(5)] + [(7, 3), (3, 7)],
     }[kind]
-    monkeypatch.setattr(components, "ROWS_PER_CHUNK", 4)  # takes the salted path
     g = graph.Graph(
         spark.range(n), spark.createDataFrame(pairs, "src bigint, dst bigint")
     )
@@ -125,5 +124,5 @@ def test_components_against_union_find(spark, monkeypatch, kind):
 def test_triplets_with_a_hot_vertex(spark):
     vertices = spark.range(100).withColumn("name", F.col("id").cast("string"))
     edges = spark.range(1, 100).select(F.col("id").alias("src"), F.lit(0).cast("bigint").alias("dst"))
-    got = graph.triplets(graph.Graph(vertices, edges), rows_per_chunk=10)
+    got = graph.triplets(graph.Graph(vertices, edges))
     assert rows(got.select("src", "dst_attr.name")) == [(i, "0") for i in range(1, 100)]

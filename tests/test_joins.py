@@ -1,36 +1,37 @@
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from rillflow.operators.joins import fits, heaviest, hot_keys, salted_join
+from rillflow.operators.joins import SALT, crowded_keys, fits, replicate, spread
 from rillflow.operators.numbering import dense_ids
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_chunked_join_equals_plain_join(spark):
     left = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k")
     )
     right = spark.createDataFrame([(7, "hot"), (7, "again"), (8, "x"), (60, "y")], "k bigint, v string")
-    salted = salted_join(left, right, ["k"], by=["id"], how=how, rows_per_chunk=100)
-    assert rows(salted, *sorted(salted.columns)) == rows(
-        left.join(right, "k", how), *sorted(salted.columns)
-    )
-    assert rows(hot_keys(left, ["k"], rows_per_chunk=100)) == [(7, 11)]
+    crowded = crowded_keys(left, ["k"], 100)
+    assert rows(crowded) == [(7, 11)]
+    chunked = spread(left, crowded, ["k"], ["id"]).join(replicate(right, crowded, ["k"]), ["k", SALT]).drop(SALT)
+    assert rows(chunked, "k", "id", "v") == rows(left.join(right, "k"), "k", "id", "v")
 
 
-def test_chunks_of_one_key_are_bounded(spark):
-    counts = spark.createDataFrame([(1, 10**12)], "id bigint, n bigint")
-    assert heaviest(counts).first()["_chunks"] == 10_000
+def test_no_crowded_key_is_left_out(spark):
+    """More crowded keys than any list used to hold, all of the same size."""
+    left = spark.range(9000).select((F.col("id") % 3000).alias("k"), "id")
+    assert crowded_keys(left, ["k"], 2).count() == 3000
+    assert crowded_keys(left, ["k"], 3).count() == 0
 
 
-def test_hot_list_is_bounded(spark):
-    counts = spark.range(100).select("id", (F.col("id") + 10).alias("n"))
-    assert rows(heaviest(counts, rows_per_chunk=5, max_keys=3), "id") == [(97,), (98,), (99,)]
+def test_chunks_of_one_key_have_no_bound(spark):
+    left = spark.range(50_000).select(F.lit(1).alias("k"))
+    assert rows(crowded_keys(left, ["k"], 1)) == [(1, 50_000)]
 
 
 def test_fits(spark):
-    assert fits(spark.range(5), 5) and not fits(spark.range(6), 5)
+    df = spark.createDataFrame([("abc",), ("de",)], "w string")
+    assert fits(df, 5, F.octet_length("w")) and not fits(df, 4, F.octet_length("w"))
+    assert fits(df.limit(0), 0, F.octet_length("w"))
 
 
 def test_dense_ids(spark):

@@ -36,7 +36,7 @@ def test_new_words(spark):
     texts = spark.createDataFrame([(1, "dog the dog cat"), (2, "dog bird http://x")], "doc_id bigint, text string")
     vocab = spark.createDataFrame([("cat", 0, [0.0])], "word string, id int, vector array<double>")
     assert rows(vocabulary.new_words_by_text(texts, vocab)) == [(1, "dog"), (2, "bird"), (2, "dog")]
-    assert rows(vocabulary.new_words_by_text(texts, vocab, broadcast_words=0)) == [
+    assert rows(vocabulary.new_words_by_text(texts, vocab, broadcast_bytes=0)) == [
         (1, "dog"), (2, "bird"), (2, "dog")
     ]
     assert rows(vocabulary.new_words(texts, vocab)) == [("bird",), ("dog",)]
