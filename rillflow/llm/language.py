@@ -151,12 +151,12 @@ class CrossParser:
 _PARSERS: dict[str, CrossParser] = {}
 
 
-def sample_texts(labelled: DataFrame, rows: int = 24, chars: int = 24_576) -> dict[str, list[bytes]]:
+def sample_texts(labelled: DataFrame, rows: int = 16, chars: int = 16_384) -> dict[str, list[bytes]]:
     """For each language, texts of ``rows`` documents by a hash of their id, ``chars`` bytes in all.
 
     ``labelled`` has doc_id, lang and text. At most ``rows`` rows per language
     leave a task, and each brings an equal part of the bytes, so that the sample
-    stays within its bound (about 1.2 MB for each language as a table).
+    stays within its bound (about 8 MB for each language as a table).
     """
     part = chars // rows
     place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: What one step of an Arrow function takes at once, whatever the size of a batch.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
@@ -38,7 +38,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered for up to ``most`` words (a cache, not a vocabulary)."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
