@@ -20,7 +20,7 @@ def with_int(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
 def ballot_order(ballots: DataFrame) -> DataFrame:
     """The candidates in the order of the ballot, which is text and sorts as text."""
     pairs = distinct_values(ballots, "candidate_name", "candidate_ballot_order")
-    return pairs.orderBy("candidate_ballot_order")
+    return pairs.orderBy("candidate_ballot_order", "candidate_name")
 
 
 def friendly_order(ballots: DataFrame, names: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from rillflow.operators.vocabulary import admit, kept_texts, new_words
 from rillflow.session import materialize, new_scratch, over_cores
 from rillflow.sources.logs import good_lines, parse_lines
 
+# Fixed value: the vertex of an id that only edges name.
 UNKNOWN_PERSON = {"name": "John Doe", "age": -1}
 BATCHES = 12
 
@@ -70,18 +71,17 @@ def friendly_orders(spark: SparkSession) -> DataFrame:
 
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers without debts; the others are known only from the edges."""
-    return table(spark, sf, "customer").filter("c_acctbal >= 0").select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         (F.col("c_custkey") % 60 + 18).cast("int").alias("age"),
     )
 
 
 def likes(spark: SparkSession, sf: str) -> DataFrame:
-    """From the customer of an urgent order to that of the next order if it is urgent too."""
-    urgent = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
-    first = urgent.select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") + 1).alias("key"))
-    second = urgent.select(F.col("o_custkey").alias("dst"), F.col("o_orderkey").alias("key"))
+    """From the customer of an order to that of the next order."""
+    orders = table(spark, sf, "orders")
+    first = orders.select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") + 1).alias("key"))
+    second = orders.select(F.col("o_custkey").alias("dst"), F.col("o_orderkey").alias("key"))
     return (
         first.join(second, "key")
         .filter(F.col("src") != F.col("dst"))
@@ -95,6 +95,13 @@ def social_graph(spark: SparkSession, sf: str) -> Graph:
     return build_graph(people(spark, sf), materialize(likes(spark, sf), "likes"), UNKNOWN_PERSON)
 
 
+def partly_known_graph(spark: SparkSession, sf: str) -> Graph:
+    """The same edges, but customers with debts are known from the edges only."""
+    solvent = table(spark, sf, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
+    known = people(spark, sf).join(solvent, "id", "left_semi")
+    return build_graph(known, materialize(likes(spark, sf), "likes"), UNKNOWN_PERSON)
+
+
 def tagged_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the distinct words of their text as tags; equal texts are the same entity."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)")))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +52,32 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/rillflow-{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch scope", default=None)
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path below the shared scratch folder."""
-    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scope.get() is not None:
+        _scope.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders named inside the block are deleted at its end.
+
+    For a unit of work whose results are stored elsewhere by then, such as a
+    batch of a stream.
+    """
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
 def drop_scratch(spark: SparkSession) -> None:

@@ -1,10 +1,13 @@
 """A keyed result table that micro-batches upsert into, as plain parquet folders.
 
-``changes/batch=N`` holds the rows that batch N set, ``full/batch=N`` all rows
-after batch N. A batch writes only its own folder, so replaying it leaves the
-same table, and a batch costs what it changes, not what the table holds. A
-reader takes the newest full folder and the changes after it; the newest row of
-a key counts.
+``changes/version=N`` holds the rows that the N-th write set, ``full/version=N`` all
+rows after it. Versions are the table's own: a write takes the newest finished
+version plus one, whatever the number of the batch, so a stream that starts again
+with a new checkpoint goes on where the table is. Each version has a marker that
+names the writer and its batch; a replayed batch of the same writer finds its
+marker and writes the same version again. A write costs what it changes. A reader
+takes the newest full folder and the changes after it; the newest row of a key
+counts. One writer at a time.
 """
 
 from __future__ import annotations
@@ -15,52 +18,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rillflow.sources.paths import delete, exists, is_finished, last_finished, numbers
+from rillflow.sources.paths import delete, is_finished, last_finished, numbers, read_text, write_text
+
+KINDS = ("full", "changes")
 
 
 def create_table(spark: SparkSession, path: str, schema: StructType | str) -> None:
-    """Create the table with its declared schema unless it is there already."""
-    if not exists(spark, f"{path}/full"):
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/full/batch=-1")
+    """Create the table with its declared schema unless a finished full folder is there."""
+    if last_finished(spark, f"{path}/full", "version") is None:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/full/version=0")
+
+
+def _versions(spark: SparkSession, path: str, kind: str) -> list[int]:
+    folder = f"{path}/{kind}"
+    return [n for n in numbers(spark, folder, "version") if is_finished(spark, folder, "version", n)]
+
+
+def version_for(spark: SparkSession, path: str, writer: str, batch: int) -> int:
+    """The version under which ``writer`` stores ``batch``: its own if it is a replay, else a new one."""
+    newest = max((n for kind in KINDS for n in _versions(spark, path, kind)), default=0)
+    if read_text(spark, f"{path}/markers/{newest}") == f"{writer} {batch}":
+        return newest
+    return newest + 1
 
 
 def read_table(spark: SparkSession, path: str, key: list[str], before: int | None = None) -> DataFrame:
-    """The current rows, or those before batch ``before``."""
-
-    base = last_finished(spark, f"{path}/full", "batch", before)
-    later = [
-        n
-        for n in numbers(spark, f"{path}/changes", "batch")
-        if n > base and (before is None or n < before)
-        and is_finished(spark, f"{path}/changes", "batch", n)
-    ]
+    """The current rows, or those before version ``before``. A table that was never created is an error."""
+    base = last_finished(spark, f"{path}/full", "version", before)
+    if base is None:
+        raise FileNotFoundError(f"no finished table at {path}")
+    later = [n for n in _versions(spark, path, "changes") if n > base and (before is None or n < before)]
     parts = [
-        spark.read.parquet(f"{path}/{kind}/batch={n}").withColumn("_batch", F.lit(n))
+        spark.read.parquet(f"{path}/{kind}/version={n}").withColumn("_version", F.lit(n))
         for kind, chosen in (("full", [base]), ("changes", later))
         for n in chosen
     ]
-    names = [c for c in parts[0].columns if c not in (*key, "_batch")]
+    names = [c for c in parts[0].columns if c not in (*key, "_version")]
     if len(parts) == 1:
-        return parts[0].drop("_batch")
+        return parts[0].drop("_version")
     rows = reduce(DataFrame.unionByName, parts)
-    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*names), "_batch").alias("_row"))
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*names), "_version").alias("_row"))
     return newest.select(*key, *[F.col(f"_row.{c}").alias(c) for c in names])
 
 
-def upsert(df: DataFrame, path: str, key: list[str], batch: int, full_every: int = 50) -> None:
-    """Set the rows of ``df`` (one per key) in the table at ``path`` as batch ``batch``."""
-    if batch % full_every:
-        df.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
+def upsert(df: DataFrame, path: str, key: list[str], batch: int, full_every: int = 50,
+           writer: str = "") -> None:
+    """Set the rows of ``df`` (one per key) in the table at ``path`` as batch ``batch`` of ``writer``.
+
+    The marker is written first: a crash after it leaves an unfinished folder,
+    which the replay overwrites.
+    """
+    spark = df.sparkSession
+    version = version_for(spark, path, writer, batch)
+    write_text(spark, f"{path}/markers/{version}", f"{writer} {batch}")
+    if version % full_every:
+        df.write.mode("overwrite").parquet(f"{path}/changes/version={version}")
         return
-    old = read_table(df.sparkSession, path, key, before=batch)
+    old = read_table(spark, path, key, before=version)
     merged = old.join(df.select(*key), key, "left_anti").unionByName(df.select(*old.columns))
-    merged.write.mode("overwrite").parquet(f"{path}/full/batch={batch}")
-    _forget(df.sparkSession, path, last_finished(df.sparkSession, f"{path}/full", "batch", batch))
+    merged.write.mode("overwrite").parquet(f"{path}/full/version={version}")
+    _forget(spark, path, last_finished(spark, f"{path}/full", "version", version))
 
 
 def _forget(spark: SparkSession, path: str, base: int) -> None:
     """Drop what is older than the full folder ``base``; that one stays for running readers."""
-    for kind in ("full", "changes"):
-        for n in numbers(spark, f"{path}/{kind}", "batch"):
+    for kind in KINDS:
+        for n in numbers(spark, f"{path}/{kind}", "version"):
             if n < base:
-                delete(spark, f"{path}/{kind}/batch={n}")
+                delete(spark, f"{path}/{kind}/version={n}")
+                delete(spark, f"{path}/markers/{n}")

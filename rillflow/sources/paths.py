@@ -23,6 +23,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, such as a marker."""
+    fs, where = _open(spark, path)
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What :func:`write_text` wrote, None without the file."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """The ``N`` of all children ``<prefix>=N``, ascending; one listing."""
     fs, where = _open(spark, path)

@@ -11,8 +11,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     A file is read in splits. Inside a split the lines keep their order, so only
     the line count of each split has to be known to number all lines; the lines
-    themselves are never sorted or shuffled. The counts are broadcast: one row per
-    split, a list that the driver holds anyway to plan the scan.
+    themselves are never sorted, and the table of counts, one row per split, is
+    broadcast if Spark finds it small.
     """
     split = ["_file", "_start"]
     lines = spark.read.text(path).select(
@@ -28,7 +28,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     offsets = sizes.select(
         *split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    return lines.join(F.broadcast(offsets), split).select(
+    return lines.join(offsets, split).select(
         (F.col("_offset") + F.col("_mid") - F.col("_first")).alias("id"), "line"
     )
 

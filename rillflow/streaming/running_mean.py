@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillflow.sources.keyed import create_table, read_table, upsert
+from rillflow.sources.keyed import create_table, read_table, upsert, version_for
+from rillflow.sources.paths import read_text
 
 MEAN_SCHEMA = "word string, count float"
 STATE_SCHEMA = "word string, total double, n bigint"
@@ -17,6 +18,11 @@ def _trigger(seconds: str | None) -> dict:
     return {"availableNow": True} if seconds is None else {"processingTime": seconds}
 
 
+def writer_of(spark, checkpoint: str) -> str:
+    """The id of the query that the checkpoint belongs to; a new checkpoint has a new one."""
+    return " ".join((read_text(spark, f"{checkpoint}/metadata") or "").split())
+
+
 def good_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with a number. The progress of the query reports how many had none."""
     return pairs.observe(
@@ -36,7 +42,7 @@ def write_running_mean(pairs: DataFrame, table: str, checkpoint: str,
     create_table(spark, table, MEAN_SCHEMA)
 
     def write(changed: DataFrame, batch: int) -> None:
-        upsert(changed, table, ["word"], batch)
+        upsert(changed, table, ["word"], batch, writer=writer_of(spark, checkpoint))
 
     return (
         running_mean(pairs).writeStream.outputMode("update")
@@ -76,24 +82,29 @@ def write_mean_trace(pairs: DataFrame, order: str, out: str, checkpoint: str,
                      every: str | None = TRIGGER, width: int = 100_000) -> StreamingQuery:
     """One result row per input row, in ``out/trace``; the state per word is a keyed table.
 
-    A batch reads the state before it and writes only folders of its own number,
-    so a replayed batch takes effect once.
+    A batch reads the state before it and writes only folders of its own version of
+    the state, so a replayed batch takes effect once and a new checkpoint goes on
+    from the state. Its rows are read once.
     """
     spark = pairs.sparkSession
     create_table(spark, f"{out}/state", STATE_SCHEMA)
 
     def write(batch_rows: DataFrame, batch: int) -> None:
-        state = read_table(batch_rows.sparkSession, f"{out}/state", ["word"], before=batch)
-        trace = mean_trace(batch_rows, state, order, width)
-        trace.write.mode("overwrite").parquet(f"{out}/trace/batch={batch}")
-        added = batch_rows.groupBy("word").agg(
-            F.sum("value").alias("total"), F.count("value").alias("n")
-        )
-        touched = state.join(added.select("word"), "word", "left_semi")
-        total = touched.unionByName(added).groupBy("word").agg(
-            F.sum("total").alias("total"), F.sum("n").alias("n")
-        )
-        upsert(total, f"{out}/state", ["word"], batch)
+        session, writer = batch_rows.sparkSession, writer_of(spark, checkpoint)
+        version = version_for(session, f"{out}/state", writer, batch)
+        state = read_table(session, f"{out}/state", ["word"], before=version)
+        kept = batch_rows.persist()
+        try:
+            trace = mean_trace(kept, state, order, width)
+            trace.write.mode("overwrite").parquet(f"{out}/trace/batch={version}")
+            added = kept.groupBy("word").agg(F.sum("value").alias("total"), F.count("value").alias("n"))
+            touched = state.join(added.select("word"), "word", "left_semi")
+            total = touched.unionByName(added).groupBy("word").agg(
+                F.sum("total").alias("total"), F.sum("n").alias("n")
+            )
+            upsert(total, f"{out}/state", ["word"], batch, writer=writer)
+        finally:
+            kept.unpersist()
 
     return (
         good_pairs(pairs).writeStream.option("checkpointLocation", checkpoint)

@@ -1,9 +1,12 @@
 """Training word vectors on a stream of short texts, batch by batch.
 
-After each batch the state lies in ``vocab``, ``weights`` and ``contenders``, one
-folder per batch that changed it, and one row of counts in ``metrics``. That row
-is written last and marks the batch as done: a batch that is replayed starts from
-the state of the last one done before it and writes the same folders again.
+The state lies in ``vocab``, ``weights`` and ``contenders``, one folder per version
+that changed it, in the keyed table ``metrics`` and in the file ``done``, which names
+the last finished version and is written last. Versions are the state's own: a
+batch gets the last finished one plus one, whatever its number in the stream, so a
+new checkpoint goes on from the state that is there. The file ``marker`` names the
+stream and batch of the version under way; a batch that is replayed finds itself
+there, starts from the state before it and writes the same folders again.
 """
 
 from __future__ import annotations
@@ -18,8 +21,10 @@ from rillflow.operators.embedding import train_step
 from rillflow.operators.vocabulary import (
     ADMIT_ABOVE, admit, count_contenders, decay_contenders, kept_texts, new_words,
 )
-from rillflow.session import materialize
-from rillflow.sources.paths import delete, is_finished, last_finished, numbers
+from rillflow.session import materialize, scratch_scope
+from rillflow.sources.keyed import create_table, read_table, upsert
+from rillflow.sources.paths import delete, last_finished, numbers, read_text, write_text
+from rillflow.streaming.running_mean import writer_of
 
 SCHEMAS = {
     "vocab": "word string, id int, vector array<double>",
@@ -31,7 +36,10 @@ METRICS_SCHEMA = "batch bigint, n_words bigint, n_contenders bigint, n_texts big
 
 @dataclass(frozen=True)
 class Settings:
-    """Counts are in batches of ``every``: with ten seconds, a snapshot each five minutes."""
+    """Counts are in batches of ``every``: with ten seconds, a snapshot each five minutes.
+
+    ``keep_versions`` and ``keep_snapshots`` are how many of the newest stay.
+    """
 
     length: int = 16
     context: int = 2
@@ -41,16 +49,40 @@ class Settings:
     decay_every: int = 60
     snapshot_every: int = 30
     every: str | None = "10 seconds"
+    keep_versions: int = 3
+    keep_snapshots: int = 2
+
+
+def last_version(spark: SparkSession, state: str) -> int | None:
+    """The last finished version, -1 before any batch, None where there is no state."""
+    done = read_text(spark, f"{state}/done")
+    return None if done is None else int(done)
+
+
+def create_state(spark: SparkSession, state: str, snapshots: str | None = None) -> None:
+    """Start a state, from the newest snapshot if there is one. One that is there stays."""
+    if last_version(spark, state) is not None:
+        return
+    create_table(spark, f"{state}/metrics", METRICS_SCHEMA)
+    if snapshots and last_finished(spark, f"{snapshots}/w", "batch") is not None:
+        for name, df in load_snapshot(spark, snapshots).items():
+            df.write.mode("overwrite").parquet(f"{state}/{name}/batch=-1")
+    write_text(spark, f"{state}/done", "-1")
 
 
 def load_state(spark: SparkSession, state: str, before: int | None = None) -> dict[str, DataFrame]:
-    """The tables after the last finished batch (before batch ``before``), empty at the start."""
-    done = last_finished(spark, f"{state}/metrics", "batch", before)
+    """The tables after the last finished version (before version ``before``).
+
+    A table that no version has written is empty; a state that was never created is an error.
+    """
+    done = last_version(spark, state)
+    if done is None:
+        raise FileNotFoundError(f"no training state at {state}")
+    if before is not None:
+        done = min(done, before - 1)
     tables = {}
     for name, schema in SCHEMAS.items():
-        version = None
-        if done is not None:
-            version = last_finished(spark, f"{state}/{name}", "batch", before=done + 1)
+        version = last_finished(spark, f"{state}/{name}", "batch", before=done + 1)
         if version is not None:
             tables[name] = spark.read.schema(schema).parquet(f"{state}/{name}/batch={version}")
         else:
@@ -58,10 +90,13 @@ def load_state(spark: SparkSession, state: str, before: int | None = None) -> di
     return tables
 
 
-def save_snapshot(tables: dict[str, DataFrame], path: str, number: int) -> None:
-    """Vocabulary and weights as ``words`` and ``w``."""
+def save_snapshot(tables: dict[str, DataFrame], path: str, number: int, keep: int = 2) -> None:
+    """Vocabulary and weights as ``words`` and ``w``; the newest ``keep`` snapshots stay."""
+    spark = tables["vocab"].sparkSession
     tables["vocab"].write.mode("overwrite").parquet(f"{path}/words/batch={number}")
     tables["weights"].write.mode("overwrite").parquet(f"{path}/w/batch={number}")
+    for kind in ("w", "words"):
+        _prune(spark, f"{path}/{kind}", number, keep)
 
 
 def load_snapshot(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -75,64 +110,79 @@ def load_snapshot(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
+def _claimed(spark: SparkSession, state: str, writer: str, batch: int) -> int:
+    """The version of a batch: the one it has claimed before if it is a replay, else a new one."""
+    claim = f"{writer} {batch}"
+    number, _, owner = (read_text(spark, f"{state}/marker") or "").partition(" ")
+    if owner == claim:
+        return int(number)
+    version = last_version(spark, state) + 1
+    write_text(spark, f"{state}/marker", f"{version} {claim}")
+    return version
+
+
 def process_batch(texts: DataFrame, batch: int, state: str, settings: Settings,
-                  snapshots: str | None = None) -> None:
+                  snapshots: str | None = None, writer: str = "") -> None:
     """Train on one batch with the words known before it, then count and admit its new words."""
     spark = texts.sparkSession
-    tables = load_state(spark, state, before=batch)
-    kept = kept_texts(texts, settings.lang).persist()
-    try:
-        n_texts = kept.count()
-        n_words = tables["weights"].count()
-
-        def save(name: str, df: DataFrame) -> DataFrame:
-            path = f"{state}/{name}/batch={batch}"
-            df.write.mode("overwrite").parquet(path)
-            return spark.read.schema(SCHEMAS[name]).parquet(path)
-
-        vocab, weights, contenders = tables["vocab"], tables["weights"], tables["contenders"]
-        changed = False
-        if n_texts:
-            seen = new_words(kept, vocab)
-            counted = materialize(count_contenders(contenders, seen), "contenders")
-            if n_words:
-                vocab, weights = train_step(
-                    kept, vocab, weights, settings.rate, settings.context, settings.length,
-                    n_texts=n_texts, n_words=n_words,
-                )
-                changed = True
-            n_ready = counted.filter(F.col("n") > settings.admit_above).count()
-            contenders = counted
-            if n_ready:
-                more, more_weights, contenders = admit(
-                    counted, n_words, settings.length, settings.admit_above
-                )
-                vocab = vocab.unionByName(more.select(*vocab.columns))
-                weights = weights.unionByName(more_weights)
-                n_words += n_ready
-                changed = True
-        if batch and batch % settings.decay_every == 0:
-            contenders = decay_contenders(contenders)
-        if changed:
-            vocab, weights = save("vocab", vocab), save("weights", weights)
-        contenders = save("contenders", contenders)
-        if snapshots and batch and batch % settings.snapshot_every == 0:
-            save_snapshot({"vocab": vocab, "weights": weights}, snapshots, batch)
-        counts = [(batch, n_words, contenders.count(), n_texts)]
-        spark.createDataFrame(counts, METRICS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{state}/metrics/batch={batch}"
-        )
-        _forget(spark, state, batch)
-    finally:
-        kept.unpersist()
-
-
-def _forget(spark: SparkSession, state: str, batch: int, keep: int = 3) -> None:
-    """Drop all but the newest versions. No later batch starts before the last finished one."""
+    with scratch_scope(spark):
+        version = _claimed(spark, state, writer, batch)
+        tables = load_state(spark, state, before=version)
+        kept = kept_texts(texts, settings.lang).persist()
+        try:
+            _process(kept, version, tables, state, settings, snapshots)
+        finally:
+            kept.unpersist()
+
+
+def _process(kept: DataFrame, version: int, tables: dict[str, DataFrame], state: str,
+             settings: Settings, snapshots: str | None) -> None:
+    spark = kept.sparkSession
+    n_texts = kept.count()
+    n_words = tables["weights"].count()
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        path = f"{state}/{name}/batch={version}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
+
+    vocab, weights, contenders = tables["vocab"], tables["weights"], tables["contenders"]
+    changed = False
+    if n_texts:
+        seen = new_words(kept, vocab)
+        counted = materialize(count_contenders(contenders, seen), "contenders")
+        if n_words:
+            vocab, weights = train_step(
+                kept, vocab, weights, settings.rate, settings.context, settings.length,
+                n_texts=n_texts, n_words=n_words,
+            )
+            changed = True
+        n_ready = counted.filter(F.col("n") > settings.admit_above).count()
+        contenders = counted
+        if n_ready:
+            more, more_weights, contenders = admit(counted, n_words, settings.length, settings.admit_above)
+            vocab = vocab.unionByName(more.select(*vocab.columns))
+            weights = weights.unionByName(more_weights)
+            n_words += n_ready
+            changed = True
+    if version and version % settings.decay_every == 0:
+        contenders = decay_contenders(contenders)
+    if changed:
+        vocab, weights = save("vocab", vocab), save("weights", weights)
+    contenders = save("contenders", contenders)
+    if snapshots and version and version % settings.snapshot_every == 0:
+        save_snapshot({"vocab": vocab, "weights": weights}, snapshots, version, settings.keep_snapshots)
+    counts = spark.createDataFrame([(version, n_words, contenders.count(), n_texts)], METRICS_SCHEMA)
+    upsert(counts.coalesce(1), f"{state}/metrics", ["batch"], version)
+    write_text(spark, f"{state}/done", str(version))
     for name in SCHEMAS:
-        versions = numbers(spark, f"{state}/{name}", "batch")
-        for old in [n for n in versions if n <= batch][:-keep]:
-            delete(spark, f"{state}/{name}/batch={old}")
+        _prune(spark, f"{state}/{name}", version, settings.keep_versions)
+
+
+def _prune(spark: SparkSession, path: str, newest: int, keep: int) -> None:
+    """Drop all but the newest versions. No later batch starts before the last finished one."""
+    for old in [n for n in numbers(spark, path, "batch") if n <= newest][:-keep]:
+        delete(spark, f"{path}/batch={old}")
 
 
 def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settings = Settings(),
@@ -142,19 +192,11 @@ def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settin
     A new state starts from the newest snapshot, if there is one.
     """
     spark = texts.sparkSession
-    if snapshots and last_finished(spark, f"{state}/metrics", "batch") is None:
-        restored = load_snapshot(spark, snapshots)
-        n_words = restored["weights"].count()
-        if n_words:
-            for name, df in restored.items():
-                df.write.mode("overwrite").parquet(f"{state}/{name}/batch=-1")
-            spark.createDataFrame([(-1, n_words, 0, 0)], METRICS_SCHEMA).write.mode(
-                "overwrite"
-            ).parquet(f"{state}/metrics/batch=-1")
+    create_state(spark, state, snapshots)
     trigger = {"availableNow": True} if settings.every is None else {"processingTime": settings.every}
 
     def run(batch_texts: DataFrame, batch: int) -> None:
-        process_batch(batch_texts, batch, state, settings, snapshots)
+        process_batch(batch_texts, batch, state, settings, snapshots, writer_of(spark, checkpoint))
 
     return (
         texts.writeStream.option("checkpointLocation", checkpoint)
@@ -165,12 +207,5 @@ def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settin
 
 
 def read_metrics(spark: SparkSession, state: str) -> DataFrame:
-    """One row per batch: words known, contenders, texts kept."""
-    paths = [
-        f"{state}/metrics/batch={n}"
-        for n in numbers(spark, f"{state}/metrics", "batch")
-        if n >= 0 and is_finished(spark, f"{state}/metrics", "batch", n)
-    ]
-    if not paths:
-        return spark.createDataFrame([], METRICS_SCHEMA)
-    return spark.read.schema(METRICS_SCHEMA).parquet(*paths)
+    """One row per version: words known, contenders, texts kept."""
+    return read_table(spark, f"{state}/metrics", ["batch"])

@@ -85,7 +85,74 @@ def test_keyed_table(spark, tmp_path):
     }
     keyed.create_table(spark, path, schema)  # leaves an existing table alone
     assert keyed.read_table(spark, path, ["k"]).count() == 3
-    assert rows(keyed.read_table(spark, path, ["k"], before=2)) == [("a", 2), ("b", 1)]
+    assert now_at(spark, path, 4) == [("a", 2), ("b", 1), ("c", 7)]
+
+
+def now_at(spark, path, before):
+    return rows(keyed.read_table(spark, path, ["k"], before=before))
+
+
+def test_a_new_checkpoint_goes_on_with_the_table(spark, tmp_path):
+    """As often as it is compacted meanwhile, and with the same batch numbers."""
+    path, schema = str(tmp_path / "t"), "k string, v int"
+    keyed.create_table(spark, path, schema)
+    for n, (writer, batch) in enumerate([("x", 0), ("x", 1), ("x", 2), ("y", 0), ("y", 0), ("y", 1)]):
+        df = spark.createDataFrame([("a", 100 + n), (f"k{n}", n)], schema)
+        keyed.upsert(df, path, ["k"], batch, full_every=3, writer=writer)
+    # The replay of y's batch 0 has replaced its first run.
+    assert rows(keyed.read_table(spark, path, ["k"])) == [
+        ("a", 105), ("k0", 0), ("k1", 1), ("k2", 2), ("k4", 4), ("k5", 5)
+    ]
+
+
+def test_half_made_and_missing_tables(spark, tmp_path):
+    path = tmp_path / "t"
+    with pytest.raises(FileNotFoundError):
+        keyed.read_table(spark, str(path), ["k"])
+    (path / "full" / "version=0").mkdir(parents=True)  # a crash before the first write ended
+    keyed.create_table(spark, str(path), "k string, v int")
+    assert keyed.read_table(spark, str(path), ["k"]).count() == 0
+    with pytest.raises(FileNotFoundError):
+        training.load_state(spark, str(tmp_path / "none"))
+
+
+def test_running_mean_with_a_new_checkpoint(spark, tmp_path):
+    lines(tmp_path / "in", "1", "a,1", "b,10")
+    run_mean(spark, tmp_path)
+    lines(tmp_path / "in", "2", "a,3")
+    pairs = streams.keyed_numbers(streams.text_lines(spark, str(tmp_path / "in"), files_per_batch=1))
+    running_mean.write_running_mean(pairs, str(tmp_path / "avg"), str(tmp_path / "cp2"), every=None).awaitTermination()
+    assert rows(running_mean.read_running_mean(spark, str(tmp_path / "avg"))) == [("a", 2.0), ("b", 10.0)]
+
+
+def test_trace_reads_a_batch_once(spark, tmp_path):
+    data = [(i, f"w{i % 3},{i}" if i % 10 else "w0,bad") for i in range(200)]
+    spark.createDataFrame(data, "event_id bigint, value string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    pairs = streams.keyed_numbers(streams.parquet_rows(spark, str(tmp_path / "in"), "event_id bigint, value string"))
+    query = running_mean.write_mean_trace(pairs, "event_id", str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    query.awaitTermination()
+    [progress] = [p for p in query.recentProgress if p["numInputRows"]]
+    seen = progress["observedMetrics"]["pairs"]
+    assert (progress["numInputRows"], seen["n"], seen["n_bad"]) == (200, 200, 20)
+
+
+def test_batches_leave_no_scratch_and_few_folders(spark, tmp_path):
+    from rillflow.session import new_scratch
+    from rillflow.sources.paths import numbers
+
+    state, snapshots = str(tmp_path / "state"), str(tmp_path / "snap")
+    training.create_state(spark, state)
+    folder = new_scratch(spark, "x").rsplit("/", 1)[0]
+    import os
+
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for batch in range(10):
+        df = spark.createDataFrame([(batch, "dog cat", "en", None)], streams.SHORT_TEXT_SCHEMA)
+        training.process_batch(df, batch, state, SETTINGS, snapshots)
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) <= before
+    assert all(len(numbers(spark, f"{state}/{name}", "batch")) <= 3 for name in training.SCHEMAS)
+    assert len(numbers(spark, f"{snapshots}/w", "batch")) <= 2
+    assert training.read_metrics(spark, state).count() == 10
 
 
 def test_kafka_needs_its_package(spark):
@@ -130,8 +197,10 @@ def test_training_stream(spark, tmp_path):
 
     # A replayed batch starts from the state before it and ends in the same one.
     batch = spark.createDataFrame([(30, "dog cat", "en", None)], streams.SHORT_TEXT_SCHEMA)
-    training.process_batch(batch, 3, state, SETTINGS)
-    assert rows(spark.read.parquet(f"{state}/vocab/batch=3")) == trained
+    for _ in range(2):
+        training.process_batch(batch, 7, state, SETTINGS, writer="another")
+    assert training.last_version(spark, state) == 5
+    assert rows(training.read_metrics(spark, state))[-1] == (5, 2, 0, 1)
 
     # A new stream goes on from the snapshot.
     snapshot = training.load_snapshot(spark, str(tmp_path / "snap"))
