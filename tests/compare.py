@@ -41,8 +41,9 @@ def _sorted(names, rows):
 
 def differences(spark, con, name: str, sf: str) -> str | None:
     """None if both sides have the same columns and rows, else what differs first."""
-    from rillflow.plans.catalog import QUERIES
-    from rillflow.plans.oracle import ORACLES
+    import __spark_entry__ as entry
+
+    QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
     df = QUERIES[name](spark, sf)
     mine = _sorted(df.columns, df.collect())
@@ -57,8 +58,9 @@ def differences(spark, con, name: str, sf: str) -> str | None:
 
 
 def main() -> None:
-    from rillflow.plans.catalog import QUERIES
-    from rillflow.plans.oracle import ORACLES
+    import __spark_entry__ as entry
+
+    QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
     from rillflow.session import local_session
 
     sf = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
