@@ -42,9 +42,9 @@ PATTERNS = {
 }
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 #: What any match holds; the engine's regex picks the documents to be looked at by it.
-HINT = r"@|\d[.\-)]\d|\d{7}|\d[ -]\d{2}|\+\d|\)[ .-]?\d|" + "|".join(
-    rf"\b{word}\b" for word in [*(t for t in TITLES if t.isascii()), *(n for n in _GENDER_OF if n.isascii())]
-) + "|г-н|г-жа|" + "|".join(n for n in _GENDER_OF if not n.isascii())
+HINT = r"@|\d(?:[.\-)]\d|\d{6}|[ -]\d[ -]?\d)|\+\d|\)[ .-]?\d|(?=[A-ZА-Яг])(?<!\w)(?:" + "|".join(
+    [*TITLES, *_GENDER_OF]
+) + ")"
 
 
 def script_of(text: str) -> str:
@@ -111,7 +111,8 @@ def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str
     draw = _Stream(key, kind, form, value, str(attempt))
 
     def word(script: str, least: int) -> str:
-        return "".join(_SYLLABLES[script][draw.below(24)] for _ in range(least))
+        some = _SYLLABLES[script]
+        return "".join(some[draw.below(len(some))] for _ in range(least))
 
     if kind == "email":
         return f"{word('latin', 3 + attempt)}.{draw.below(10**6)}@{word('latin', 3)}.example"
