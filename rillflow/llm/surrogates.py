@@ -66,6 +66,9 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             title = first.rstrip(".")
             if title in TITLES:
                 start = end - len(rest.lstrip())
+            words = text[start:end].split()
+            if title in TITLES and not words[-1][:1].isupper():
+                end = start + len(words[0])  # "Dr Watson too": the second word is none of the name
             name = text[start:end]
             if not all(part[:1].isupper() for part in name.split()):
                 continue
