@@ -28,7 +28,7 @@ def _knots(points: list[tuple[float, float]]) -> Column:
 
 
 #: Weights over training time 0 to 1, with means 3, 1 and 2: steady, growing, fading.
-STEADY, GROWING, FADING = [(0, 3), (1, 3)], [(0, 0), (0.5, 1), (1, 2)], [(0, 4), (0.25, 2.5), (1, 0.5)]
+STEADY, GROWING, FADING = [(0, 3), (1, 3)], [(0, 0), (0.5, 1), (1, 2)], [(0, 4), (0.25, 2.25), (1, 1)]
 
 
 def mean_weight(points: list[tuple[float, float]]) -> float:
