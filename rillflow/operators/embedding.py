@@ -11,12 +11,15 @@ after the counting, no work grows with the number of texts.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillflow.functions.text import tokens
 from rillflow.functions.vectors import add_scaled, column_sums, from_columns
 from rillflow.operators.joins import fits, pair_blocks
 from rillflow.operators.vocabulary import BROADCAST_BYTES, text_tokens, word_bytes
@@ -25,22 +28,15 @@ from rillflow.session import materialize
 MAX_BLOCK_ROWS = 16_384
 MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024
+SLICE_WORDS = 1 << 19
 
 
-def occurrences(texts: DataFrame, vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def occurrences(texts: DataFrame, vocab: DataFrame) -> DataFrame:
     """The known words of each text in order: ``doc_id``, ``pos``, ``id``.
 
-    A vocabulary of a checked size is broadcast; the texts are then partitioned
-    by document before they are split into words, and the later window needs no
-    shuffle of the words. A larger one is joined by word; Spark splits the
-    partitions of very common words.
+    A plain join by word; Spark splits the partitions of very common words.
     """
-    known = vocab.select("word", "id")
-    if fits(known, broadcast_bytes, word_bytes()):
-        words = text_tokens(texts.repartition("doc_id"))
-        joined = words.join(F.broadcast(known), "word")
-    else:
-        joined = text_tokens(texts).join(known, "word")
+    joined = text_tokens(texts).join(vocab.select("word", "id"), "word")
     return joined.select("doc_id", "pos", "id")
 
 
@@ -82,6 +78,63 @@ def context_totals(targets: DataFrame) -> DataFrame:
     )
 
 
+def _batch_sums(doc: np.ndarray, ids: np.ndarray, size: int) -> pa.RecordBatch:
+    """The totals over some texts: ``ids`` are their known words in order, ``doc`` the text of each."""
+    steps = [step for k in range(1, size + 1) for step in (k, -k)]
+    near = np.full((len(steps), len(ids)), -1, np.int64)
+    for row, step in zip(near, steps):
+        here, there = (slice(None, -step), slice(step, None)) if step > 0 else (slice(-step, None), slice(None, step))
+        row[here] = np.where(doc[here] == doc[there], ids[there], -1)
+    value = 1.0 / np.maximum((near >= 0).sum(axis=0), 1)
+    for at in range(1, len(steps)):  # a word that fills two positions is set once
+        near[at, (near[:at] == near[at]).any(axis=0)] = -1
+    _, place = np.nonzero(near >= 0)
+    width = int(ids.max(initial=0)) + 1
+    pairs, group = np.unique(ids[place] * width + near[near >= 0], return_inverse=True)
+    words, counts = np.unique(ids, return_counts=True)
+    context = pa.concat_arrays([pa.array(pairs % width, pa.int32()), pa.nulls(len(words), pa.int32())])
+    weight = np.concatenate([np.bincount(group, value[place], len(pairs)), counts.astype("float64")])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([pairs // width, words]), pa.int32()), context, pa.array(weight, pa.float64())],
+        ["id", "context_id", "weight"],
+    )
+
+
+def text_totals(texts: DataFrame, vocab: DataFrame, size: int,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """:func:`context_totals` of all texts. A null text has no words.
+
+    A vocabulary of a checked size goes to the tasks, which number the words of a
+    batch of texts and sum its targets: only partial sums are shuffled, neither
+    texts nor words. A larger one is joined by word.
+    """
+    known = vocab.select("word", F.col("id").cast("int").alias("id"))
+    if not fits(known, broadcast_bytes, word_bytes()):
+        return context_totals(contexts(occurrences(texts, vocab), size))
+    table = known.toArrow()
+    words, numbers = table["word"].combine_chunks(), table["id"].to_numpy().astype("int64")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tokens")
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            start = 0
+            while start < len(lists):  # about so many words at once, a longer text alone
+                before = ends[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(ends, before + SLICE_WORDS, "right")))
+                part = lists.slice(start, end - start)
+                place = pc.index_in(part.flatten(), value_set=words)
+                there = pc.is_valid(place).to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.arange(start, end), np.diff(ends[start:end], prepend=before))
+                yield _batch_sums(doc[there], numbers[pc.drop_null(place).to_numpy()], size)
+                start = end
+
+    parts = texts.select(tokens(F.col("text")).alias("tokens")).mapInArrow(
+        run, "id int, context_id int, weight double"
+    )
+    return parts.groupBy("id", "context_id").agg(F.sum("weight").alias("weight"))
+
+
 def _rows(table: pa.Table, column: str) -> np.ndarray:
     flat = table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(table.num_rows, -1)
@@ -182,14 +235,14 @@ def log_sums(vocab: DataFrame, weights: DataFrame, n_words: int,
     return merged.select("id", (F.col("top") + F.log(total)).alias("log_sum"))
 
 
-def gradients(targets: DataFrame, vocab: DataFrame, weights: DataFrame, n_words: int, length: int,
+def gradients(totals: DataFrame, vocab: DataFrame, weights: DataFrame, n_words: int, length: int,
               block_rows: int | None = None) -> DataFrame:
-    """``side``, ``id``, ``grad``.
+    """``side``, ``id``, ``grad`` from the context totals.
 
     Side ``w``: the sum over all occurrences, per weight row. Side ``x``: the mean
     over the occurrences of a word, per word that occurs.
     """
-    summed = materialize(context_totals(targets), "context-totals")
+    summed = materialize(totals, "context-totals")
     totals = summed.filter(F.col("context_id").isNotNull())
     counts = summed.filter(F.col("context_id").isNull()).select("id", F.col("weight").alias("n"))
     active = counts.join(vocab.select("id", "vector"), "id")
@@ -246,8 +299,6 @@ def train_step(texts: DataFrame, vocab: DataFrame, weights: DataFrame, rate: flo
     n_words = weights.count() if n_words is None else n_words
     if not n_texts or not n_words:
         return vocab, weights
-    targets = contexts(occurrences(texts, vocab), size)
-    grads = materialize(
-        gradients(targets, vocab, weights, n_words, length, block_rows), "gradients"
-    )
+    totals = text_totals(texts, vocab, size)
+    grads = materialize(gradients(totals, vocab, weights, n_words, length, block_rows), "gradients")
     return apply_gradients(vocab, weights, grads, n_texts, rate)

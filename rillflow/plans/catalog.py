@@ -350,8 +350,7 @@ def _written_vocabulary(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
 
 def emb_context(spark: SparkSession, sf: str) -> DataFrame:
     vocab, _ = _written_vocabulary(spark, sf)
-    targets = embedding.contexts(embedding.occurrences(views.english_texts(spark, sf), vocab), CONTEXT)
-    totals = embedding.context_totals(targets)
+    totals = embedding.text_totals(views.english_texts(spark, sf), vocab, CONTEXT)
     return totals.withColumn("weight", F.round("weight", 6))
 
 
@@ -363,8 +362,8 @@ def emb_softmax(spark: SparkSession, sf: str) -> DataFrame:
 
 def emb_gradients(spark: SparkSession, sf: str) -> DataFrame:
     vocab, weights = _written_vocabulary(spark, sf)
-    targets = embedding.contexts(embedding.occurrences(views.english_texts(spark, sf), vocab), CONTEXT)
-    grads = embedding.gradients(targets, vocab, weights, weights.count(), LENGTH)
+    totals = embedding.text_totals(views.english_texts(spark, sf), vocab, CONTEXT)
+    grads = embedding.gradients(totals, vocab, weights, weights.count(), LENGTH)
     return grads.select("side", "id", F.posexplode("grad").alias("dim", "value")).withColumn(
         "value", F.round("value", 6)
     )

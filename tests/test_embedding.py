@@ -73,12 +73,16 @@ def test_step_against_definition(spark, monkeypatch, block_rows):
     np.testing.assert_allclose(as_matrix(got[1]), expected[1], atol=1e-12)
 
 
-def test_large_vocabulary_is_not_broadcast(spark):
-    words, points, matrix, texts = setup(3)
-    batch, vocab, _ = frames(spark, words, points, matrix, texts)
-    assert rows(embedding.occurrences(batch, vocab, broadcast_bytes=3)) == rows(
-        embedding.occurrences(batch, vocab)
+@pytest.mark.parametrize("seed", [3, 4])
+def test_both_ways_to_the_totals_agree(spark, monkeypatch, seed):
+    monkeypatch.setattr(embedding, "SLICE_WORDS", 7)
+    words, points, matrix, texts = setup(seed)
+    batch, vocab, _ = frames(spark, words, points, matrix, [*texts, (60, None)])
+    one, other = (
+        {(r.id, r.context_id): r.weight for r in embedding.text_totals(batch, vocab, CONTEXT, limit).collect()}
+        for limit in (3, 1 << 20)
     )
+    assert one.keys() == other.keys() and one == pytest.approx(other)
 
 
 def test_targets(spark):
@@ -110,9 +114,8 @@ def test_nothing_to_do(spark):
     np.testing.assert_array_equal(as_matrix(unknown[1]), matrix)
 
 
-def test_tokens_are_split_on_the_executors(spark):
+def test_only_sums_are_shuffled(spark):
     words, points, matrix, texts = setup()
     batch, vocab, _ = frames(spark, words, points, matrix, texts)
-    plan = embedding.contexts(embedding.occurrences(batch, vocab), CONTEXT)._jdf.queryExecution()
-    text = plan.executedPlan().toString()
-    assert text.count("hashpartitioning(doc_id") == 1  # the texts, not their words
+    plan = embedding.text_totals(batch, vocab, CONTEXT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(id" in plan
