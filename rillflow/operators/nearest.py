@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from rillflow.operators.joins import pair_blocks
 
 QUERIES_PER_BLOCK = 1_024
 VECTORS_PER_BLOCK = 8_192
+BROADCAST_BYTES = 16 << 20  # of the vectors asked about
 
 
 def parse_requests(lines: DataFrame, line: str = "line", default_n: int = 5) -> DataFrame:
@@ -55,47 +59,62 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 
 def _closest_in_block(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-    """Per query of a block its n closest vectors of a block, and the largest distance there."""
-    keys = np.array(vectors["key"].to_pylist())
-    words = queries["query"].to_pylist()
-    wanted = queries["n"].to_pylist()
-    if not len(keys) or not words:
-        return queries.select(["query", "n"]).slice(0, 0).append_column(
-            "key", vectors["key"].slice(0, 0)
-        ).append_column("distance", pa.array([], "float64")).append_column(
-            "farthest", pa.array([], "float64")
-        )
-    points = _matrix(queries["point"], len(words))
-    others = _matrix(vectors["vector"], len(keys))
-    squares = np.zeros((len(words), len(keys)))
+    """Per query its n closest of the vectors, and the largest distance among them."""
+    if not queries.num_rows or not vectors.num_rows:
+        return pa.table({
+            "query": queries["query"].slice(0, 0), "n": queries["n"].slice(0, 0),
+            "key": vectors["key"].slice(0, 0), "distance": pa.array([], "float64"),
+            "farthest": pa.array([], "float64"),
+        })
+    vectors = vectors.take(pc.sort_indices(vectors["key"]))  # of equal distances the lesser key is first
+    distinct = vectors["key"].unique()
+    codes = pc.index_in(vectors["key"], value_set=distinct).to_numpy()
+    own = pc.fill_null(pc.index_in(queries["query"], value_set=distinct), -1).to_numpy()
+    wanted = queries["n"].to_numpy()
+    points = _matrix(queries["point"], queries.num_rows)
+    others = _matrix(vectors["vector"], vectors.num_rows)
+    squares = np.zeros((len(points), len(others)))
     for i in range(points.shape[1]):  # in the order of the elements, as the column form does
         gap = others[:, i][None, :] - points[:, i][:, None]
         squares += gap * gap
-    distances = np.sqrt(squares)
-    out = {"query": [], "n": [], "key": [], "distance": [], "farthest": []}
-    for row, (word, n) in enumerate(zip(words, wanted)):
-        farthest = float(distances[row].max())
-        candidates = np.flatnonzero(keys != word)
-        if len(candidates) > n:
-            near = distances[row, candidates]
-            candidates = candidates[near <= np.partition(near, n - 1)[n - 1]]
-        order = np.lexsort((keys[candidates], distances[row, candidates]))[:n]
-        for index in candidates[order]:
-            out["query"].append(word)
-            out["n"].append(n)
-            out["key"].append(keys[index].item())
-            out["distance"].append(float(distances[row, index]))
-            out["farthest"].append(farthest)
-    key_type = vectors.schema.field("key").type
-    return pa.table(
-        {
-            "query": pa.array(out["query"], key_type),
-            "n": pa.array(out["n"], "int32"),
-            "key": pa.array(out["key"], key_type),
-            "distance": pa.array(out["distance"], "float64"),
-            "farthest": pa.array(out["farthest"], "float64"),
-        }
+    distances = np.sqrt(squares, out=squares)
+    farthest = distances.max(axis=1)
+    distances[own[:, None] == codes[None, :]] = np.inf
+    most = min(int(wanted.max()), len(others))
+    bound = np.partition(distances, most - 1, axis=1)[:, most - 1]
+    row, col = np.nonzero(distances <= bound[:, None])
+    other = codes[col] != own[row]
+    row, col = row[other], col[other]
+    order = np.lexsort((col, distances[row, col], row))
+    row, col = row[order], col[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    row, col = row[rank < wanted[row]], col[rank < wanted[row]]
+    return pa.table({
+        "query": queries["query"].take(row),
+        "n": queries["n"].take(row),
+        "key": vectors["key"].take(col),
+        "distance": pa.array(distances[row, col]),
+        "farthest": pa.array(farthest[row]),
+    })
+
+
+def _by_blocks(known: DataFrame, vectors: DataFrame, key: str, vector: str, n_queries: int,
+               queries_per_block: int, vectors_per_block: int, schema: str) -> DataFrame:
+    n_left = max(1, -(-n_queries // queries_per_block))
+    n_right = max(1, -(-vectors.count() // vectors_per_block))
+
+    def blocks(column: str, n: int):
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = known.withColumn("a", blocks("query", n_left)).withColumn("b", every(n_right))
+    right = vectors.select(
+        F.col(key).alias("key"), F.col(vector).alias("vector"),
+        blocks(key, n_right).alias("b"), every(n_left).alias("a"),
     )
+    return pair_blocks(left, right, cells=n_left * n_right).applyInArrow(_closest_in_block, schema)
 
 
 def nearest_many(
@@ -105,40 +124,36 @@ def nearest_many(
     vector: str = "vector",
     queries_per_block: int = QUERIES_PER_BLOCK,
     vectors_per_block: int = VECTORS_PER_BLOCK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The n nearest of each of ``queries(word, n)``.
 
     Columns: ``query``, ``n``, ``known``, ``rank``, the key, ``distance``, ``percent``. A
     query whose word has no vector is one row with ``known`` false.
 
-    Every query must see every vector, so both sides are cut into blocks and a
-    task takes one block of each. It hands on n rows per query, whatever the size
-    of its block.
+    Every query must see every vector. Queries that make up one block of at most
+    ``broadcast_bytes`` go to all tasks, and the vectors are read once where they
+    lie. Otherwise both sides are cut into blocks and a task takes one block of
+    each. Either way n rows per query are handed on by a batch or block.
     """
     asked = queries.select(F.col("word").alias("query"), F.col("n").cast("int").alias("n")).distinct()
     points = asked.join(
         vectors.select(F.col(key).alias("query"), F.col(vector).alias("point")), "query", "left"
     )
     known = points.filter(F.col("point").isNotNull() & (F.col("n") > 0))
-    n_left = max(1, -(-asked.count() // queries_per_block))
-    n_right = max(1, -(-vectors.count() // vectors_per_block))
-
-    def blocks(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = known.withColumn("a", blocks("query", n_left)).withColumn("b", every(n_right))
-    right = vectors.select(
-        F.col(key).alias("key"), F.col(vector).alias("vector"),
-        blocks(key, n_right).alias("b"), every(n_left).alias("a"),
-    )
     key_type = vectors.schema[key].dataType.simpleString()
-    parts = pair_blocks(left, right, cells=n_left * n_right).applyInArrow(
-        _closest_in_block,
-        f"query {key_type}, n int, key {key_type}, distance double, farthest double",
-    )
+    schema = f"query {key_type}, n int, key {key_type}, distance double, farthest double"
+    asking = known.agg(F.count(F.lit(1)).alias("rows"), F.sum(8 * F.size("point") + 64).alias("bytes")).first()
+    if asking.rows <= queries_per_block and (asking.bytes or 0) <= broadcast_bytes:
+        block = known.select("query", "n", "point").toArrow()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from _closest_in_block(block, pa.Table.from_batches([batch])).to_batches()
+
+        parts = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector")).mapInArrow(run, schema)
+    else:
+        parts = _by_blocks(known, vectors, key, vector, asking.rows, queries_per_block, vectors_per_block, schema)
     per_query = Window.partitionBy("query", "n")
     found = (
         parts.withColumn("rank", F.row_number().over(per_query.orderBy("distance", "key")))

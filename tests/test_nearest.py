@@ -31,7 +31,7 @@ def test_requests(spark):
     ]
 
 
-@pytest.mark.parametrize("blocks", [{}, {"queries_per_block": 2, "vectors_per_block": 9}])
+@pytest.mark.parametrize("blocks", [{}, {"queries_per_block": 2, "vectors_per_block": 9}, {"broadcast_bytes": 100}])
 def test_many_words(spark, blocks):
     rng = random.Random(1)
     data = [(f"w{i:02d}", [float(rng.randint(0, 3)) for _ in range(3)]) for i in range(60)]
