@@ -33,9 +33,8 @@ def friendly_order(ballots: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def total_of(df: DataFrame, column: str) -> DataFrame:
-    """The sum over all rows of a text column's integer values."""
-    name = f"{column}_int"
-    return with_int(df, column, name).select(name).groupBy().sum()
+    """The sums over all rows of a text column's integer values and of every numeric column."""
+    return with_int(df, column, f"{column}_int").groupBy().sum()
 
 
 def total_by(df: DataFrame, key: str, column: str, name: str = "sum_column") -> DataFrame:

@@ -73,6 +73,23 @@ def rel_total_sum(spark: SparkSession, sf: str) -> DataFrame:
     return total.withColumnRenamed("sum(total_votes_int)", "total_votes")
 
 
+def rel_sum_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every numeric column of the orders summed, and the number in their priority."""
+    orders = views.table(spark, sf, "orders").withColumn("priority", F.substring("o_orderpriority", 1, 1))
+    sums = relational.total_of(orders, "priority")
+    return sums.select(
+        F.col("sum(o_orderkey)").alias("sum_key"), F.col("sum(o_custkey)").alias("sum_customer"),
+        F.round("sum(o_totalprice)", 2).alias("sum_price"), F.col("sum(priority_int)").alias("sum_priority"),
+    )
+
+
+def rel_json_head(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_scratch(spark, "ballots")
+    tables.write_json(views.ballots(spark, sf), path)
+    _, head = tables.schema_and_head(tables.read_json(spark, path), 2, "ballot_id")
+    return head
+
+
 def rel_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """All four write modes: overwrite twice, append once, ignore once; error must refuse."""
     path = new_scratch(spark, "json")
@@ -168,6 +185,16 @@ def tags_similar_graph(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tags_similar_sets(spark: SparkSession, sf: str) -> DataFrame:
+    links, _ = similarity.similar_sets(views.tagged_documents(spark, sf))
+    return links.withColumn("score", F.round("score", 9))
+
+
+def graph_pic_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Which documents are clustered; their numbers of clusters are arbitrary."""
+    return graph_pic(spark, sf).select("id")
+
+
 def graph_pic(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.cluster(similarity.similarity_graph(views.tagged_documents(spark, sf)), k=4)
 
@@ -292,6 +319,13 @@ def stream_train_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return _long(training.load_state(spark, _train(spark, sf))["vocab"], "id", "word")
 
 
+def stream_train_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """A new state started from the newest snapshot, which is from the last batch but one."""
+    root = _train(spark, sf).rsplit("/", 1)[0]
+    training.create_state(spark, f"{root}/restored", f"{root}/snapshots")
+    return _long(training.load_state(spark, f"{root}/restored")["vocab"], "id", "word")
+
+
 def stream_train_weights(spark: SparkSession, sf: str) -> DataFrame:
     return _long(training.load_state(spark, _train(spark, sf))["weights"], "id")
 
@@ -309,6 +343,12 @@ def text_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def text_digits(spark: SparkSession, sf: str) -> DataFrame:
+    """How many words of the raw texts hold a digit."""
+    words = F.split("text", "[ \t\r\n]+")
+    return views.english_texts(spark, sf).select("doc_id", F.size(F.filter(words, contains_digit)).alias("n"))
+
+
 def text_new_words(spark: SparkSession, sf: str) -> DataFrame:
     vocab, _ = _written_vocabulary(spark, sf)
     return vocabulary.new_words_by_text(views.english_texts(spark, sf), vocab)
@@ -404,6 +444,8 @@ QUERIES: dict[str, Query] = {
     "rel_ballot_order": lambda spark, sf: relational.ballot_order(views.ballots(spark, sf)),
     "rel_lookup_join": rel_friendly_order,
     "rel_total_sum": rel_total_sum,
+    "rel_sum_all": rel_sum_all,
+    "rel_json_head": rel_json_head,
     "rel_sum_by_key": lambda spark, sf: relational.total_by(
         views.ballots(spark, sf), "candidate_name", "total_votes"
     ),
@@ -430,7 +472,9 @@ QUERIES: dict[str, Query] = {
     "tags_enrich": tags_enrich,
     "tags_similar_pairs": tags_similar_pairs,
     "tags_similar_graph": tags_similar_graph,
+    "tags_similar_sets": tags_similar_sets,
     "graph_pic": graph_pic,
+    "graph_pic_ids": graph_pic_ids,
     "vec_nearest": vec_nearest,
     "vec_nearest_batch": vec_nearest_batch,
     "vec_requests": vec_requests,
@@ -440,7 +484,9 @@ QUERIES: dict[str, Query] = {
     "stream_train_metrics": stream_train_metrics,
     "stream_train_vocab": stream_train_vocab,
     "stream_train_weights": stream_train_weights,
+    "stream_train_restored": stream_train_restored,
     "text_tokens": text_tokens,
+    "text_digits": text_digits,
     "text_new_words": text_new_words,
     "contender_counts": contender_counts,
     "contender_decay": contender_decay,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from rillflow.functions.text import STOP_WORDS
 from rillflow.plans.views import BATCHES, FRIENDLY_ORDERS
-from rillflow.sources.logs import CLF_PATTERN, FIELDS, MONTHS
+from rillflow.sources.logs import CLF_PATTERN, FIELDS
 
 LENGTH, CONTEXT, RATE = 4, 2, "CAST('0.05' AS DOUBLE)"
 
@@ -21,24 +21,22 @@ def _with(*parts: str, select: str) -> str:
 
 _LOG = """access_log AS (
   SELECT event_id, CASE WHEN value < 1 THEN 'bad line ' || event_id ELSE
-    'user' || user_id || '.example.com - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S')
+    'user' || user_id || '.example.com - - [' || CASE event_id % 100 WHEN 8 THEN '01/Xyz/2024:10:00:00' WHEN 9 THEN '31/Feb/2024:10:00:00'
+      ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') END
     || ' -0400] "GET /' || event_type || '/' || regexp_extract(props, '[0-9]+') || ' HTTP/1.0" '
     || CASE event_type WHEN 'error' THEN '404' WHEN 'signup' THEN '302' WHEN 'click' THEN '304' ELSE '200' END
-    || ' ' || CASE WHEN event_type = 'signup' THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END
+    || ' ' || CASE WHEN event_id % 100 = 7 THEN '12kB' WHEN event_type = 'signup' THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END
   END AS line FROM events)"""
 
 _GROUPS = ", ".join(
     f"regexp_extract(line, {_text(CLF_PATTERN)}, {i}) AS f_{name}" for i, name in enumerate(FIELDS, 1)
 )
-_MONTH_NUMBER = "CASE substr(f_date_time, 4, 3) " + " ".join(
-    f"WHEN '{name}' THEN {i}" for i, name in enumerate(MONTHS, 1)
-) + " END"
-_PARSED = f"""split AS (SELECT event_id, line, regexp_matches(line, {_text(CLF_PATTERN)}) AS ok, {_GROUPS} FROM access_log),
+_PARSED = f"""matched AS (SELECT event_id, line, regexp_matches(line, {_text(CLF_PATTERN)}) AS ok, {_GROUPS} FROM access_log),
+split AS (SELECT * REPLACE (ok AND try_strptime(substr(f_date_time, 1, 20), '%d/%b/%Y:%H:%M:%S') IS NOT NULL
+    AND (f_size = '-' OR TRY_CAST(f_size AS BIGINT) IS NOT NULL) AS ok) FROM matched),
 logs AS (
   SELECT event_id, f_host AS host, f_client_id AS client_id, f_user_id AS user_id,
-    make_timestamp(substr(f_date_time, 8, 4)::BIGINT, {_MONTH_NUMBER}, substr(f_date_time, 1, 2)::BIGINT,
-      substr(f_date_time, 13, 2)::BIGINT, substr(f_date_time, 16, 2)::BIGINT,
-      substr(f_date_time, 19, 2)::DOUBLE) AS date_time,
+    try_strptime(substr(f_date_time, 1, 20), '%d/%b/%Y:%H:%M:%S') AS date_time,
     f_method AS method, f_endpoint AS endpoint, f_protocol AS protocol, f_status::INTEGER AS status,
     CASE WHEN f_size = '-' THEN 0 ELSE f_size::BIGINT END AS size
   FROM split WHERE ok)"""
@@ -130,7 +128,7 @@ def _distance(a: str, b: str) -> str:
 
 _PURGED = "regexp_replace(lower(text), '[^a-z`'' \t]', '', 'g')"
 _TEXTS = f"""short_texts AS (
-  SELECT d.doc_id, d.text, d.lang, o.text AS retweet_text, d.doc_id % {BATCHES} AS batch
+  SELECT d.doc_id, d.text || ' http://t.example/' || d.doc_id AS text, d.lang, o.text AS retweet_text, d.doc_id % {BATCHES} AS batch
   FROM documents d LEFT JOIN documents o ON o.doc_id * 5 = d.doc_id),
 kept AS (SELECT doc_id, batch, coalesce(retweet_text, text) AS text FROM short_texts WHERE lang = 'en'),
 lists AS (SELECT doc_id, batch,
@@ -277,6 +275,10 @@ ORACLES: dict[str, str] = {
         "SELECT DISTINCT candidate_name, friendly_name FROM ballots JOIN friendly_orders USING (candidate_ballot_order)"
     ),
     "rel_total_sum": _ballots(f"SELECT {_SUM_VOTES} AS total_votes FROM ballots"),
+    "rel_sum_all": "SELECT CAST(sum(o_orderkey) AS BIGINT) AS sum_key, CAST(sum(o_custkey) AS BIGINT) AS sum_customer,"
+    " round(sum(o_totalprice), 2) AS sum_price, CAST(sum(CAST(o_orderpriority[1] AS INTEGER)) AS BIGINT) AS sum_priority"
+    " FROM orders",
+    "rel_json_head": _ballots("SELECT * FROM ballots ORDER BY ballot_id LIMIT 2"),
     "rel_sum_by_key": _ballots(
         f"SELECT candidate_name, {_SUM_VOTES} AS sum_column FROM ballots GROUP BY 1 ORDER BY 2 DESC, 1"
     ),
@@ -338,6 +340,16 @@ ORACLES: dict[str, str] = {
         " FROM part LEFT JOIN found ON found.id = p_partkey GROUP BY 1, 2, 3",
     ),
     "tags_similar_pairs": _with(_TAGS, select="SELECT src, dst, round(score, 9) AS score FROM pairs"),
+    "tags_similar_sets": _with(
+        _TAGS,
+        "sets AS (SELECT min(id) AS set_id, list_sort(tags) AS tags FROM tagged WHERE len(tags) > 0 GROUP BY 2)",
+        "words AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM sets)",
+        "met AS (SELECT a.set_id AS a, b.set_id AS b, count(*) AS n, any_value(a.size + b.size) AS size FROM words a"
+        " JOIN words b ON a.tag = b.tag AND a.set_id < b.set_id GROUP BY 1, 2)",
+        select="SELECT a, b, round(n::DOUBLE / (size - n)::DOUBLE, 9) AS score FROM met"
+        " WHERE n::DOUBLE > (size - n)::DOUBLE * CAST('0.7' AS DOUBLE)",
+    ),
+    "graph_pic_ids": _with(_TAGS, select="SELECT DISTINCT src AS id FROM pairs"),
     "tags_similar_graph": _with(
         _TAGS,
         select="SELECT src, dst, src_tags, dst_tags, round(score, 9) AS score FROM pairs"
@@ -397,6 +409,15 @@ ORACLES: dict[str, str] = {
     "text_tokens": _texts(
         "SELECT doc_id, CAST(position AS INTEGER) AS position, word, regexp_matches(word, '[0-9]') AS has_digit FROM tokens"
     ),
+    "text_digits": _texts(
+        "SELECT doc_id, CAST(len(list_filter(string_split_regex(text, '[ \t\r\n]+'),"
+        " lambda w: regexp_matches(w, '[0-9]'))) AS INTEGER) AS n FROM kept"
+    ),
+    "stream_train_restored": _with(
+        _TEXTS, _STREAMED[0], _VOCAB,
+        select="SELECT id, word, CAST(dim AS INTEGER) AS dim, round(value, 6) AS value FROM ("
+        + _unnested("id, word", "x") + ")",
+    ),
     "text_new_words": _vocabulary(
         f"SELECT DISTINCT doc_id, word FROM tokens WHERE {_MAY} AND word NOT IN (SELECT word FROM vocab)"
     ),

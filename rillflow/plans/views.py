@@ -9,6 +9,7 @@ from rillflow.operators.graph import Graph, build_graph
 from rillflow.operators.vocabulary import admit, kept_texts, new_words
 from rillflow.session import materialize, new_scratch, over_cores
 from rillflow.sources.logs import good_lines, parse_lines
+from rillflow.sources.tables import from_values
 
 # Fixed value: the vertex of an id that only edges name.
 UNKNOWN_PERSON = {"name": "John Doe", "age": -1}
@@ -29,16 +30,27 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def access_log(spark: SparkSession, sf: str) -> DataFrame:
-    """``event_id``, ``line``: a log line per event; events of hardly any value left garbled lines."""
+    """``event_id``, ``line``: a log line per event; events of hardly any value left garbled lines.
+
+    Some lines have the right form but a month, a day or a size that is none.
+    """
     event = F.col("event_type")
     status = (
         F.when(event == "error", "404").when(event == "signup", "302").when(event == "click", "304")
         .otherwise("200")
     )
-    size = F.when(event == "signup", "-").otherwise(F.floor(F.col("value") * 100).cast("string"))
+    turn = F.col("event_id") % 100
+    size = (
+        F.when(turn == 7, "12kB").when(event == "signup", "-")
+        .otherwise(F.floor(F.col("value") * 100).cast("string"))
+    )
+    time = (
+        F.when(turn == 8, "01/Xyz/2024:10:00:00").when(turn == 9, "31/Feb/2024:10:00:00")
+        .otherwise(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"))
+    )
     line = F.concat(
         F.lit("user"), F.col("user_id").cast("string"), F.lit(".example.com - - ["),
-        F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' -0400] "GET /'), event, F.lit("/"),
+        time, F.lit(' -0400] "GET /'), event, F.lit("/"),
         F.regexp_extract("props", "[0-9]+", 0), F.lit(' HTTP/1.0" '), status, F.lit(" "), size,
     )
     garbled = F.concat(F.lit("bad line "), F.col("event_id").cast("string"))
@@ -65,9 +77,7 @@ def ballots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def friendly_orders(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(FRIENDLY_ORDERS), "candidate_ballot_order string, friendly_name string"
-    )
+    return from_values(spark, FRIENDLY_ORDERS, "candidate_ballot_order string, friendly_name string")
 
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,13 +149,14 @@ def tag_files(spark: SparkSession, sf: str) -> tuple[str, str, str]:
 
 
 def short_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as short texts; each fifth one reposts another. ``batch`` is its arrival."""
+    """Documents as short texts with a link; each fifth one reposts another. ``batch`` is its arrival."""
     documents = over_cores(table(spark, sf, "documents"), "doc_id")
     original = documents.select(
         (F.col("doc_id") * 5).alias("doc_id"), F.col("text").alias("retweet_text")
     )
+    text = F.concat("text", F.lit(" http://t.example/"), F.col("doc_id").cast("string")).alias("text")
     return documents.join(original, "doc_id", "left").select(
-        "doc_id", "text", "lang", "retweet_text", (F.col("doc_id") % BATCHES).cast("int").alias("batch")
+        "doc_id", text, "lang", "retweet_text", (F.col("doc_id") % BATCHES).cast("int").alias("batch")
     )
 
 

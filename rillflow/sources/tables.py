@@ -22,9 +22,9 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).json(path)
 
 
-def schema_and_head(df: DataFrame, n: int = 2) -> tuple[str, list]:
-    """The printed schema and the first rows, for a look at a new table."""
-    return df.schema.treeString(), df.head(n)
+def schema_and_head(df: DataFrame, n: int = 2, *order: str) -> tuple[str, DataFrame]:
+    """The printed schema and the first rows (in the order of some columns), for a look at a new table."""
+    return df.schema.treeString(), (df.orderBy(*order) if order else df).limit(n)
 
 
 def from_values(spark: SparkSession, rows: Iterable, schema: StructType | str) -> DataFrame:
