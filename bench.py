@@ -37,7 +37,9 @@ HEADLINES = (
     "vocab_admission",
     "emb_context",
     "emb_softmax",
+    "emb_gradients",
     "emb_train_step",
+    "keyed_upsert",
 )
 
 

@@ -162,23 +162,29 @@ def average_follower_age(g: Graph, age: str = "age") -> DataFrame:
     )
 
 
+# The sentences about followers.
+OLDEST = "%s is the oldest follower of %s."
+AVERAGE_AGE = "The average age of %s's followers is %s."
+NO_FOLLOWERS = "%s does not have any followers."
+
+
 def oldest_follower_sentences(g: Graph) -> DataFrame:
     """A sentence per vertex, also for those nobody follows."""
-    told = F.format_string("%s is the oldest follower of %s.", "follower_name", "name")
+    told = F.format_string(OLDEST, "follower_name", "name")
     return left_join_vertices(g, oldest_follower(g)).select(
         "id", F.when(F.col("follower_name").isNull(), _no_followers()).otherwise(told).alias("text")
     )
 
 
 def average_age_sentences(g: Graph) -> DataFrame:
-    told = F.format_string("The average age of %s's followers is %s.", "name", "avg_age")
+    told = F.format_string(AVERAGE_AGE, "name", "avg_age")
     return left_join_vertices(g, average_follower_age(g)).select(
         "id", F.when(F.col("avg_age").isNull(), _no_followers()).otherwise(told).alias("text")
     )
 
 
 def _no_followers() -> Column:
-    return F.format_string("%s does not have any followers.", "name")
+    return F.format_string(NO_FOLLOWERS, "name")
 
 
 def subgraph(g: Graph, vertex: Column | None = None, edge: Column | None = None,

@@ -4,6 +4,7 @@ from conftest import rows
 from rillflow.operators import logs
 from rillflow.sources.logs import bad_lines, good_lines, parse_lines, parse_report, read_access_log
 
+# Fixed value: the documented line of the format.
 SAMPLE = '127.0.0.1 - - [01/Aug/1995:00:00:01 -0400] "GET /images/launch-logo.gif HTTP/1.0" 200 1839'
 NO_PROTOCOL = 'h2 - - [02/Aug/1995:13:05:09 -0400] "GET /x" 404 -'
 TRAILING = 'h3 - u [03/Aug/1995:23:59:59 +0000] "POST /y HTTP/1.1" 302 0 "agent"'
