@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 from rillflow.llm.text import texts_of
 from rillflow.session import materialize
 
-#: A run of the characters of keys and tokens with a digit in it, or a private key's header.
+#: A run of the characters of keys and tokens with a digit in it, of any length, or a private key's header.
+#: "=" belongs to it at the end only (padding); before that it assigns.
 CANDIDATE = re.compile(
-    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|(?<![A-Za-z0-9_/+=.\-])(?=[A-Za-z_/+=.\-]{0,400}[0-9])[A-Za-z0-9_/+=\-]{12,400}(?![A-Za-z0-9_/+=\-])"
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|(?<![A-Za-z0-9_/+\-])(?=[A-Za-z_/+\-]*[0-9])[A-Za-z0-9_/+\-]{12,}={0,2}(?![A-Za-z0-9_/+\-])"
 )
 #: The same for the engine's regex, to pick documents.
-HINT = r"[A-Za-z0-9_/+=-]{12}|-----BEGIN "
+HINT = r"[A-Za-z0-9_/+-]{12}|-----BEGIN "
+#: Published forms of keys that need no name before them (fixed values): cloud access keys, hosting, chat and map tokens.
+FORMS = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|-----BEGIN .*)$"
 WORD = re.compile(r"[^\W\d_]+")
 #: Words that name a secret when they stand before it, and placeholders that are none (fixed values).
 NAMING = frozenset("token secret password passwd pwd apikey key auth bearer credential credentials private access".split())
@@ -176,14 +179,16 @@ def score(found: DataFrame, model: RandomForestClassificationModel, letters: Let
 
 
 def rule_label() -> Column:
-    """1 for what is assigned to a name of a secret and looks random; 0 for what has neither mark.
+    """1 for what has a published form of keys, or is assigned to a name of a secret and looks random.
 
-    Between the two nothing is labelled. Stands in for labels by hand, where there are none.
+    0 for what has none of these marks. Between the two nothing is labelled. Stands
+    in for labels by hand, where there are none.
     """
+    formed = F.col("value").rlike(FORMS)
     named = F.col("before").rlike(r"(?i)(token|secret|passw(or)?d|api_?key|auth)\w*[\"']?\s*[=:]\s*[\"']?$")
     random = F.col("value").rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_+/=-]{16,}$")
     near = F.col("before").rlike(r"(?i)token|secret|passw|key|auth")
-    return F.when(named & random, 1).when(~near, 0)
+    return F.when(formed | (named & random), 1).when(~near, 0)
 
 
 def sample_letters(docs: DataFrame, rows: int = 400, chars: int = 4000) -> Letters:

@@ -131,6 +131,10 @@ def test_candidates_and_edges(spark):
     rows += [(5, f"x {value}", "a"), (5, f"x {value}", "a")]
     got = sorted((r.doc_id, r.start, r.end, r.before) for r in secrets.candidates(table(spark, rows)).collect())
     assert got == [(1, 9, 49, 'token = "'), (5, 2, 42, "x "), (5, 2, 42, "x ")]
+    long = random_secret(random.Random(2), 5000)
+    rows_of = [(6, f"a.key={value}", "a"), (7, long + "==", "a"), (8, f"conf.{value}", "a")]
+    got = sorted((r.doc_id, r.start, r.end) for r in secrets.candidates(table(spark, rows_of)).collect())
+    assert got == [(6, 6, 46), (7, 0, 5002), (8, 5, 45)]
     assert secrets.scan(table(spark, [])).collect() == []
     assert len(secrets.scan(table(spark, rows)).collect()) == 3
 
@@ -140,8 +144,8 @@ def test_secrets_of_the_documents(spark):
     texts = dict(duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall())
     planted = Counter()
     for doc_id, text in texts.items():
-        for found in re.finditer(r'(?i)token = "([0-9a-f]{40})"', text or ""):
-            planted[doc_id, found.start(1), found.end(1)] += 1
+        for found in re.finditer(r'(?i)(?:token = "|password=)([0-9a-f]{18,40})\b|\b(AKIA[0-9A-Z]{16})\b', text or ""):
+            planted[doc_id, *found.span(found.lastindex)] += 1
     got = Counter((r.doc_id, r.start, r.end) for r in queries.op1_secret_scan(spark, sf).collect() if r.is_secret)
     assert got == planted
 
