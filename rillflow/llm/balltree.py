@@ -201,7 +201,9 @@ def top_k(
     (:class:`BallTree`); the queries into blocks. Every query first searches one
     shard; its k-th score there goes along to all other shards, which drop what
     cannot reach it. Within a shard the bound tightens as leaves are searched
-    (:func:`search`). Memory of a task: one shard and one block.
+    (:func:`search`). Memory of a task: one shard and one block. Broadcast is the
+    number of shards per vector length, eight bytes for each length that occurs and
+    so bounded by the longest vector, whatever the number of vectors.
 
     Ties go to the smaller vec_id. A query does not find rows of its own vec_id.
     Vectors that are null, empty or hold a null or a non-finite component, and
@@ -212,22 +214,29 @@ def top_k(
     spark = vectors.sparkSession
     good = "vec_id is not null and size(v) > 0 and forall(v, x -> x is not null and abs(x) < double('infinity'))"
 
-    def blocks(df: DataFrame, kind: int, size: int, name: str) -> DataFrame:
+    def blocks(df: DataFrame, kind: int, size: int, name: str) -> tuple[DataFrame, DataFrame]:
         kept = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("v").cast("array<double>").alias("v"))
         kept = kept.filter(good).withColumn("d", F.size("v"))
-        count = max(1, -(-kept.count() // size))
-        dealt = kept.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
+        lengths = materialize(
+            kept.groupBy(F.col("d").alias("_d")).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts")),
+            f"{name}-lengths",
+        )
+        dealt = kept.join(F.broadcast(lengths), F.col("d") == F.col("_d")).withColumn(
+            "block", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+        )
         packed = dealt.groupBy("d", "block").applyInPandas(
             _block(kind), "d int, kind int, block int, ids binary, data binary"
         )
-        return materialize(packed, name)
+        return materialize(packed, name), lengths
 
-    shards = blocks(vectors, 0, per_shard, "ball-shards").withColumnRenamed("block", "shard")
-    asked = blocks(queries, 1, per_block, "ball-queries")
+    shards, per_length = blocks(vectors, 0, per_shard, "ball-shards")
+    asked, _ = blocks(queries, 1, per_block, "ball-queries")
+    shards = shards.withColumnRenamed("block", "shard")
     shards = shards.withColumn("block", F.lit(-1)).withColumn("floor", F.lit(None).cast("binary"))
-    per_length = shards.groupBy("d").agg(F.array_sort(F.collect_list("shard")).alias("_all"))
-    sent = asked.join(F.broadcast(per_length), "d").withColumn(
-        "_seed", F.element_at("_all", F.pmod(F.xxhash64("block"), F.size("_all")).cast("int") + 1)
+    sent = (
+        asked.join(F.broadcast(per_length), F.col("d") == F.col("_d"))
+        .drop("_d")
+        .withColumn("_seed", F.pmod(F.xxhash64("block"), F.col("parts")).cast("int"))
     )
     columns = ["d", "shard", "kind", "block", "ids", "data", "floor"]
 
@@ -245,7 +254,8 @@ def top_k(
         first.withColumn("_rank", F.row_number().over(place)).filter(F.col("_rank") == k).select("query_id", "score")
     )
     floors = _with_floors(sent, kth)
-    rest = floors.withColumn("shard", F.explode(F.array_remove("_all", F.col("_seed"))))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    rest = floors.withColumn("shard", F.explode(every)).filter(F.col("shard") != F.col("_seed"))
     found = first.unionByName(searched(rest, "ball-rest"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (
