@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm.running import least_hashed
 from rillflow.llm.text import texts_of
 from rillflow.session import materialize
 
@@ -148,19 +149,24 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 def train(
     labelled: DataFrame, letters: Letters, per_label: int = 2000, trees: int = 40, depth: int = 8, seed: int = 3
 ) -> RandomForestClassificationModel:
-    """A forest over at most ``per_label`` findings of each label, taken by a hash.
+    """A forest over at most ``per_label`` different findings of each label, taken by a hash.
 
-    ``labelled`` has ``value, before, path, label`` (0 or 1; null labels are left out).
+    ``labelled`` has ``value, before, path, label`` (0 or 1; null labels are left
+    out). A finding that is repeated is learned once.
     """
-    kept = labelled.filter("label is not null and value is not null and value != ''").withColumn(
-        "_at", F.xxhash64("value", "before")
-    )
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in ("before", "path")]
+    kept = labelled.filter("label in (0, 1) and value is not null and value != ''")
+    kept = materialize(kept.select("value", *text, F.col("label").cast("int")).distinct(), "secret-labelled")
+    kept = kept.withColumn("_at", F.xxhash64("value", "before", "path"))
+    counts = {row["label"]: row["count"] for row in kept.groupBy("label").count().collect()}  # two rows
     rows = None
     for label in (0, 1):
-        some = kept.filter(F.col("label") == label).orderBy("_at", "value").limit(per_label)
+        some = least_hashed(
+            kept.filter(F.col("label") == label), counts.get(label, 0), "_at", ["value", "before", "path"], per_label
+        )
         rows = some if rows is None else rows.unionByName(some)
     vectors = rows.select(
-        array_to_vector(_features_udf(letters)("value", F.coalesce("before", F.lit("")), F.coalesce("path", F.lit("")))).alias(
+        array_to_vector(_features_udf(letters)("value", "before", "path")).alias(
             "features"
         ),
         F.col("label").cast("double").alias("label"),
@@ -192,11 +198,13 @@ def rule_label() -> Column:
 
 
 def sample_letters(docs: DataFrame, rows: int = 400, chars: int = 4000) -> Letters:
-    """Letter steps and words of ``rows`` documents by a hash of their id, ``chars`` characters of each."""
-    some = docs.filter("text is not null").select(
-        F.xxhash64("doc_id").alias("_at"), F.substring("text", 1, chars).alias("text")
+    """Letter steps and words of ``rows`` documents by a hash of id and text, ``chars`` characters of each."""
+    texts = docs.filter("text is not null")
+    some = texts.select(
+        F.xxhash64("doc_id", "text").alias("_at"), F.substring("text", 1, chars).alias("text")
     )
-    return Letters([row.text for row in some.orderBy("_at", "text").limit(rows).collect()])
+    few = least_hashed(some, texts.count(), "_at", ["text"], rows)
+    return Letters([row.text for row in few.collect()])
 
 
 def scan(
