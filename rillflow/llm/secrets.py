@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,6 +28,11 @@ HINT = r"[A-Za-z0-9_/+-]{12}|-----BEGIN "
 #: Published forms of keys that need no name before them (fixed values): cloud access keys, hosting, chat and map tokens.
 FORMS = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|-----BEGIN .*)$"
 WORD = re.compile(r"[^\W\d_]+")
+NO_WORD = re.compile(r"[\W\d_]")
+#: Letters of the words that are looked for inside a value (fixed values).
+SHORTEST, LONGEST = 4, 14
+#: What a step counts as that stands in no word.
+RARE = math.log(1 / 1000)
 #: Words that name a secret when they stand before it, and placeholders that are none (fixed values).
 NAMING = frozenset("token secret password passwd pwd apikey key auth bearer credential credentials private access".split())
 DUMMY = re.compile(r"(?i)example|placeholder|changeme|dummy|sample|your|xxxx|0{6}|1234567|abcdef(?!0|\d)|(.)\1{5}")
@@ -41,32 +47,31 @@ FEATURES = (
 class Letters:
     """How usual the steps from letter to letter are in words, and which words are known.
 
-    Counted over a bounded sample of texts.
+    Of a few ``texts`` all words are known. For whole tables see :func:`letters_of`.
     """
 
-    def __init__(self, texts: list[str], vocabulary: int = 20_000):
-        steps, firsts, words = {}, {}, {}
-        for text in texts:
-            for word in WORD.findall(text.lower()):
-                words[word] = words.get(word, 0) + 1
-                for a, b in zip(word, word[1:]):
-                    steps[a + b] = steps.get(a + b, 0) + 1
-                    firsts[a] = firsts.get(a, 0) + 1
-        self.words = frozenset(
-            sorted((w for w in words if len(w) > 3), key=lambda w: (-words[w], w))[:vocabulary]
-        )
-        self.steps = {step: math.log((n + 1) / (firsts[step[0]] + 40)) for step, n in steps.items()}
-        self.rare = math.log(1 / 1000)
+    def __init__(self, texts: list[str] = (), words: frozenset[str] = frozenset(), steps: dict[str, float] | None = None):
+        if steps is not None:
+            self.words, self.steps = words, steps
+            return
+        counts = Counter(word for text in texts for word in WORD.findall(text.lower()))
+        pairs, firsts = Counter(), Counter()
+        for word, n in counts.items():
+            for a, b in zip(word, word[1:]):
+                pairs[a + b] += n
+                firsts[a] += n
+        self.words = frozenset(word for word in counts if len(word) >= SHORTEST)
+        self.steps = {step: math.log((n + 1) / (firsts[step[0]] + 40)) for step, n in pairs.items()}
 
     def transition(self, text: str) -> float:
         pairs = [text[i : i + 2] for i in range(len(text) - 1)]
-        return sum(self.steps.get(p, self.rare) for p in pairs) / max(1, len(pairs))
+        return sum(self.steps.get(p, RARE) for p in pairs) / max(1, len(pairs))
 
     def coverage(self, text: str) -> tuple[float, int]:
         """The part of a text that known words of four letters and more cover, and the longest."""
         covered = longest = at = 0
         while at < len(text):
-            for end in range(min(len(text), at + 14), at + 3, -1):
+            for end in range(min(len(text), at + LONGEST), at + SHORTEST - 1, -1):
                 if text[at:end] in self.words:
                     covered, longest, at = covered + end - at, max(longest, end - at), end - 1
                     break
@@ -115,12 +120,97 @@ def findings_of(text: str) -> Iterator[tuple[int, int, str, str]]:
         yield found.start(), found.end(), found.group(), text[max(0, found.start() - 48) : found.start()]
 
 
-def _features_udf(letters: Letters):
-    @F.pandas_udf("array<double>")
-    def run(value: pd.Series, before: pd.Series, path: pd.Series) -> pd.Series:
-        return pd.Series([features(v, b, p, letters) for v, b, p in zip(value, before, path)])
+def _known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, n``: counts of a part of the texts; a word may come several times."""
+
+    def counted() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
+        )
+
+    counts: Counter[str] = Counter()
+    for batch in batches:
+        for raw in texts_of(batch):
+            text, at = raw.decode().lower(), 0
+            while at < len(text):
+                stop = NO_WORD.search(text, at + (1 << 20))
+                end = stop.start() if stop else len(text)
+                counts.update(WORD.findall(text, at, end))
+                at = end
+            if len(counts) > 200_000:  # a bound on memory only
+                yield counted()
+                counts.clear()
+    if counts:
+        yield counted()
+
+
+def letters_of(docs: DataFrame, least: int = 3, part: int = 100_000_000) -> DataFrame:
+    """``piece, weight``: steps of two letters with the log of their share, and known words with 0.
+
+    Counted over all words of all texts. Known is a word of SHORTEST to LONGEST letters that
+    stands ``least`` times, and once in ``part`` words of all: so letters that a secret holds
+    by chance are no words, however large the table.
+    """
+    texts = docs.filter("text is not null").select(F.col("text").cast("string").alias("text"))
+    counts = texts.mapInArrow(_known_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, "secret-words")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    size = F.length("word")
+    known = counts.filter(size.between(SHORTEST, LONGEST) & (F.col("n") >= max(least, -(-total // part))))
+    pair = F.explode(F.expr("transform(sequence(1, length(word) - 1), i -> substring(word, i, 2))"))
+    steps = counts.filter(size >= 2).select(pair.alias("piece"), "n").groupBy("piece").agg(F.sum("n").alias("n"))
+    firsts = steps.groupBy(F.substring("piece", 1, 1).alias("_first")).agg(F.sum("n").alias("_all"))
+    steps = steps.join(firsts, F.substring("piece", 1, 1) == F.col("_first"))
+    weighed = steps.select("piece", F.log((F.col("n") + 1) / (F.col("_all") + 40)).alias("weight"))
+    pieces = known.select(F.col("word").alias("piece"), F.lit(0.0).alias("weight")).unionByName(weighed)
+    return materialize(pieces, "secret-letters")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, piece``: all that could be a step or a known word in a value."""
+    for batch in batches:
+        for key, raw in zip(batch.column("key").to_pylist(), texts_of(batch, "value")):
+            found = set()
+            for run in WORD.findall(raw.decode().lower()):
+                for size in (2, *range(SHORTEST, LONGEST + 1)):
+                    found.update(run[at : at + size] for at in range(len(run) - size + 1))
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(found), pa.string()), pa.array(sorted(found), pa.string())], ["key", "piece"]
+                )
+
+
+def with_features(rows: DataFrame, letters: Letters | DataFrame) -> DataFrame:
+    """Adds ``features``. ``letters`` of :func:`letters_of` are joined: every value meets only its own pieces."""
+    columns = "value", "before", "path"
+    if isinstance(letters, Letters):
+
+        @F.pandas_udf("array<double>")
+        def run(value: pd.Series, before: pd.Series, path: pd.Series) -> pd.Series:
+            return pd.Series([features(*row, letters) for row in zip(value, before, path)])
+
+        return rows.withColumn("features", run(*columns))
 
-    return run
+    @F.pandas_udf("array<double>")
+    def run(value: pd.Series, before: pd.Series, path: pd.Series, pieces: pd.Series, weights: pd.Series) -> pd.Series:
+        out = []
+        for *row, names, logs in zip(value, before, path, pieces, weights):
+            known = {} if names is None else dict(zip(names, map(float, logs)))
+            words = frozenset(piece for piece in known if len(piece) >= SHORTEST)
+            out.append(features(*row, Letters(words=words, steps={p: w for p, w in known.items() if len(p) == 2})))
+        return pd.Series(out)
+
+    keyed = rows.withColumn("_key", F.md5(F.col("value").cast("binary")))
+    values = keyed.select(F.col("_key").alias("key"), "value").distinct()
+    known = (
+        values.mapInArrow(_pieces, "key string, piece string")
+        .join(letters, "piece")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("piece", "weight")).alias("_known"))
+    )
+    met = keyed.join(known, F.col("_key") == F.col("key"), "left")
+    met = met.withColumn("features", run(*columns, "_known.piece", "_known.weight"))
+    return met.select(*rows.columns, "features")
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
@@ -147,7 +237,7 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 
 
 def train(
-    labelled: DataFrame, letters: Letters, per_label: int = 2000, trees: int = 40, depth: int = 8, seed: int = 3
+    labelled: DataFrame, letters: Letters | DataFrame, per_label: int = 2000, trees: int = 40, depth: int = 8, seed: int = 3
 ) -> RandomForestClassificationModel:
     """A forest over at most ``per_label`` different findings of each label, taken by a hash.
 
@@ -165,20 +255,16 @@ def train(
             kept.filter(F.col("label") == label), counts.get(label, 0), "_at", ["value", "before", "path"], per_label
         )
         rows = some if rows is None else rows.unionByName(some)
-    vectors = rows.select(
-        array_to_vector(_features_udf(letters)("value", "before", "path")).alias(
-            "features"
-        ),
-        F.col("label").cast("double").alias("label"),
-    )
-    vectors = materialize(vectors.withColumn("f", vector_to_array("features")).drop("features"), "secret-sample")
+    # Stored before the features: the rows are picked once.
+    rows = materialize(rows.select("value", "before", "path", F.col("label").cast("double")), "secret-picked")
+    vectors = materialize(with_features(rows, letters).select(F.col("features").alias("f"), "label"), "secret-sample")
     vectors = vectors.select(array_to_vector("f").alias("features"), "label")
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(vectors)
 
 
-def score(found: DataFrame, model: RandomForestClassificationModel, letters: Letters) -> DataFrame:
+def score(found: DataFrame, model: RandomForestClassificationModel, letters: Letters | DataFrame) -> DataFrame:
     """Adds ``probability`` that a candidate is a secret."""
-    vectors = found.withColumn("features", array_to_vector(_features_udf(letters)("value", "before", "path")))
+    vectors = with_features(found, letters).withColumn("features", array_to_vector("features"))
     return model.transform(vectors).withColumn("probability", vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "prediction"
     )
@@ -197,16 +283,6 @@ def rule_label() -> Column:
     return F.when(formed | (named & random), 1).when(~near, 0)
 
 
-def sample_letters(docs: DataFrame, rows: int = 400, chars: int = 4000) -> Letters:
-    """Letter steps and words of ``rows`` documents by a hash of id and text, ``chars`` characters of each."""
-    texts = docs.filter("text is not null")
-    some = texts.select(
-        F.xxhash64("doc_id", "text").alias("_at"), F.substring("text", 1, chars).alias("text")
-    )
-    few = least_hashed(some, texts.count(), "_at", ["text"], rows)
-    return Letters([row.text for row in few.collect()])
-
-
 def scan(
     docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", threshold: float = 0.5
 ) -> DataFrame:
@@ -225,7 +301,7 @@ def scan(
     known = found.withColumn("label", rule_label()) if labelled is None else labelled
     counts = known.agg(F.count(F.when(F.col("label") == 1, 1)), F.count(F.when(F.col("label") == 0, 1))).first()
     if all(counts):
-        letters = sample_letters(docs)
+        letters = letters_of(docs)
         scored = score(found, train(known, letters), letters)
     else:
         scored = found.withColumn("probability", F.coalesce(rule_label().cast("double"), F.lit(0.5)))

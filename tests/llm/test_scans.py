@@ -150,6 +150,25 @@ def test_secrets_of_the_documents(spark):
     assert got == planted
 
 
+def test_letters_count_every_word_of_every_text(spark):
+    rng = random.Random(12)
+    words = sorted({"".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 15))) for _ in range(24_000)})
+    texts = [(i, "filling " * 600 + " ".join(words[i::800] * 3), "s") for i in range(800)]  # behind 4,000 characters
+    texts += [(900, "once", "s"), (901, None, "s"), (902, "", "s")]
+    letters = secrets.letters_of(table(spark, texts))
+    pieces = {r.piece: r.weight for r in letters.collect()}
+    local = secrets.Letters([t for _, t, _ in texts if t])
+    assert {p for p in pieces if len(p) > 2} == {*words, "filling"} and "once" in local.words
+    assert {p: round(w, 9) for p, w in pieces.items() if len(p) == 2} == {p: round(w, 9) for p, w in local.steps.items()}
+    values = [(f"{words[i]}-{words[-i]}-2024", "see ", "a.md") for i in range(1, 300)] + [("x1!Ж" * 900, "", "")]
+    found = spark.createDataFrame(values * 2, "value string, before string, path string")
+    got = sorted((r.value, [round(x, 9) for x in r.features]) for r in secrets.with_features(found, letters).collect())
+    assert got == sorted((v, [round(x, 9) for x in secrets.features(v, b, p, local)]) for v, b, p in values * 2)
+    at = secrets.FEATURES.index("dictionary")
+    assert all(f[at] > 0.5 for v, f in got if v.endswith("2024"))
+    assert secrets.letters_of(table(spark, [])).collect() == []
+
+
 # Lines
 
 
