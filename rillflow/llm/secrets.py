@@ -23,10 +23,28 @@ from rillflow.session import materialize
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|(?<![A-Za-z0-9_/+\-])(?=[A-Za-z_/+\-]*[0-9])[A-Za-z0-9_/+\-]{12,}={0,2}(?![A-Za-z0-9_/+\-])"
 )
+#: Published forms of keys that need no name before them (fixed values): cloud and hosting keys, payment, mail,
+#: chat, map and model keys, packages, signed web tokens.
+PUBLISHED = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Z])|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_\w{36,}|glpat-[\w-]{20,}|npm_[0-9A-Za-z]{36,}"
+    r"|pypi-[\w-]{50,}|(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{10,}|sk-[\w-]{20,}|SG\.[\w-]{16,}\.[\w-]{16,}|xox[abeprs]-[0-9A-Za-z-]{10,}"
+    r"|AIza[\w-]{35}|ya29\.[\w-]{20,}|hf_[0-9A-Za-z]{30,}|shp(?:at|ca|pa|ss)_[0-9a-f]{32}|dop_v1_[0-9a-f]{64}"
+    r"|eyJ[\w-]{10,}\.eyJ[\w-]{10,}(?:\.[\w-]*)?"
+)
+FORMED = re.compile(PUBLISHED, re.ASCII)
+FORMS = rf"^({PUBLISHED}|-----BEGIN .*)$"
+#: What assigns a value, the name of a secret before it, and the value: in quotes, or up to a blank.
+SIGN = re.compile(r"[=:]|[Bb][Ee][Aa][Rr][Ee][Rr](?=[ \t])")
+NAMED = re.compile(
+    r"(?i)(?:token|secret|passw(?:or)?d|passphrase|pwd|pass|key|auth|credential|private|access|bearer)[\w-]{0,40}[\"']?[ \t]{0,8}$"
+)
+GAP = re.compile(r"=?>?[ \t]{0,8}")
+QUOTED = {q: re.compile(rf"{q}(?:[^{q}\\\n]|\\.)+{q}") for q in "\"'"}
+PLAIN = re.compile(r"[^\s\"',;]*")
+#: The password of a URL.
+IN_URL = re.compile(r"://[^\s:/@\"'<>]*:([^\s/\"'<>]+)@")
 #: The same for the engine's regex, to pick documents.
-HINT = r"[A-Za-z0-9_/+-]{12}|-----BEGIN "
-#: Published forms of keys that need no name before them (fixed values): cloud access keys, hosting, chat and map tokens.
-FORMS = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|-----BEGIN .*)$"
+HINT = r"[A-Za-z0-9_/+-]{12}|[=:]|-----BEGIN |[Bb][Ee][Aa][Rr][Ee][Rr][ \t]"
 WORD = re.compile(r"[^\W\d_]+")
 NO_WORD = re.compile(r"[\W\d_]")
 #: Letters of the words that are looked for inside a value (fixed values).
@@ -40,7 +58,7 @@ DUMMY = re.compile(r"(?i)example|placeholder|changeme|dummy|sample|your|xxxx|0{6
 FEATURES = (
     "length", "digits", "upper", "hex", "distinct", "entropy", "case_turns", "kind_turns", "transition",
     "dictionary", "longest_word", "assigned", "quoted", "named", "named_near", "words_before", "path_parts",
-    "path_test", "path_code", "dummy",
+    "path_test", "path_code", "dummy", "named_after", "words_after",
 )
 
 
@@ -79,14 +97,14 @@ class Letters:
         return covered / max(1, len(text)), longest
 
 
-def features(value: str, before: str, path: str, letters: Letters) -> list[float]:
-    """The numbers named in :data:`FEATURES`; ``before`` is the text just before, ``path`` where it is from."""
+def features(value: str, before: str, path: str, letters: Letters, after: str = "") -> list[float]:
+    """The numbers named in :data:`FEATURES`; ``before`` and ``after`` are the text around, ``path`` where it is from."""
     n = len(value)
     lower = value.lower()
     counts = [value.count(c) for c in set(value)]
     kinds = ["d" if c.isdigit() else "a" if c.isalpha() else "s" for c in value]
     covered, longest = letters.coverage(lower)
-    near = WORD.findall(before.lower())
+    near, next_words = WORD.findall(before.lower()), WORD.findall(after.lower())
     assigned = re.search(r"[=:]\s*[\"']?$", before)
     last = near[-1] if near else ""
     place = path.lower()
@@ -111,13 +129,53 @@ def features(value: str, before: str, path: str, letters: Letters) -> list[float
         float("test" in place or "example" in place or "doc" in place),
         float(bool(re.search(r"\.(py|js|java|go|c|cpp|sh|env|ya?ml|json|conf|ini)$", place))),
         float(bool(DUMMY.search(value))),
+        float(any(word in NAMING for word in next_words)),
+        float(len(next_words)),
     ]
 
 
-def findings_of(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Start, end, value and the text before of each candidate."""
-    for found in CANDIDATE.finditer(text):
-        yield found.start(), found.end(), found.group(), text[max(0, found.start() - 48) : found.start()]
+def assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every value that is assigned to the name of a secret, whatever its length and characters.
+
+    Of a chain ("auth: token=x") the values that end together are the first and the last of them.
+    """
+    chain: list[tuple[int, int]] = []
+    run_end = 0
+    for sign in SIGN.finditer(text):
+        at = sign.start() if len(sign.group()) == 1 else sign.end()
+        if not NAMED.search(text, max(0, at - 64), at):
+            continue
+        begin = GAP.match(text, sign.end()).end()
+        quote = text[begin : begin + 1]
+        held = QUOTED[quote].match(text, begin) if quote in QUOTED else None
+        if held:
+            begin, end = begin + 1, held.end() - 1
+        else:
+            begin += quote in QUOTED
+            run_end = run_end if begin < run_end else PLAIN.match(text, begin).end()
+            end = run_end
+            while end > begin and text[end - 1] in ".:)]}>":
+                end -= 1
+        if end <= begin:
+            continue
+        if chain and chain[-1][1] != end:
+            yield from {chain[0], chain[-1]}
+            chain = []
+        chain.append((begin, end))
+    if chain:
+        yield from {chain[0], chain[-1]}
+
+
+def findings_of(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, value and the text before and after of each candidate; one may lie inside another."""
+    spans = {found.span() for found in CANDIDATE.finditer(text)}
+    spans.update(assigned(text))
+    spans.update(found.span(1) for found in IN_URL.finditer(text))
+    for found in FORMED.finditer(text):
+        if not re.match(r"[\w-]", text[found.start() - 1 : found.start()] or " "):
+            spans.add(found.span())
+    for start, end in sorted(spans):
+        yield start, end, text[start:end], text[max(0, start - 48) : start], text[end : end + 48]
 
 
 def _known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,22 +240,25 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_features(rows: DataFrame, letters: Letters | DataFrame) -> DataFrame:
     """Adds ``features``. ``letters`` of :func:`letters_of` are joined: every value meets only its own pieces."""
-    columns = "value", "before", "path"
+    columns = "value", "before", "path", F.col("after") if "after" in rows.columns else F.lit("")
     if isinstance(letters, Letters):
 
         @F.pandas_udf("array<double>")
-        def run(value: pd.Series, before: pd.Series, path: pd.Series) -> pd.Series:
-            return pd.Series([features(*row, letters) for row in zip(value, before, path)])
+        def run(value: pd.Series, before: pd.Series, path: pd.Series, after: pd.Series) -> pd.Series:
+            return pd.Series([features(v, b, p, letters, a) for v, b, p, a in zip(value, before, path, after)])
 
         return rows.withColumn("features", run(*columns))
 
     @F.pandas_udf("array<double>")
-    def run(value: pd.Series, before: pd.Series, path: pd.Series, pieces: pd.Series, weights: pd.Series) -> pd.Series:
+    def run(
+        value: pd.Series, before: pd.Series, path: pd.Series, after: pd.Series, pieces: pd.Series, weights: pd.Series
+    ) -> pd.Series:
         out = []
-        for *row, names, logs in zip(value, before, path, pieces, weights):
+        for *row, behind, names, logs in zip(value, before, path, after, pieces, weights):
             known = {} if names is None else dict(zip(names, map(float, logs)))
             words = frozenset(piece for piece in known if len(piece) >= SHORTEST)
-            out.append(features(*row, Letters(words=words, steps={p: w for p, w in known.items() if len(p) == 2})))
+            local = Letters(words=words, steps={p: w for p, w in known.items() if len(p) == 2})
+            out.append(features(*row, local, behind))
         return pd.Series(out)
 
     keyed = rows.withColumn("_key", F.md5(F.col("value").cast("binary")))
@@ -214,16 +275,16 @@ def with_features(rows: DataFrame, letters: Letters | DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """``doc_id, start, end, value, before, path`` of all candidates; whole texts are searched."""
+    """``doc_id, start, end, value, before, path, after`` of all candidates; whole texts are searched."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "end", "value", "before", "path"]
-        types = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 3]
+        names = ["doc_id", "start", "end", "value", "before", "path", "after"]
+        types = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 4]
         for batch in batches:
             rows = []
             columns = batch.column("doc_id").to_pylist(), texts_of(batch), batch.column("path").to_pylist()
             for doc_id, text, place in zip(*columns):
-                rows += [(doc_id, s, e, v, b, place) for s, e, v, b in findings_of(text.decode())]
+                rows += [(doc_id, s, e, v, b, place, a) for s, e, v, b, a in findings_of(text.decode())]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
@@ -232,7 +293,7 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         F.col("text").cast("string").alias("text"),
         F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
     )
-    schema = "doc_id long, start int, end int, value string, before string, path string"
+    schema = "doc_id long, start int, end int, value string, before string, path string, after string"
     return rows.filter(F.col("text").rlike(HINT)).mapInArrow(run, schema)
 
 
@@ -242,21 +303,23 @@ def train(
     """A forest over at most ``per_label`` different findings of each label, taken by a hash.
 
     ``labelled`` has ``value, before, path, label`` (0 or 1; null labels are left
-    out). A finding that is repeated is learned once.
+    out) and may have ``after``. A finding that is repeated is learned once.
     """
-    text = [F.coalesce(c, F.lit("")).alias(c) for c in ("before", "path")]
+    after = F.col("after") if "after" in labelled.columns else F.lit("")
+    text = [F.coalesce(c, F.lit("")).alias(n) for n, c in (("before", "before"), ("path", "path"), ("after", after))]
+    key = ["value", "before", "path", "after"]
     kept = labelled.filter("label in (0, 1) and value is not null and value != ''")
     kept = materialize(kept.select("value", *text, F.col("label").cast("int")).distinct(), "secret-labelled")
-    kept = kept.withColumn("_at", F.xxhash64("value", "before", "path"))
+    kept = kept.withColumn("_at", F.xxhash64(*key))
     counts = {row["label"]: row["count"] for row in kept.groupBy("label").count().collect()}  # two rows
     rows = None
     for label in (0, 1):
         some = least_hashed(
-            kept.filter(F.col("label") == label), counts.get(label, 0), "_at", ["value", "before", "path"], per_label
+            kept.filter(F.col("label") == label), counts.get(label, 0), "_at", key, per_label
         )
         rows = some if rows is None else rows.unionByName(some)
     # Stored before the features: the rows are picked once.
-    rows = materialize(rows.select("value", "before", "path", F.col("label").cast("double")), "secret-picked")
+    rows = materialize(rows.select(*key, F.col("label").cast("double")), "secret-picked")
     vectors = materialize(with_features(rows, letters).select(F.col("features").alias("f"), "label"), "secret-sample")
     vectors = vectors.select(array_to_vector("f").alias("features"), "label")
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(vectors)
@@ -271,16 +334,23 @@ def score(found: DataFrame, model: RandomForestClassificationModel, letters: Let
 
 
 def rule_label() -> Column:
-    """1 for what has a published form of keys, or is assigned to a name of a secret and looks random.
+    """1 for what has a published form of keys, stands as a URL's password, or is assigned to a name of a secret and looks random.
 
-    0 for what has none of these marks. Between the two nothing is labelled. Stands
-    in for labels by hand, where there are none.
+    0 for what has none of these marks, and for placeholders and calls under such a
+    name. Between the two nothing is labelled. Stands in for labels by hand, where
+    there are none.
     """
-    formed = F.col("value").rlike(FORMS)
-    named = F.col("before").rlike(r"(?i)(token|secret|passw(or)?d|api_?key|auth)\w*[\"']?\s*[=:]\s*[\"']?$")
-    random = F.col("value").rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_+/=-]{16,}$")
-    near = F.col("before").rlike(r"(?i)token|secret|passw|key|auth")
-    return F.when(formed | (named & random), 1).when(~near, 0)
+    value, before = F.col("value"), F.col("before")
+    formed = value.rlike(FORMS)
+    name = r"(?i)({})\w*[\"']?\s*[=:]\s*[\"']?$"
+    named = before.rlike(name.format(r"token|secret|passw(or)?d|api_?key|auth"))
+    random = value.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_+/=-]{16,}$")
+    stand_in = value.rlike(r"(?i)example|placeholder|changeme|dummy|your|x{4}|^[$<{%]|^[A-Za-z_.]+\(|^(none|null|true|false)$")
+    short = before.rlike(name.format(r"secret|passw(or)?d|pwd|passphrase"))
+    mixed = value.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])\S{6,}$") & ~stand_in
+    in_url = before.rlike(r"://[^\s:/@]*:$") & ~stand_in & F.col("after").startswith("@")
+    near = before.rlike(r"(?i)token|secret|pass|pwd|key|auth|credential|private|access|bearer|://[^\s:/@]*:$")
+    return F.when(formed | (named & random) | (short & mixed) | in_url, 1).when(~near | stand_in, 0)
 
 
 def scan(

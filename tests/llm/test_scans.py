@@ -150,6 +150,48 @@ def test_secrets_of_the_documents(spark):
     assert got == planted
 
 
+WRITTEN = [
+    ('password = "hunter2!"', "hunter2!"), ("password=Tr0ub4dor&3", "Tr0ub4dor&3"),
+    ('db_password = "S3cr3t#Passw0rd!"', "S3cr3t#Passw0rd!"), ("see postgres://u:p4ssw0rd@h/db", "p4ssw0rd"),
+    ("passphrase: 'correct horse battery staple'", "correct horse battery staple"), ("auth: token=short,", "short"),
+    ('{"api_key" : "a\\"b"}', 'a\\"b'), ("Authorization: Bearer abc.def", "abc.def"), ('secret = "open', "open"),
+]
+PLAIN_KEYS = [
+    "sk_live_" + "4eC39HqLyjWDarjtT1zdp7dc", "glpat-" + "ABCdefGHIjklMNOpqrst", "npm_" + "aB3" * 12,
+    "SG." + "Ab1-" * 6 + "." + "xY9_" * 10, "eyJhbGciOiJIUzI1NiJ9." + "eyJzdWIiOiIxMjM0NTY3ODkwIn0" + ".dozjgNryP4J3jVmN",
+]
+
+
+def test_values_of_any_form_are_candidates(spark):
+    rows = [(i, text, "a") for i, (text, _) in enumerate(WRITTEN)] + [(100 + i, f"use {k} now", "a") for i, k in enumerate(PLAIN_KEYS)]
+    found = secrets.candidates(table(spark, rows)).withColumn("label", secrets.rule_label()).collect()
+    got = {(r.doc_id, r.value): r.label for r in found}
+    assert all((i, value) in got for i, (_, value) in enumerate(WRITTEN))
+    assert [got[i, WRITTEN[i][1]] for i in range(4)] == [1] * 4
+    assert [got.get((100 + i, k)) for i, k in enumerate(PLAIN_KEYS)] == [1] * len(PLAIN_KEYS)
+    assert {r.after for r in found if r.doc_id == 100} == {" now"}
+    assert all(text[r.start : r.end] == r.value for r in found for i, text, _ in rows if i == r.doc_id)
+
+
+def test_long_chains_of_assignments():
+    found = list(secrets.findings_of("key=" * 50_000 + "x"))
+    assert len(found) <= 3 and max(len(r[2]) for r in found) == 4 * 49_999 + 1
+
+
+def test_short_secrets_are_told_from_references(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghkmnoprstuvw") for _ in range(rng.randrange(4, 9)))
+    rows = []
+    for i in range(150):
+        rows.append((i, f'the {word()} line\npassword = "{word().title()}{rng.randrange(10, 99)}!"\n', "app/a.py"))
+        rows.append((200 + i, f"page {word()}-{word()}-{rng.randrange(100)}\npassword = your_{word()}\n", "app/b.py"))
+    rows.append((999, 'password = "hunter2!"', "app/a.py"))
+    got = [r for r in secrets.scan(table(spark, rows)).collect()]
+    assert any(r.doc_id == 999 and r.is_secret for r in got)
+    assert sum(r.is_secret for r in got if r.doc_id < 150) >= 145
+    assert sum(r.is_secret for r in got if 200 <= r.doc_id < 350) <= 5
+
+
 def test_letters_count_every_word_of_every_text(spark):
     rng = random.Random(12)
     words = sorted({"".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 15))) for _ in range(24_000)})
