@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from hashlib import sha256
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm.running import fraction
 from rillflow.llm.text import in_chunks
 
 #: Texts are parsed in blocks of so many bytes, side by side.
@@ -147,49 +148,74 @@ class CrossParser:
         return [self.languages[b] for b in best], share[best, rows], np.array([len(t) for t in texts]) / count[best, rows]
 
 
-#: The automata of a Python worker, by the digest of their samples.
-_PARSERS: dict[str, CrossParser] = {}
+def sample_texts(labelled: DataFrame, rows: int = 24, chars: int = 24_576) -> dict[str, list[bytes]]:
+    """For each language, pieces of about ``rows`` different texts by their hash, ``chars`` bytes in all.
 
-
-def sample_texts(labelled: DataFrame, rows: int = 16, chars: int = 16_384) -> dict[str, list[bytes]]:
-    """For each language, texts of ``rows`` documents by a hash of their id, ``chars`` bytes in all.
-
-    ``labelled`` has doc_id, lang and text. At most ``rows`` rows per language
-    leave a task, and each brings an equal part of the bytes, so that the sample
-    stays within its bound (about 8 MB for each language as a table).
+    ``labelled`` has lang and text; copies of a text count once. Every text brings
+    a piece of ``chars / rows`` bytes from a place that its hash decides, or all of
+    it if it is shorter: then more texts follow until the bytes are there. Where a
+    language has too few texts for that, they bring more pieces. A bound on the hash
+    leaves about four times the texts needed, so that no task holds those of a
+    whole language (about 12 MB for each language as a table).
     """
     part = chars // rows
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     usable = labelled.filter("lang is not null and text is not null and length(text) > 0").select(
-        "doc_id", "lang", F.substring("text", 1, 4 * part).alias("text")
+        "lang", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_hash")
+    )
+    sizes = usable.select("lang", "_hash", F.least(F.octet_length("text"), F.lit(part)).alias("_part")).distinct()
+    held = sizes.groupBy("lang").agg(F.sum("_part").alias("_held")).withColumnRenamed("lang", "_of")
+    near = usable.join(held, F.col("lang") == F.col("_of")).filter(
+        fraction(F.col("_hash")) < F.least(F.lit(1.0), F.lit(4.0 * chars) / F.col("_held"))
     )
-    chosen = usable.withColumn("_nr", F.row_number().over(place)).filter(F.col("_nr") <= rows)
-    found: dict[str, list[bytes]] = {}
-    for row in chosen.orderBy("lang", "_nr").collect():
-        found.setdefault(row.lang, []).append(row.text.encode()[:part])
+    few = F.col("_held") < chars
+    width = F.when(few, chars).otherwise(part)
+    room = F.greatest(F.length("text") - width + 1, F.lit(1))
+    start = F.pmod(F.xxhash64("_hash", F.lit(1)), room).cast("int") + 1
+    chosen = near.select("lang", "_hash", F.substring("text", start, width).alias("text")).distinct()
+    texts: dict[str, list[tuple[int, bytes]]] = {}
+    for row in chosen.collect():
+        texts.setdefault(row.lang, []).append((row._hash % (1 << 64), row.text.encode()))
+    return {lang: _pieces(sorted(some), part, chars) for lang, some in texts.items()}
+
+
+def _pieces(texts: list[tuple[int, bytes]], part: int, chars: int) -> list[bytes]:
+    """Pieces of ``part`` bytes, one of each text and then the next of each, ``chars`` bytes in all at most."""
+    cut = []
+    for hashed, text in texts:
+        pieces = [text[at : at + part] for at in range(0, len(text), part)]
+        first = hashed % len(pieces)
+        cut.append(sorted(pieces[first:] + pieces[:first], key=len, reverse=True))  # full ones first
+    found, left = [], chars
+    for nth in range(max(map(len, cut), default=0)):
+        for pieces in cut:
+            if nth < len(pieces) and left:
+                found.append(pieces[nth][:left])
+                left -= len(found[-1])
     return found
 
 
 def _identified(samples: dict[str, list[bytes]]):
-    """An Arrow function of texts and whether they have a letter to ``lang_pred, score, phrase_bytes``."""
-    name = sha256(repr(sorted(samples.items())).encode()).hexdigest()
+    """An Arrow function of texts and whether they have a letter to ``lang_pred, score, phrase_bytes``.
+
+    The automata are those of a task and go with it: the worker's next stage does not hold them.
+    """
 
     @F.arrow_udf("lang_pred string, score double, phrase_bytes double")
-    def run(column: pa.Array, lettered: pa.Array) -> pa.Array:
-        if samples and name not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[name] = CrossParser(samples)
-        texts, usable = column.cast(pa.binary()).to_pylist(), lettered.to_pylist()
-        names, scores, sizes = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
-        for start, end in in_chunks(texts, 2 << 20):
-            rows = [row for row in range(start, end) if usable[row] and samples]
-            if rows:
-                for row, best, score, size in zip(rows, *_PARSERS[name].classify([texts[row] for row in rows])):
-                    names[row], scores[row], sizes[row] = best, float(score), float(size)
-        return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.float64())],
-            ["lang_pred", "score", "phrase_bytes"],
-        )
+    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        parser = None
+        for column, lettered in columns:
+            texts, usable = column.cast(pa.binary()).to_pylist(), lettered.to_pylist()
+            names, scores, sizes = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
+            for start, end in in_chunks(texts, 1 << 20):
+                rows = [row for row in range(start, end) if usable[row] and samples]
+                if rows:
+                    parser = parser or CrossParser(samples)
+                    for row, best, score, size in zip(rows, *parser.classify([texts[row] for row in rows])):
+                        names[row], scores[row], sizes[row] = best, float(score), float(size)
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.float64())],
+                ["lang_pred", "score", "phrase_bytes"],
+            )
 
     return run
 

@@ -88,6 +88,22 @@ def test_samples_are_bounded_and_leave_nulls_out(spark):
     assert {k: (len(v), sum(map(len, v))) for k, v in samples.items()} == {"en": (5, 1000), "de": (5, 1000)}
 
 
+def test_samples_hold_different_texts_from_all_places(spark):
+    copy = "all the same page again and again. " * 200
+    rows = [(i, copy, "en") for i in range(300)]
+    rows += [(1000 + i, "".join(f"{i} {n} " for n in range(900)), "en") for i in range(60)]
+    rows += [(2000 + i, f"kurz {i}", "de") for i in range(4000)]
+    rows += [(9000, "".join(f"seul {n} " for n in range(9000)), "fr")]
+    df = spark.createDataFrame([(d, t, g, None, None) for d, t, g in rows], DOCS).repartition(4)
+    samples = language.sample_texts(df)
+    assert {k: sum(map(len, v)) for k, v in samples.items()} == {"en": 24_576, "de": 24_576, "fr": 24_576}
+    assert len(samples["en"]) == 24 and sum(b"same page" in piece for piece in samples["en"]) <= 1
+    assert len(set(samples["de"])) == len(samples["de"]) > 2000 and len(set(samples["fr"])) == 24
+    starts = {piece.split()[3] for piece in samples["en"] if b"same" not in piece}
+    assert len(starts) > 12  # a prefix would begin with the numbers 0, 1 everywhere
+    assert language.sample_texts(df.limit(0)) == {}
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op8_cross_parsing(spark, sf).collect()
