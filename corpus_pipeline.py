@@ -27,8 +27,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that stand on too many documents of their source."""
-    cleaned = boilerplate.drop_boilerplate(docs)
+    """Texts without the lines that stand on too many different documents of their source."""
+    cleaned = boilerplate.drop_boilerplate(docs, copies_once=True)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))

@@ -48,6 +48,16 @@ def test_line_stage(spark):
         assert r.n_chars == (None if r.text is None else len(r.text))
 
 
+def test_line_stage_keeps_a_text_with_many_copies(spark):
+    rows = [r for r in corpus() if r[0] is not None and r[0] < 200]
+    clean = "one clean text\nof two lines"
+    rows += [(500 + i, clean, "en", "src1", len(clean)) for i in range(60)]  # a third of all rows
+    rows += [(600 + i, clean, "en", "small", len(clean)) for i in range(5)]
+    out = {r.doc_id: r.text for r in pipeline.without_boilerplate(spark, table(spark, rows), "").collect()}
+    assert all(out[i] == clean for i in [*range(500, 560), *range(600, 605)])
+    assert all("all rights reserved" not in out[i] for i in range(120))
+
+
 def test_near_duplicate_stage(spark):
     rows = corpus()
     out = pipeline.without_near_duplicates(spark, table(spark, rows), "")
