@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hmac
 import re
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ TITLES = {
 _GENDER_OF = {name: key[0] for key, names in GIVEN.items() for name in names}
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+#: The next word of a name: none that begins an address.
+_NEXT = rf"[ ]+(?![\w.%+'’-]*@){_NAME}"
 #: The types in the order in which they claim text; letter case is of no matter but in names.
 PATTERNS = {
     "email": r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+",
@@ -38,7 +41,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])",
-    "name": rf"(?<!\w)(?:{'|'.join(TITLES)})\.?[ ]+{_NAME}(?:[ ]+{_NAME})?|(?<!\w)(?:{'|'.join(_GENDER_OF)})[ ]+{_NAME}",
+    "name": rf"(?<!\w)(?=[^\W\d_])(?:(?:{'|'.join(TITLES)})\.?{_NEXT}(?:{_NEXT})?|(?:{'|'.join(_GENDER_OF)}){_NEXT})",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 #: What any match holds; the engine's regex picks the documents to be looked at by it.
@@ -56,9 +59,37 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
 
     The value is what identifies the entity: a card without blanks, an address in
     lower case, a name without its title. The form is what a surrogate must match.
+    A surname that stands alone is the person of that name named last before it,
+    or else first after it.
     """
-    for found in _ALL.finditer(text):
+    found = list(_direct(text))
+    people: dict[str, list[tuple[int, str, str]]] = {}
+    for start, _, kind, form, value in found:
+        if kind == "name" and len(surname := value.split()[-1]) > 1:
+            people.setdefault(surname.upper(), []).append((start, form, value))
+    if people:
+        either = "|".join(re.escape(n) for k, named in people.items() for n in {k, named[0][2].split()[-1]})
+        at = 0
+        for bare in re.finditer(rf"(?<!\w)(?:{either})(?!\w)", text):
+            while at < len(found) and found[at][1] <= bare.start():
+                yield found[at]
+                at += 1
+            if at < len(found) and found[at][0] < bare.end():
+                continue
+            named = people[bare.group().upper()]
+            nth = max(bisect.bisect(named, (bare.start(),)) - 1, 0)
+            yield bare.start(), bare.end(), "name", *named[nth][1:]
+        yield from found[at:]
+    else:
+        yield from found
+
+
+def _direct(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """The mentions that :data:`PATTERNS` find; after a match that is cut or left out the search goes on inside it."""
+    after = 0
+    while found := _ALL.search(text, after):
         kind, start, end = found.lastgroup, found.start(), found.end()
+        after = end
         if kind == "ip" and any(int(part) > 255 for part in found.group().split(".")):
             continue
         if kind == "name":
@@ -70,7 +101,9 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             if title in TITLES and not words[-1][:1].isupper():
                 end = start + len(words[0])  # "Dr Watson too": the second word is none of the name
             name = text[start:end]
+            after = end
             if not all(part[:1].isupper() for part in name.split()):
+                after = found.start() + len(first)
                 continue
             given = name.split()[0]
             gender = _GENDER_OF.get(given) or TITLES.get(title, "n")
@@ -137,7 +170,9 @@ def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str
 
 
 def written(kind: str, original: str, new: str) -> str:
-    """The surrogate in the format of the text: blanks, hyphens, brackets and capitals stay."""
+    """The surrogate in the format of the text: blanks, hyphens, brackets and capitals stay, a surname alone is one."""
+    if kind == "name" and " " not in original:
+        new = new.split()[-1]
     if kind in ("email", "ip", "name"):
         return new.upper() if kind != "ip" and original.isupper() else new
     digits = iter(new)

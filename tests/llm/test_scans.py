@@ -51,6 +51,23 @@ def test_types_formats_and_coreference(spark):
     assert given[0] in surrogates.GIVEN["f", "cyrillic"] and surrogates.script_of(given[1]) == "cyrillic"
 
 
+def test_what_stands_after_a_name(spark):
+    texts = [
+        "Mr Smith john@acme.com", "Contact Anna anna.smith@x.com now", "Watson was there. Dr Watson came, Watson left.",
+        "Mr. Peter Miller and Mrs Clara Jones; Miller's book, JONES. Millers", "Mr von Anna Berg", "Mr john@acme.com",
+    ]
+    got = replaced(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    assert "john" not in got[0].text and "acme" not in got[0].text and "Smith" not in got[0].text
+    assert "anna" not in got[1].text and "smith" not in got[1].text and got[1].text.endswith(" now")
+    names = re.fullmatch(r"(\w+) was there. Dr (\w+) came, (\w+) left.", got[2].text).groups()
+    assert len(set(names)) == 1 and names[0] != "Watson" and got[2].n_replaced == 3
+    first, second, third, fourth = re.fullmatch(
+        r"Mr. \w+ (\w+) and Mrs \w+ (\w+); (\w+)'s book, (\w+). Millers", got[3].text
+    ).groups()
+    assert first == third != "Miller" and second.upper() == fourth != "JONES"
+    assert "Berg" not in got[4].text and got[5].text.endswith(".example")
+
+
 def test_keyed_and_repeatable(spark):
     rows = [(i, t, "s") for i, t in TEXTS.items()]
     one, again, other = replaced(spark, rows), replaced(spark, rows[::-1]), replaced(spark, rows, "another")
