@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 from hashlib import sha256
@@ -29,7 +30,33 @@ TITLES = {
     "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Señora": "f", "Sra": "f", "г-жа": "f",
     "Dr": "n", "Prof": "n",
 }
-_GENDER_OF = {name: key[0] for key, names in GIVEN.items() for name in names}
+#: More given names by which names are told (fixed values); names that are common words are left out.
+KNOWN = {
+    "f": """Abigail Adriana Agnes Alexandra Alexis Alicia Alina Alison Allison Amanda Amber Amelia Amy Ana Andrea Angela Anita Anne Annette
+        Antonia Aisha Ashley Barbara Beatrice Beatriz Bella Bernadette Betty Beth Birgit Brenda Bridget Brigitte Camila Camille Carla Carmen Carol
+        Carolina Caroline Catherine Cecilia Charlotte Chloe Christina Christine Claudia Colette Cristina Cynthia Daniela Deborah Debra Denise Diana
+        Diane Dolores Donna Dorothy Edith Eleanor Elisabeth Elizabeth Ella Ellen Emily Erika Esther Eva Evelyn Fatima Fiona Florence Frances
+        Francesca Franziska Gabriela Gabriele Geraldine Giulia Gloria Greta Hanna Hannah Heather Heidi Helen Helena Helga Ingrid Irene Isabel Isabella
+        Isabelle Jacqueline Jane Janet Janice Jean Jennifer Jessica Joan Joanna Johanna Josephine Joyce Juana Judith Judy Juliette Karen Karin Katharina
+        Katherine Kathleen Katja Kelly Kimberly Kristin Larissa Lauren Leah Leila Linda Lisa Louise Luisa Lydia Madison Manon Margaret Margarita
+        Marie Marion Marlene Martha Martina Mary Megan Melanie Melissa Mia Michelle Mila Mildred Miriam Monica Monika Nadia Nancy Natalia Natalie Nicole
+        Nina Olga Olivia Pamela Patricia Paula Petra Pilar Priya Rachel Raquel Rebecca Renate Rita Roberta Rosa Ruth Sabine Samantha Sandra Shirley Silvia
+        Simone Sonia Sophia Sophie Stefanie Stephanie Susan Susanne Sylvia Tamara Tatiana Teresa Theresa Ursula Valentina Valeria Vanessa Vera Veronica
+        Victoria Virginia Vivian Wendy Yasmin Yolanda Yvonne Zoe Александра Алина Анастасия Валентина Галина Екатерина Ксения Людмила Надежда Светлана Татьяна Юлия""",
+    "m": """Aaron Adam Adrian Ahmed Alan Albert Alberto Alejandro Alessandro Alexander Alfred Ali Anders Andre Andreas Andrew Angelo Anthony Antoine
+        Antonio Arthur Barry Benjamin Bernard Bernd Brandon Brian Bruce Bryan Carl Carlos Charles Christian Christoph Christopher Claude Craig Dennis Diego
+        Dieter Dominik Donald Douglas Dylan Edgar Eduardo Edward Edwin Enrique Eric Erik Ernst Ethan Eugene Fabian Federico Fernando Florian Francesco
+        Francis Francisco Franz Frederick Fritz Gabriel Gary Georg George Gerald Gerard Gerhard Giovanni Giuseppe Gregory Guillaume Gustav Hans Harold Harry
+        Heinrich Helmut Henri Henry Herbert Hermann Howard Ian Ibrahim Ignacio Ivan Jack Jacob Jacques Jakob James Jan Jason Javier Jeffrey Jeremy Jerry Jesse
+        Joachim Joe Joel Jonas Jonathan Jorge Jose Josef Joseph Joshua Juan Juergen Julian Julien Justin Keith Kenneth Kevin Klaus Konrad Kurt Kyle Larry
+        Lars Laurent Lawrence Louis Luca Luigi Luis Lukas Manuel Marc Marcel Marcus Mario Markus Matteo Matthew Matthias Max Maximilian Michael Michel Miguel
+        Mohammed Muhammad Nathan Nicholas Nicolas Niklas Noah Olaf Oliver Olivier Otto Pablo Pascal Patrick Pedro Philip Philipp Philippe Pierre Rafael Ralph
+        Raymond Ricardo Richard Robert Roberto Rodrigo Roger Roland Ronald Rudolf Russell Ryan Salvatore Samuel Scott Sean Sebastian Sergio Stefan Stephen
+        Steven Sven Theodor Thierry Tim Timothy Tobias Tom Tyler Uwe Victor Vincent Vincenzo Walter Wayne Werner William Wolfgang Xavier Yannick Zachary
+        Александр Алексей Анатолий Василий Виктор Владимир Дмитрий Евгений Михаил Роман Юрий""",
+}
+_GENDER_OF = {name: gender for gender, names in KNOWN.items() for name in names.split()}
+_GENDER_OF |= {name: key[0] for key, names in GIVEN.items() for name in names}
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 #: The next word of a name: none that begins an address.
@@ -38,16 +65,22 @@ _NEXT = rf"[ ]+(?![\w.%+'’-]*@){_NAME}"
 PATTERNS = {
     "email": r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.]*\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "ip6": r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{2,38}[0-9A-Fa-f](?!\w)",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])|(?<![\w.-])(?<!\d )\d{3} \d{2} \d{4}(?![\w-]| \d)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+    r"|(?<![\w.+/-])(?<!\d )(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![ .-]?\d|\w)"
+    r"|(?<![\w.+/-])(?<!\d )0\d{1,4}[ /-]\d{5,8}(?![ .-]?\d|\w)"
+    r"|(?<![\w.+/-])(?<!\d )(?=0(?:[ ./-]?\d){8,11}(?!\d))0\d{1,4}(?:[ ./-]\d{2,4}){2,4}(?![ .-]?\d|\w)",
     "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])",
-    "name": rf"(?<!\w)(?=[^\W\d_])(?:(?:{'|'.join(TITLES)})\.?{_NEXT}(?:{_NEXT})?|(?:{'|'.join(_GENDER_OF)}){_NEXT})",
+    "name": rf"(?<!\w)(?=[A-ZА-Яг])(?:(?:{'|'.join(TITLES)})\.?{_NEXT}(?:{_NEXT})?|(?:{'|'.join(_GENDER_OF)}){_NEXT})",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 #: What any match holds; the engine's regex picks the documents to be looked at by it.
-HINT = r"@|\d(?:[.\-)]\d|\d{6}|[ -]\d[ -]?\d)|\+\d|\)[ .-]?\d|(?=[A-ZА-Яг])(?<!\w)(?:" + "|".join(
-    [*TITLES, *_GENDER_OF]
-) + ")"
+HINT = (
+    r"@|\d(?:[.\-)]\d|\d{6}|[ -]\d[ -]?\d|/\d{2})|\+\d|\)[ .-]?\d|:[0-9A-Fa-f]{0,4}:|[A-Z]{2}\d{2} ?[A-Z0-9]{4}"
+    r"|(?=[A-ZА-Яг])(?<!\w)(?:" + "|".join([*TITLES, *_GENDER_OF]) + ")"
+)
 
 
 def script_of(text: str) -> str:
@@ -92,7 +125,19 @@ def _direct(text: str) -> Iterator[tuple[int, int, str, str, str]]:
         after = end
         if kind == "ip" and any(int(part) > 255 for part in found.group().split(".")):
             continue
-        if kind == "name":
+        if kind == "ip6":
+            try:
+                yield start, end, kind, "", str(ipaddress.IPv6Address(found.group()))
+            except ValueError:
+                after = start + 1  # a time of day or the like
+        elif kind == "iban":
+            whole = found.group()
+            ends = [n for n in range(len(whole), 14, -1) if n == len(whole) or not whole[n].isalnum()]
+            good = next((n for n in ends if whole[n - 1].isalnum() and _iban_rest(whole[:n]) == 1), None)
+            after = start + (good or 2)
+            if good:
+                yield start, after, kind, "", re.sub(r"[ ]", "", whole[:good])
+        elif kind == "name":
             first, _, rest = found.group().partition(" ")
             title = first.rstrip(".")
             if title in TITLES:
@@ -136,6 +181,12 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _iban_rest(text: str) -> int:
+    """The number of an IBAN modulo 97; 1 if its check digits are right."""
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
 _SYLLABLES = {
     "latin": "ba be da do fa ga ka la le lo ma mi na no pa ra ri ro sa ta to va vi za".split(),
     "cyrillic": "ба бе да до га ка ла ле ло ма ми на но па ра ри ро са та то ва ви за".split(),
@@ -154,6 +205,11 @@ def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str
         return f"{word('latin', 3 + attempt)}.{draw.below(10**6)}@{word('latin', 3)}.example"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if kind == "ip6":  # of the range for examples
+        return str(ipaddress.IPv6Address((0x20010DB8 << 96) + sum(draw.below(1 << 16) << 16 * n for n in range(6))))
+    if kind == "iban":
+        body = "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in value[4:])
+        return f"{value[:2]}{98 - _iban_rest(value[:2] + '00' + body):02d}{body}"
     if kind == "name":
         gender, script, parts = form.split("/")
         if gender == "n":
@@ -173,8 +229,11 @@ def written(kind: str, original: str, new: str) -> str:
     """The surrogate in the format of the text: blanks, hyphens, brackets and capitals stay, a surname alone is one."""
     if kind == "name" and " " not in original:
         new = new.split()[-1]
-    if kind in ("email", "ip", "name"):
-        return new.upper() if kind != "ip" and original.isupper() else new
+    if kind in ("email", "ip", "ip6", "name"):
+        return new.upper() if not kind.startswith("ip") and original.isupper() else new
+    if kind == "iban":
+        signs = iter(new)
+        return re.sub(r"[A-Z0-9]", lambda _: next(signs), original)
     digits = iter(new)
     return re.sub(r"\d", lambda _: next(digits), original)
 

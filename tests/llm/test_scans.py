@@ -68,6 +68,24 @@ def test_what_stands_after_a_name(spark):
     assert "Berg" not in got[4].text and got[5].text.endswith(".example")
 
 
+def test_national_forms(spark):
+    values = [
+        "555-123-4567", "555.123.4567", "030 1234567", "030/1234567", "020 7946 0958", "01 23 45 67 89", "1-800-555-0199",
+        "123 45 6789", "2001:db8:0:1::17", "fe80::1", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "Michael Brown",
+    ]
+    kept = ["at 12:30:45 sharp", "on 01.02.2024 or 01-02-2024", "std::vector", "AB12 CDEF GHIJ KLMN", "1, 2 and 345"]
+    rows = [(i, f"it is {v} AND so", "s") for i, v in enumerate(values)] + [(100 + i, t, "s") for i, t in enumerate(kept)]
+    got = replaced(spark, rows)
+    for i, v in enumerate(values):
+        new = re.fullmatch("it is (.*) AND so", got[i].text).group(1)
+        assert got[i].n_replaced == 1 and new != v and v not in new
+        if i < 8:
+            assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", v)
+        if v[:2] in ("GB", "DE"):
+            assert surrogates._iban_rest(new) == 1 and len(new) == len(v)
+    assert [got[100 + i].text for i in range(len(kept))] == kept
+
+
 def test_keyed_and_repeatable(spark):
     rows = [(i, t, "s") for i, t in TEXTS.items()]
     one, again, other = replaced(spark, rows), replaced(spark, rows[::-1]), replaced(spark, rows, "another")
