@@ -15,7 +15,10 @@ from rillflow.llm import (
     hashtree,
     jaccard,
     language,
+    lexical,
+    merkle,
     packing,
+    risk,
     secrets,
     surrogates,
 )
@@ -97,6 +100,28 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.drop_boilerplate(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.documents_manifest(documents(spark, sf_dir))
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    leaf = F.when(tampered & F.col("changed").isNotNull(), F.col("changed")).otherwise(F.col("leaf"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        merkle.folded(leaf, F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_cross_parsing,
         op9_extendible_hash,
         op10_site_lines,
+        op11_merkle,
+        op12_lexical,
+        op13_quality_rules,
     )
 }
 
@@ -167,4 +195,103 @@ ORACLES: dict[str, str] = {
                coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped
         from documents left join joined using (doc_id)
     """,
+    "op11_merkle": """
+        with recursive coded as (
+            select doc_id, lang, n_chars,
+                   coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+                   coalesce(strlen(text) || ':' || text, '-') as tail
+            from documents
+        ), crc_table as (
+            select list_transform(range(256), lambda i: list_reduce(
+                       list_prepend(i, range(8)),
+                       lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+        ), leaves as (
+            select doc_id, lang,
+                   sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
+                   sha256(head || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || tail) as changed,
+                   xor(list_reduce(
+                       list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)),
+                       lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1])), 4294967295) % 7 = 0 as tampered,
+                   row_number() over (partition by lang order by doc_id) - 1 as pos,
+                   count(*) over (partition by lang) as n
+            from coded, crc_table
+        ), langs as (
+            select lang, row_number() over (order by lang nulls first) - 1 as tree, count(*) over () as trees
+            from (select distinct lang from documents)
+        ), nodes as (
+            select tree, 0 as level, pos, leaf as h, n
+            from leaves join langs on leaves.lang is not distinct from langs.lang
+            union all
+            select tree, level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), any_value((n + 1) // 2)
+            from nodes where n > 1 group by tree, level, pos // 2
+        ), tops as (
+            select 0 as level, tree as pos, h, trees as n from nodes join langs using (tree) where n = 1
+            union all
+            select level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), any_value((n + 1) // 2)
+            from tops where n > 1 group by level, pos // 2
+        ), path as (
+            select leaves.doc_id, s.level, s.pos < (leaves.pos >> s.level) as before, other.h
+            from leaves join langs on leaves.lang is not distinct from langs.lang
+            join nodes s on s.tree = langs.tree and s.n > 1 and s.pos = leaves.pos >> s.level
+            left join nodes other on other.tree = s.tree and other.level = s.level and other.pos = xor(s.pos, 1::bigint)
+            union all
+            select leaves.doc_id, 1000 + s.level, null, other.h
+            from leaves join langs on leaves.lang is not distinct from langs.lang
+            join tops s on s.n > 1 and s.pos = langs.tree >> s.level
+            left join tops other on other.level = s.level and other.pos = xor(s.pos, 1::bigint)
+        ), proofs as (
+            select doc_id, list(coalesce(h, '') order by level) as hs, count(*) filter (where level < 1000) as below
+            from path group by doc_id
+        ), folds as (
+            select leaves.doc_id, 1 as step, case when tampered then changed else leaf end as node, hs, below, pos, tree
+            from leaves join langs on leaves.lang is not distinct from langs.lang left join proofs using (doc_id)
+            union all
+            select doc_id, step + 1,
+                   case when (case when step <= below then pos >> (step - 1) else tree >> (step - 1 - below) end) & 1 = 1
+                        then sha256(hs[step] || node) else sha256(node || hs[step]) end,
+                   hs, below, pos, tree
+            from folds where step <= len(hs)
+        )
+        select leaves.doc_id, leaf, sub.h as subroot, top.h as root,
+               sha256(coalesce(array_to_string(proofs.hs, ''), '')) as proof_sha256,
+               node as folded_root, node = top.h as verified
+        from leaves join langs on leaves.lang is not distinct from langs.lang
+        left join proofs using (doc_id)
+        join folds on folds.doc_id = leaves.doc_id and folds.step = coalesce(len(proofs.hs), 0) + 1
+        join nodes sub on sub.tree = langs.tree and sub.n = 1
+        join tops top on top.n = 1
+    """,
+    "op12_lexical": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ), asked as (
+            select item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ), counts as (
+            select doc_id, term, count(*) as tf from words group by doc_id, term
+        ), lengths as (
+            select doc_id, cast(sum(tf) as bigint) as n from counts group by doc_id
+        ), total as (
+            select count(*) as docs, cast(sum(n) as bigint) as words from lengths
+        ), weights as (
+            select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1))) as bigint) as w
+            from counts, total group by term, docs
+        ), norms as (
+            select doc_id, 25 + (75 * n * docs) // words as m from lengths, total
+        ), scores as (
+            select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+            from asked join weights using (term) join counts using (term) join norms using (doc_id)
+            group by item_id, doc_id
+        ), ranked as (
+            select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+            from scores where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 10
+    """,
 }
