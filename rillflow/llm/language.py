@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.running import fraction
 from rillflow.llm.text import in_chunks
+from rillflow.session import materialize
 
 #: Texts are parsed in blocks of so many bytes, side by side.
 BLOCK = 1024
@@ -148,32 +149,45 @@ class CrossParser:
         return [self.languages[b] for b in best], share[best, rows], np.array([len(t) for t in texts]) / count[best, rows]
 
 
-def sample_texts(labelled: DataFrame, rows: int = 24, chars: int = 24_576) -> dict[str, list[bytes]]:
+def sample_texts(
+    labelled: DataFrame, rows: int = 24, chars: int = 24_576, most_chars: int = 2_457_600, most_listed: int = 1_000_000
+) -> dict[str, list[bytes]]:
     """For each language, pieces of about ``rows`` different texts by their hash, ``chars`` bytes in all.
 
     ``labelled`` has lang and text; copies of a text count once. Every text brings
     a piece of ``chars / rows`` bytes from a place that its hash decides, or all of
     it if it is shorter: then more texts follow until the bytes are there. Where a
-    language has too few texts for that, they bring more pieces. A bound on the hash
-    leaves about four times the texts needed, so that no task holds those of a
-    whole language (about 12 MB for each language as a table).
+    language has too few texts for that, they bring more pieces. All languages
+    together get ``most_chars`` bytes, so that of more than 100 each gets less.
+
+    Texts are chosen by their hashes: a bound on the hash leaves about four times
+    those needed, and their list (counted; beyond ``most_listed`` it is not
+    broadcast) picks the pieces where the texts are read. No text is shuffled.
     """
-    part = chars // rows
     usable = labelled.filter("lang is not null and text is not null and length(text) > 0").select(
         "lang", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_hash")
     )
-    sizes = usable.select("lang", "_hash", F.least(F.octet_length("text"), F.lit(part)).alias("_part")).distinct()
-    held = sizes.groupBy("lang").agg(F.sum("_part").alias("_held")).withColumnRenamed("lang", "_of")
-    near = usable.join(held, F.col("lang") == F.col("_of")).filter(
-        fraction(F.col("_hash")) < F.least(F.lit(1.0), F.lit(4.0 * chars) / F.col("_held"))
+    hashes = usable.select("lang", "_hash", F.octet_length("text").alias("_size")).distinct()
+    hashes = materialize(hashes, "language-hashes")
+    languages = hashes.select("lang").distinct().count()
+    chars = max(rows, min(chars, most_chars // max(languages, 1)))
+    part = chars // rows
+    held = hashes.groupBy("lang").agg(F.sum(F.least("_size", F.lit(part))).alias("_held"))
+    held = held.withColumnRenamed("lang", "_of")
+    chosen = materialize(
+        hashes.join(held, F.col("lang") == F.col("_of"))
+        .filter(fraction(F.col("_hash")) < F.least(F.lit(1.0), F.lit(4.0 * chars) / F.col("_held")))
+        .select("_of", F.col("_hash").alias("_chosen"), (F.col("_held") < chars).alias("_few")),
+        "language-chosen",
     )
-    few = F.col("_held") < chars
-    width = F.when(few, chars).otherwise(part)
+    listed = F.broadcast(chosen) if chosen.count() <= most_listed else chosen
+    near = usable.join(listed, (F.col("lang") == F.col("_of")) & (F.col("_hash") == F.col("_chosen")))
+    width = F.when(F.col("_few"), chars).otherwise(part)
     room = F.greatest(F.length("text") - width + 1, F.lit(1))
     start = F.pmod(F.xxhash64("_hash", F.lit(1)), room).cast("int") + 1
-    chosen = near.select("lang", "_hash", F.substring("text", start, width).alias("text")).distinct()
+    pieces = near.select("lang", "_hash", F.substring("text", start, width).alias("text")).distinct()
     texts: dict[str, list[tuple[int, bytes]]] = {}
-    for row in chosen.collect():
+    for row in pieces.collect():
         texts.setdefault(row.lang, []).append((row._hash % (1 << 64), row.text.encode()))
     return {lang: _pieces(sorted(some), part, chars) for lang, some in texts.items()}
 
