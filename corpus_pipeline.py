@@ -36,23 +36,27 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near duplicates.
+    """One document of each group of near duplicates, that with the smallest doc_id (null last).
 
-    Rows without doc_id stay; of rows that repeat a doc_id one of the least text stays.
+    Rows are told apart by doc_id and text, both of which may repeat or be null:
+    different texts under one doc_id are different documents, and of rows equal in
+    both one stays, the least by all columns.
     """
-    groups = jaccard.near_duplicates(docs)
-    best = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    best = materialize(best.withColumnRenamed("doc_id", "_kept"), "pipeline-kept")
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    joined = rows.join(best, F.col("_id") == F.col("_kept"))
-    single = joined.filter("_rows = 1")
-    result = single.select("_row.*")
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = jaccard.near_duplicates(keyed).groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    ids = docs.select(F.col("doc_id").alias("id"), key.alias("_key")).distinct()
+    first = F.min_by(F.struct("doc_id", "rows"), F.struct(F.col("id").isNull(), "id", "doc_id"))
+    best = found.join(ids, F.col("doc_id") == F.col("_key")).groupBy("component_id").agg(first.alias("first"))
+    best = best.groupBy(F.col("first.doc_id").alias("_kept")).agg(F.sum("first.rows").alias("_rows"))
+    best = materialize(best, "pipeline-kept")
+    joined = docs.select(F.struct("*").alias("_row"), key.alias("_key")).join(best, F.col("_key") == F.col("_kept"))
+    result = joined.filter("_rows = 1").select("_row.*")
     if not best.filter("_rows > 1").isEmpty():
-        several = joined.filter("_rows > 1").groupBy("_kept").agg(F.min("_row").alias("_row"))
+        other = F.xxhash64(F.lit(1), "_row.doc_id", "_row.text")  # texts that differ under one key all stay
+        several = joined.filter("_rows > 1").groupBy("_key", other).agg(F.min("_row").alias("_row"))
         result = result.unionByName(several.select("_row.*"))
-    return result.unionByName(docs.filter("doc_id is null"))
+    return result
 
 
 def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
