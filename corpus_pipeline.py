@@ -9,6 +9,9 @@ from rillflow.llm import boilerplate, curriculum, jaccard, language, packing
 from rillflow.llm.queries import documents, tokenizer_path
 from rillflow.session import materialize
 
+#: Stretches of text whose ids a task of the last stage remembers; its workers have worked for all stages.
+CACHE = 60_000
+
 #: A text this long (bytes) that falls into phrases shorter than this is in no language learned.
 LONG_ENOUGH, SHORTEST_PHRASE = 40, 1.6
 
@@ -66,7 +69,7 @@ def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 2048 ids."""
-    return packing.pack(docs, tokenizer_path()).drop("doc_row")
+    return packing.pack(docs, tokenizer_path(), cache=CACHE).drop("doc_row")
 
 
 STAGES = [
