@@ -58,13 +58,36 @@ def test_line_stage_keeps_a_text_with_many_copies(spark):
     assert all("all rights reserved" not in out[i] for i in range(120))
 
 
+def stay(rows):
+    """Per component of different (doc_id, text), the one with the smallest doc_id; null last."""
+    different = sorted({r[:2] for r in rows}, key=lambda r: (r[0] is None, r[0] or 0, str(r[1])))
+    first = {}
+    for (nr, _, component), (doc_id, text) in zip(sorted(brute([(i, t) for i, (_, t) in enumerate(different)])), different):
+        first.setdefault(component, (doc_id, text))
+    return sorted(first.values(), key=str)
+
+
 def test_near_duplicate_stage(spark):
     rows = corpus()
     out = pipeline.without_near_duplicates(spark, table(spark, rows), "")
-    groups = brute([r[:2] for r in rows])
-    expected = {d for d, _, component in groups if d is not None and d == component}
-    got = sorted((r.doc_id for r in out.collect()), key=lambda d: (d is None, d))
-    assert got == [*sorted(expected), None]
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == stay(rows)
+    expected = {d for d, _, component in brute([r[:2] for r in rows]) if d is not None and d == component}
+    assert {r.doc_id for r in out.collect()} == expected | {None}
+
+
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    one, two = "one two three four five six", "completely other words stand in here for once"
+    rows = [
+        (1, one, "en", "a", 1), (1, two, "en", "a", 1), (None, one, "en", "a", 1), (None, two + " again", "en", "a", 1),
+        (None, two + " again", "en", "b", 1), (None, "a null id alone keeps its own text", "en", "a", 1),
+        (2, one, "en", "a", 1), (2, one, "de", "a", 1), (7, "seven eight nine ten eleven", "en", "a", 1),
+        (7, "seven eight nine ten eleven", "en", "a", 2), (8, None, "en", "a", 1), (None, None, "en", "a", 1),
+    ]
+    out = pipeline.without_near_duplicates(spark, table(spark, rows), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == stay(rows)
+    assert {(1, one), (1, two), (None, "a null id alone keeps its own text"), (8, None)} <= {(r.doc_id, r.text) for r in out}
+    assert [r.n_chars for r in out if r.doc_id == 7] == [1]
 
 
 def test_stages_end_to_end(spark, tmp_path):
