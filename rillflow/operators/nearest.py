@@ -154,6 +154,11 @@ def nearest_many(
         parts = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector")).mapInArrow(run, schema)
     else:
         parts = _by_blocks(known, vectors, key, vector, asking.rows, queries_per_block, vectors_per_block, schema)
+    return _ranked(parts, points, key, key_type)
+
+
+def _ranked(parts: DataFrame, points: DataFrame, key: str, key_type: str) -> DataFrame:
+    """The n nearest per query out of what the blocks found, and a row for each query without a vector."""
     per_query = Window.partitionBy("query", "n")
     found = (
         parts.withColumn("rank", F.row_number().over(per_query.orderBy("distance", "key")))

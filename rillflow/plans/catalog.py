@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.text import contains_digit
-from rillflow.operators import embedding, graph, logs, nearest, relational, similarity, vocabulary
+from rillflow.operators import clustering, embedding, graph, logs, nearest, pivots, propagate, relational, similarity, vocabulary
 from rillflow.operators.components import connected_components
 from rillflow.plans import views
 from rillflow.session import materialize, new_scratch
@@ -190,13 +190,31 @@ def tags_similar_sets(spark: SparkSession, sf: str) -> DataFrame:
     return links.withColumn("score", F.round("score", 9))
 
 
+def tags_set_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Which set each tagged document has; with the links of sets, all links of documents."""
+    _, members = similarity.similar_sets(views.tagged_documents(spark, sf))
+    return members.select("id", "set_id")
+
+
 def graph_pic_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Which documents are clustered; their numbers of clusters are arbitrary."""
+    """Which documents are clustered."""
     return graph_pic(spark, sf).select("id")
 
 
 def graph_pic(spark: SparkSession, sf: str) -> DataFrame:
-    return similarity.cluster(similarity.similarity_graph(views.tagged_documents(spark, sf)), k=4)
+    return clustering.power_clusters(similarity.similarity_graph(views.tagged_documents(spark, sf)), k=4)
+
+
+def graph_hops(spark: SparkSession, sf: str) -> DataFrame:
+    """Hops along the edges from the customer with the lowest number that has an edge out."""
+    g = views.social_graph(spark, sf)
+    return propagate.hops(g, g.edges.agg(F.min("src").alias("id")))
+
+
+def graph_cheapest(spark: SparkSession, sf: str) -> DataFrame:
+    """The least sum of edge attributes on a way from that customer."""
+    g = views.social_graph(spark, sf)
+    return propagate.cheapest(g, g.edges.agg(F.min("src").alias("id")), "attr")
 
 
 # Nearest vectors
@@ -215,6 +233,16 @@ def vec_nearest_batch(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("query", "rank", "word", F.round("distance", 6).alias("distance"), "percent")
 
 
+def vec_nearest_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same requests through an index of pivots."""
+    vectors = views.vectors(spark, sf)
+    path = new_scratch(spark, "pivot-index")
+    pivots.build_index(vectors, path, rows_per_block=64)
+    queries = vectors.filter("word % 50 = 0").select("word", F.lit(5).alias("n"))
+    found, _ = pivots.nearest_indexed(pivots.open_index(spark, path), queries)
+    return found.select("query", "rank", "word", F.round("distance", 6).alias("distance"), "percent")
+
+
 def vec_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Typed requests, one per word of the texts: the valid ones answered, known or not."""
     vocab, _ = views.first_vocabulary(spark, sf, LENGTH)
@@ -288,6 +316,20 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.read_table(spark, path, ["user_id"])
 
 
+def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Events upserted by user to a table in buckets, then the users whose number 50 divides."""
+    path = f"{new_scratch(spark, 'keyed')}/buckets"
+    keyed.create_table(spark, path, "user_id bigint, last_event bigint, value double", buckets=16)
+    events = views.table(spark, sf, "events")
+    newest = F.max_by(F.struct("event_id", "value"), "event_id")
+    for batch, part in enumerate(_slices(events, "event_id", 3)):
+        rows = part.groupBy("user_id").agg(newest.alias("m")).select(
+            "user_id", F.col("m.event_id").alias("last_event"), "m.value"
+        )
+        keyed.upsert(rows, path, ["user_id"], batch, full_every=2)
+    return keyed.lookup(spark, path, ["user_id"], events.select("user_id").filter("user_id % 50 = 0"))
+
+
 #: Where the state trained on a folder of tables lies, by application.
 _TRAINED: dict[tuple[str, str], str] = {}
 
@@ -473,14 +515,19 @@ QUERIES: dict[str, Query] = {
     "tags_similar_pairs": tags_similar_pairs,
     "tags_similar_graph": tags_similar_graph,
     "tags_similar_sets": tags_similar_sets,
+    "tags_set_members": tags_set_members,
+    "graph_hops": graph_hops,
+    "graph_cheapest": graph_cheapest,
     "graph_pic": graph_pic,
     "graph_pic_ids": graph_pic_ids,
     "vec_nearest": vec_nearest,
     "vec_nearest_batch": vec_nearest_batch,
+    "vec_nearest_indexed": vec_nearest_indexed,
     "vec_requests": vec_requests,
     "stream_running_avg": stream_running_avg,
     "stream_running_avg_trace": stream_running_avg_trace,
     "keyed_upsert": keyed_upsert,
+    "keyed_lookup": keyed_lookup,
     "stream_train_metrics": stream_train_metrics,
     "stream_train_vocab": stream_train_vocab,
     "stream_train_weights": stream_train_weights,

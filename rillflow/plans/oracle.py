@@ -106,6 +106,10 @@ pairs AS (
   WHERE (a.title <> b.title OR a.artist <> b.artist)
     AND n::DOUBLE > (len(a.tags) + len(b.tags) - n)::DOUBLE * CAST('0.7' AS DOUBLE))"""
 
+_STRETCHED = (
+    "coalesce((v - min(v) OVER ()) * 1125899906842624 // nullif(max(v) OVER () - min(v) OVER (), 0), 0)"
+)
+
 _ENRICHED = """ids AS (
   SELECT p_partkey AS id, unnest([CAST(regexp_extract(p_brand, '[0-9]+') AS INTEGER), CAST(p_size + 100 AS INTEGER),
     CAST(length(p_type) + 1000 AS INTEGER)]) AS tag_id FROM part WHERE p_type <> 'SMALL'),
@@ -225,6 +229,16 @@ final AS (
 
 _COUNT_ENDPOINTS = "SELECT endpoint, count(*) AS n FROM logs {where} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
 
+_NEAREST_BATCH = _with(
+    _VECTORS,
+    f"distances AS (SELECT q.word AS query, v.word, {_distance('v.vector', 'q.vector')} AS distance"
+    " FROM vectors v, vectors q WHERE q.word % 50 = 0)",
+    "ranked AS (SELECT *, max(distance) OVER (PARTITION BY query) AS farthest,"
+    " row_number() OVER (PARTITION BY query ORDER BY word = query, distance, word) AS rank FROM distances)",
+    select="SELECT query, CAST(rank AS INTEGER) AS rank, word, round(distance, 6) AS distance,"
+    " CAST(floor(100 * (1 - distance / farthest)) AS BIGINT) AS percent FROM ranked WHERE rank <= 5",
+)
+
 ORACLES: dict[str, str] = {
     "log_parse": _log("SELECT * FROM logs"),
     "log_bad_lines": _log("SELECT event_id, line FROM split WHERE NOT ok ORDER BY event_id LIMIT 20"),
@@ -349,6 +363,42 @@ ORACLES: dict[str, str] = {
         select="SELECT a, b, round(n::DOUBLE / (size - n)::DOUBLE, 9) AS score FROM met"
         " WHERE n::DOUBLE > (size - n)::DOUBLE * CAST('0.7' AS DOUBLE)",
     ),
+    "tags_set_members": _with(
+        _TAGS,
+        select="SELECT id, min(id) OVER (PARTITION BY list_sort(tags)) AS set_id FROM tagged WHERE len(tags) > 0",
+    ),
+    "graph_hops": _graph(
+        "SELECT id, min(n) AS hops FROM reach GROUP BY id",
+        "reach(id, n) AS (SELECT min(src), CAST(0 AS BIGINT) FROM edges"
+        " UNION SELECT dst, n + 1 FROM reach JOIN edges ON src = id WHERE n < 40)",
+    ),
+    "graph_cheapest": _graph(
+        "SELECT id, min(n) AS cost FROM reach GROUP BY id",
+        "reach(id, n) AS (SELECT min(src), CAST(0 AS BIGINT) FROM edges"
+        " UNION SELECT dst, n + attr FROM reach JOIN edges ON src = id WHERE n < 60)",
+    ),
+    "graph_pic": _with(
+        _TAGS,
+        "links AS (SELECT src, dst, CAST(round(score * 1000000) AS HUGEINT) AS a FROM pairs)",
+        "degrees AS (SELECT src AS id, sum(a) AS d FROM links GROUP BY 1)",
+        "around AS (SELECT src, dst, a, d FROM links JOIN degrees ON id = dst UNION ALL SELECT id, id, d, d FROM degrees)",
+        "seeds AS (SELECT id, CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 12)) AS HUGEINT) AS v FROM degrees)",
+        f"steps(t, id, v) AS (SELECT 0, id, {_STRETCHED} FROM seeds UNION ALL"
+        f" SELECT t, id, {_STRETCHED} FROM (SELECT t + 1 AS t, dst AS id, CAST(sum(a * v) AS HUGEINT) // (2 * any_value(d)) AS v"
+        " FROM steps JOIN around ON src = id WHERE t < 20 GROUP BY t, dst))",
+        "places AS (SELECT id, v // 1073741824 AS u FROM steps WHERE t = 20)",
+        "points AS (SELECT u, row_number() OVER (ORDER BY u) AS i, CAST(sum(count(*)) OVER (ORDER BY u) AS HUGEINT) AS n,"
+        " CAST(sum(sum(u)) OVER (ORDER BY u) AS HUGEINT) AS s FROM places GROUP BY u)",
+        "best(j, i, total, cut) AS (SELECT 1, i, (s * s) // n, CAST(0 AS BIGINT) FROM points UNION ALL"
+        " SELECT j, i, max(total), CAST(arg_max(cut, (total, -cut)) AS BIGINT) FROM (SELECT best.j + 1 AS j, q.i,"
+        " best.total + ((q.s - p.s) * (q.s - p.s)) // (q.n - p.n) AS total, best.i AS cut"
+        " FROM best JOIN points p ON p.i = best.i JOIN points q ON q.i > best.i WHERE best.j < 4) GROUP BY j, i)",
+        "chain(j, i) AS (SELECT least(4, max(i)), max(i) FROM points UNION ALL"
+        " SELECT chain.j - 1, best.cut FROM chain JOIN best ON best.j = chain.j AND best.i = chain.i WHERE chain.j > 1)",
+        "parts AS (SELECT id, (SELECT min(chain.i) FROM chain WHERE chain.i >= points.i) AS part"
+        " FROM places JOIN points USING (u))",
+        select="SELECT id, min(id) OVER (PARTITION BY part) AS cluster FROM parts",
+    ),
     "graph_pic_ids": _with(_TAGS, select="SELECT DISTINCT src AS id FROM pairs"),
     "tags_similar_graph": _with(
         _TAGS,
@@ -363,15 +413,8 @@ ORACLES: dict[str, str] = {
         " (SELECT max(distance) FROM distances))) AS BIGINT) AS percent"
         " FROM distances WHERE word <> 0 ORDER BY distances.distance, word LIMIT 10",
     ),
-    "vec_nearest_batch": _with(
-        _VECTORS,
-        f"distances AS (SELECT q.word AS query, v.word, {_distance('v.vector', 'q.vector')} AS distance"
-        " FROM vectors v, vectors q WHERE q.word % 50 = 0)",
-        "ranked AS (SELECT *, max(distance) OVER (PARTITION BY query) AS farthest,"
-        " row_number() OVER (PARTITION BY query ORDER BY word = query, distance, word) AS rank FROM distances)",
-        select="SELECT query, CAST(rank AS INTEGER) AS rank, word, round(distance, 6) AS distance,"
-        " CAST(floor(100 * (1 - distance / farthest)) AS BIGINT) AS percent FROM ranked WHERE rank <= 5",
-    ),
+    "vec_nearest_batch": _NEAREST_BATCH,
+    "vec_nearest_indexed": _NEAREST_BATCH,
     "vec_requests": _vocabulary(
         "SELECT word AS query, CAST(least(n, 3) AS INTEGER) AS n, false AS known, CAST(NULL AS INTEGER) AS rank,"
         " CAST(NULL AS VARCHAR) AS word, CAST(NULL AS DOUBLE) AS distance FROM contenders"
@@ -385,6 +428,8 @@ ORACLES: dict[str, str] = {
     " FROM events GROUP BY 1",
     "stream_running_avg_trace": "SELECT event_id, event_type AS word, round(avg(value) OVER (PARTITION BY event_type"
     " ORDER BY event_id ROWS UNBOUNDED PRECEDING) + CAST('1e-9' AS DOUBLE), 6) AS mean FROM events",
+    "keyed_lookup": "SELECT user_id, max(event_id) AS last_event, max_by(value, event_id) AS value"
+    " FROM events WHERE user_id % 50 = 0 GROUP BY user_id",
     "keyed_upsert": "SELECT user_id, max(event_id) AS last_event, max_by(value, event_id) AS value"
     " FROM events GROUP BY user_id",
     "stream_train_metrics": _texts(

@@ -17,7 +17,7 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLES) == {"graph_pic"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
