@@ -10,12 +10,20 @@ from rillflow.llm.queries import documents, tokenizer_path
 from rillflow.session import materialize
 
 #: Stretches of text whose ids a task of the last stage remembers; its workers have worked for all stages.
-CACHE = 60_000
+CACHE = 150_000
+
+#: Rows of a batch that goes to Python. Whole texts, and pairs of sets, make ten times as many a burden
+#: on the executor beside its heap.
+BATCH_ROWS = 1000
 
 #: A text this long (bytes) that falls into phrases shorter than this is in no language learned.
 LONG_ENOUGH, SHORTEST_PHRASE = 40, 1.6
 
 
+def _prepare(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter that the learned languages can spell.
 
@@ -23,6 +31,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     single bytes (another script) go. Rows without doc_id are judged by their text
     as the others are; a null lang is not learned from.
     """
+    _prepare(spark)
     samples = language.sample_texts(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
     judged = language.identify(docs, samples)
     strange = (F.octet_length("row.text") >= LONG_ENOUGH) & (F.col("found.phrase_bytes") < SHORTEST_PHRASE)
@@ -45,6 +54,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     different texts under one doc_id are different documents, and of rows equal in
     both one stays, the least by all columns.
     """
+    _prepare(spark)
     key = F.xxhash64("doc_id", "text")
     keyed = docs.select(key.alias("doc_id"), "text")
     found = jaccard.near_duplicates(keyed).groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -69,6 +79,7 @@ def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 2048 ids."""
+    _prepare(spark)
     return packing.pack(docs, tokenizer_path(), cache=CACHE).drop("doc_row")
 
 
