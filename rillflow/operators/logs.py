@@ -55,6 +55,22 @@ def unique_hosts_approx(logs: DataFrame, error: float = 0.05) -> DataFrame:
     return logs.agg(F.approx_count_distinct("host", error).alias("n_hosts"))
 
 
+def daily_host_sketches(logs: DataFrame, lg_k: int = 12) -> DataFrame:
+    """``day, sketch``: the hosts of each day of the month as a sketch of at most a few kilobytes.
+
+    A table to store: sketches of days add up to those of any range
+    (:func:`hosts_of_sketches`), so no log is read again. With ``lg_k`` 12 the standard
+    error of a count is about 1.6 %, whatever the number of hosts.
+    """
+    return logs.groupBy(F.dayofmonth("date_time").alias("day")).agg(F.hll_sketch_agg("host", lg_k).alias("sketch"))
+
+
+def hosts_of_sketches(sketches: DataFrame, **key: Column) -> DataFrame:
+    """About how many hosts there are per ``key`` (``name=column`` of the day), or in all days without one."""
+    merged = sketches.groupBy(*[c.alias(k) for k, c in key.items()]).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(*key, F.hll_sketch_estimate("sketch").alias("n_hosts"))
+
+
 def daily_hosts(logs: DataFrame) -> DataFrame:
     """Distinct hosts per day of the month. Distinct pairs come first, so no day is one group."""
     return (

@@ -61,6 +61,19 @@ def log_size_stats(spark: SparkSession, sf: str) -> DataFrame:
     return stats.withColumn("avg_size", F.round("avg_size", 6))
 
 
+def log_weekly_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosts per week of the month, and whether the sum of the days' sketches is within 5 % of that."""
+    rows = views.logs(spark, sf)
+    sketches = materialize(logs.daily_host_sketches(rows), "host-sketches")
+    week = F.floor((F.col("day") - 1) / F.lit(7)).cast("int")
+    about = logs.hosts_of_sketches(sketches, week=week).withColumnRenamed("n_hosts", "about")
+    exact = rows.withColumn("day", F.dayofmonth("date_time")).groupBy(week.alias("week")).agg(
+        F.count_distinct("host").alias("n_hosts")
+    )
+    close = F.abs(F.col("about") - F.col("n_hosts")) <= F.col("n_hosts") * 0.05
+    return exact.join(about, "week").select("week", "n_hosts", close.alias("close"))
+
+
 # Relational queries
 
 
@@ -474,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "log_top_failed_endpoints": _on_logs(logs.top_failed_endpoints),
     "log_unique_hosts": _on_logs(logs.unique_hosts),
     "log_daily_hosts": _on_logs(logs.daily_hosts),
+    "log_weekly_sketches": log_weekly_sketches,
     "log_daily_avg_requests": _on_logs(logs.daily_requests_per_host),
     "log_404_count": _on_logs(lambda rows: logs.row_count(logs.not_found(rows))),
     "log_404_endpoints": _on_logs(logs.not_found_endpoints),

@@ -261,6 +261,10 @@ ORACLES: dict[str, str] = {
     "log_daily_hosts": _log(
         "SELECT CAST(day(date_time) AS INTEGER) AS day, count(DISTINCT host) AS n_hosts FROM logs GROUP BY 1 ORDER BY 1"
     ),
+    "log_weekly_sketches": _log(
+        "SELECT CAST((day(date_time) - 1) // 7 AS INTEGER) AS week, count(DISTINCT host) AS n_hosts, true AS close"
+        " FROM logs GROUP BY 1"
+    ),
     "log_daily_avg_requests": _log(
         "SELECT CAST(day(date_time) AS INTEGER) AS day, count(*) // count(DISTINCT host) AS avg_requests"
         " FROM logs GROUP BY 1 ORDER BY 1"

@@ -1,5 +1,7 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from rillflow.operators import logs
 from rillflow.sources.logs import bad_lines, good_lines, parse_lines, parse_report, read_access_log
@@ -92,3 +94,15 @@ def test_pattern_runs_once_and_filter_reads_a_finished_column(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("regexp_replace") == 1
     assert "TakeOrderedAndProject" in text
+
+
+def test_sketches_of_days_add_up(spark):
+    lines = [(f"h{i % 3000}", datetime.datetime(2024, 1, 1 + i % 10)) for i in range(9000)]
+    rows = spark.createDataFrame(lines, "host string, date_time timestamp_ntz")
+    sketches = logs.daily_host_sketches(rows)
+    exact = {d: len({h for h, t in lines if t.day == d}) for d in range(1, 11)}
+    about = {r.day: r.n_hosts for r in logs.hosts_of_sketches(sketches, day=F.col("day")).collect()}
+    assert about.keys() == exact.keys()
+    assert all(abs(about[d] - exact[d]) <= 0.05 * exact[d] for d in exact)
+    assert abs(logs.hosts_of_sketches(sketches).first().n_hosts - 3000) <= 150
+    assert logs.hosts_of_sketches(sketches.filter("day = 99"), day=F.col("day")).collect() == []
