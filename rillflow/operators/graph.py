@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.functions.packed import greatest_key, key_tie, key_value, packable
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -144,7 +146,19 @@ def aggregate_messages(
 
 
 def oldest_follower(g: Graph, name: str = "name", age: str = "age") -> DataFrame:
-    """Per followed vertex the oldest follower; of equally old ones that with the lowest id."""
+    """Per followed vertex the oldest follower; of equally old ones that with the lowest id.
+
+    Ages up to int and ids up to bigint are merged as one number, by hashing, and
+    the names are looked up for the winners only; other types are merged as
+    structs, by sorting.
+    """
+    if packable(g.vertices.schema[age].dataType, g.edges.schema["src"].dataType):
+        key = greatest_key(F.col(f"src_attr.{age}"), F.col("src"))
+        merged = aggregate_messages(g, [F.max("msg").alias("m")], to_dst=key, ends=("src",))
+        names = g.vertices.select(F.col("id").alias("_follower"), F.col(name).alias("follower_name"))
+        told = merged.select("id", key_tie(F.col("m")).alias("_follower"), key_value(F.col("m")).alias("follower_age"))
+        kind = g.vertices.schema[age].dataType
+        return told.join(names, "_follower").select("id", "follower_name", F.col("follower_age").cast(kind))
     message = F.struct(
         F.col(f"src_attr.{age}").alias("age"),
         (-F.col("src")).alias("rank"),
