@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from rillflow.functions.text import tokens
 from rillflow.functions.vectors import add_scaled, column_sums, from_columns
 from rillflow.operators.joins import fits, pair_blocks
+from rillflow.operators.membership import without_strangers
 from rillflow.operators.vocabulary import BROADCAST_BYTES, text_tokens, word_bytes
 from rillflow.session import materialize
 
@@ -31,12 +32,17 @@ SLICE_ROWS = 1_024
 SLICE_WORDS = 1 << 19
 
 
-def occurrences(texts: DataFrame, vocab: DataFrame) -> DataFrame:
+def occurrences(texts: DataFrame, vocab: DataFrame, sift: bool = False) -> DataFrame:
     """The known words of each text in order: ``doc_id``, ``pos``, ``id``.
 
-    A plain join by word; Spark splits the partitions of very common words.
+    A plain join by word; Spark splits the partitions of very common words. With
+    ``sift`` a filter of the vocabulary, of bounded size, goes to the texts first,
+    so hardly any unknown word is shuffled.
     """
-    joined = text_tokens(texts).join(vocab.select("word", "id"), "word")
+    found = text_tokens(texts)
+    if sift:
+        found = without_strangers(found, "word", vocab)
+    joined = found.join(vocab.select("word", "id"), "word")
     return joined.select("doc_id", "pos", "id")
 
 
@@ -106,11 +112,12 @@ def text_totals(texts: DataFrame, vocab: DataFrame, size: int,
 
     A vocabulary of a checked size goes to the tasks, which number the words of a
     batch of texts and sum its targets: only partial sums are shuffled, neither
-    texts nor words. A larger one is joined by word.
+    texts nor words. A larger one is joined by word, after a filter of it has taken out
+    what it surely lacks.
     """
     known = vocab.select("word", F.col("id").cast("int").alias("id"))
     if not fits(known, broadcast_bytes, word_bytes()):
-        return context_totals(contexts(occurrences(texts, vocab), size))
+        return context_totals(contexts(occurrences(texts, vocab, sift=True), size))
     table = known.toArrow()
     words, numbers = table["word"].combine_chunks(), table["id"].to_numpy().astype("int64")
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from rillflow.functions.text import chosen_text, may_become_word, tokens
 from rillflow.functions.vectors import seeded_vector
 from rillflow.operators.joins import fits
+from rillflow.operators.membership import MAX_SLOTS, flagged, member_filter, slots_for
 from rillflow.operators.numbering import dense_ids
+from rillflow.session import materialize
 
 ADMIT_ABOVE = 10
 BROADCAST_BYTES = 32 << 20  # of words and ids, as the checked sum of their lengths
@@ -37,17 +39,27 @@ def text_tokens(texts: DataFrame) -> DataFrame:
 
 
 def new_words_by_text(texts: DataFrame, vocab: DataFrame,
-                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                      broadcast_bytes: int = BROADCAST_BYTES, max_slots: int = MAX_SLOTS) -> DataFrame:
     """The distinct words of each text that may enter the vocabulary: ``doc_id``, ``word``.
 
-    Known words go before the shuffle if the vocabulary, its size checked, can be broadcast.
+    Known words go before the shuffle if the vocabulary, its size checked, can be
+    broadcast. Of a larger one a filter goes to the texts: what it rejects is
+    surely new, and of the rest only the distinct words are joined to the
+    vocabulary. The few it lets through though they are new are then picked from
+    the texts, which are read a second time for that.
     """
-    found = text_tokens(texts).filter(may_become_word(F.col("word"))).select("doc_id", "word")
+    once = F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
+    found = texts.select("doc_id", once).filter(may_become_word(F.col("word")))
     known = vocab.select("word")
     if fits(known, broadcast_bytes, word_bytes()):
         return found.join(F.broadcast(known), "word", "left_anti").select("doc_id", "word").distinct()
-    unknown = found.distinct().join(known, "word", "left_anti")
-    return unknown.select("doc_id", "word")
+    slots = slots_for(known.count(), max_slots)
+    bits = materialize(member_filter(known, "word", slots), "vocabulary-filter")
+    told = flagged(found, "word", bits, slots)
+    doubtful = told.filter("_maybe").select("doc_id", "word")
+    strangers = materialize(doubtful.select("word").distinct().join(known, "word", "left_anti"), "let-through")
+    new = told.filter("not _maybe").select("doc_id", "word")
+    return new.unionByName(doubtful.join(strangers, "word", "left_semi")).distinct()
 
 
 def new_words(texts: DataFrame, vocab: DataFrame, *keys: str) -> DataFrame:
