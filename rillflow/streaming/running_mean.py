@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rillflow.session import materialize, scratch_scope
 from rillflow.sources.keyed import create_table, read_table, upsert, version_for
 from rillflow.sources.paths import read_text
 
@@ -61,10 +62,17 @@ def mean_trace(rows: DataFrame, state: DataFrame, order: str, width: int = 100_0
     """Each row with the mean of its word up to and including it.
 
     ``state(word, total, n)`` holds what came before. Rows are cut into stretches
-    of ``width`` order numbers; a stretch starts from the totals of those before
-    it, so even a word with most of the rows is spread over many tasks.
+    of about ``width`` rows each, by a range sort of the order column, whatever its
+    values; a stretch starts from the totals of those before it, so even a word
+    with most of the rows is spread over many tasks, and a word has a row per
+    stretch at most where those are added up. The cut rows are written once, so
+    that both passes see the same stretches. Rows equal in the order column are
+    taken in any order among themselves.
     """
-    cut = rows.withColumn("_stretch", F.floor(F.col(order) / width))
+    stretches = max(1, -(-rows.count() // width))
+    cut = materialize(
+        rows.repartitionByRange(stretches, order).withColumn("_stretch", F.spark_partition_id()), "stretches"
+    )
     sums = cut.groupBy("word", "_stretch").agg(F.sum("value").alias("s"), F.count("value").alias("c"))
     before = Window.partitionBy("word").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     start = sums.join(state, "word", "left").select(
@@ -95,8 +103,9 @@ def write_mean_trace(pairs: DataFrame, order: str, out: str, checkpoint: str,
         state = read_table(session, f"{out}/state", ["word"], before=version)
         kept = batch_rows.persist()
         try:
-            trace = mean_trace(kept, state, order, width)
-            trace.write.mode("overwrite").parquet(f"{out}/trace/batch={version}")
+            with scratch_scope(session):
+                trace = mean_trace(kept, state, order, width)
+                trace.write.mode("overwrite").parquet(f"{out}/trace/batch={version}")
             added = kept.groupBy("word").agg(F.sum("value").alias("total"), F.count("value").alias("n"))
             touched = state.join(added.select("word"), "word", "left_semi")
             total = touched.unionByName(added).groupBy("word").agg(

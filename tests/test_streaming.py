@@ -223,3 +223,19 @@ def test_training_stream(spark, tmp_path):
 def test_empty_snapshot_folder(spark, tmp_path):
     tables = training.load_snapshot(spark, str(tmp_path / "none"))
     assert tables["vocab"].count() == tables["weights"].count() == 0
+
+
+def test_trace_of_a_sparse_order_and_a_hot_word(spark):
+    """Order numbers as far apart as microseconds; two thirds of the rows have one word."""
+    data = [(i * 1_000_003, "hot" if i % 3 else f"w{i % 5}", float(i % 17)) for i in range(3000)]
+    expected, totals = [], {"hot": (100.0, 10)}
+    for i, word, value in data:
+        total, n = totals.get(word, (0.0, 0))
+        totals[word] = (total + value, n + 1)
+        expected.append((i, word, value, pytest.approx((total + value) / (n + 1))))
+    given = spark.createDataFrame(data, "t bigint, word string, value double").repartition(7)
+    state = spark.createDataFrame([("hot", 100.0, 10)], running_mean.STATE_SCHEMA)
+    for width in (100, 10_000):
+        got = running_mean.mean_trace(given, state, "t", width)
+        assert rows(got) == expected
+    assert rows(running_mean.mean_trace(given.limit(0), state, "t")) == []
