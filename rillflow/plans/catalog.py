@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.text import contains_digit
-from rillflow.operators import clustering, embedding, graph, logs, nearest, pivots, propagate, relational, similarity, vocabulary
+from rillflow.operators import clustering, embedding, graph, layout, logs, nearest, pivots, propagate, relational, similarity, vocabulary
 from rillflow.operators.components import connected_components
 from rillflow.plans import views
 from rillflow.session import materialize, new_scratch
@@ -120,6 +120,24 @@ def rel_json_scan(spark: SparkSession, sf: str) -> DataFrame:
     return relational.top_valid_group(read, "precinct_code", "precinct_name", "total_votes")
 
 
+def rel_json_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes per candidate from JSON lines of which some are cut off and some have votes as numbers.
+
+    The row without a candidate counts the broken lines.
+    """
+    path = new_scratch(spark, "ballots")
+    ballots, number = views.ballots(spark, sf), F.col("ballot_id").cast("bigint")
+    names = [c for c in ballots.columns if c != "total_votes"]
+    drifting = F.to_json(F.struct(*names, F.col("total_votes").cast("bigint").alias("total_votes")))
+    line = F.when(number % 7 == 1, drifting).otherwise(F.to_json(F.struct(*names, "total_votes")))
+    ballots.select(F.when(number % 50 == 3, F.substring(line, 1, 30)).otherwise(line).alias("value")).write.text(path)
+    read, broken, _ = tables.read_variant_json(spark, path)
+    texts = read.select("candidate_name", F.col("total_votes").cast("string").alias("total_votes"))
+    sums = relational.total_by(texts, "candidate_name", "total_votes")
+    lost = broken.agg(F.lit(None).cast("string").alias("candidate_name"), F.count(F.lit(1)).alias("sum_column"))
+    return sums.unionByName(lost)
+
+
 # Graphs
 
 
@@ -159,6 +177,17 @@ def _both_ways(g: graph.Graph) -> DataFrame:
     )
 
 
+def graph_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The ages of followers summed, then those sums passed on to both sides, on a stored layout."""
+    stored = layout.store(views.social_graph(spark, sf))
+    ages = layout.aggregate_messages(stored, [F.sum("msg").alias("s")], to_dst=F.col("src_attr.age"))
+    sums = stored.vertices.join(ages, "id", "left").select("id", F.coalesce("s", F.lit(0)).alias("s"))
+    stored = layout.with_vertices(stored, sums)
+    return layout.aggregate_messages(
+        stored, [F.sum("msg").alias("total")], to_dst=F.col("src_attr.s"), to_src=F.col("dst_attr.s")
+    )
+
+
 def graph_avg_follower_age(spark: SparkSession, sf: str) -> DataFrame:
     g = views.social_graph(spark, sf)
     mean = graph.average_follower_age(g)
@@ -409,6 +438,12 @@ def text_new_words(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.new_words_by_text(views.english_texts(spark, sf), vocab)
 
 
+def text_new_words_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same when the vocabulary is too large to be broadcast: by a filter of bounded size."""
+    vocab, _ = _written_vocabulary(spark, sf)
+    return vocabulary.new_words_by_text(views.english_texts(spark, sf), vocab, broadcast_bytes=0)
+
+
 def contender_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Batch after batch added to the counts of those before."""
     seen = materialize(
@@ -510,6 +545,7 @@ QUERIES: dict[str, Query] = {
     ),
     "rel_json_roundtrip": rel_json_roundtrip,
     "rel_json_scan": rel_json_scan,
+    "rel_json_variant": rel_json_variant,
     "graph_default_vertices": lambda spark, sf: views.partly_known_graph(spark, sf).vertices,
     "graph_vertex_filter": _on_graph(lambda g: g.vertices.filter("age >= 30").select("name", "age")),
     "graph_triplets": _on_graph(_flat_triplets),
@@ -519,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "graph_degrees": _on_graph(lambda g: graph.with_degrees(g).vertices),
     "graph_equal_degree": _on_graph(lambda g: graph.equal_degrees(g).select("id", "name")),
     "graph_oldest_follower": _on_graph(graph.oldest_follower_sentences),
+    "graph_two_rounds": graph_two_rounds,
     "graph_avg_follower_age": graph_avg_follower_age,
     "graph_messages_both_ways": _on_graph(_both_ways),
     "graph_map_and_join": _on_graph(_renamed),
@@ -549,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "text_tokens": text_tokens,
     "text_digits": text_digits,
     "text_new_words": text_new_words,
+    "text_new_words_filtered": text_new_words_filtered,
     "contender_counts": contender_counts,
     "contender_decay": contender_decay,
     "vocab_admission": vocab_admission,

@@ -306,6 +306,11 @@ ORACLES: dict[str, str] = {
         " FROM ballots GROUP BY 1), range(2)"
     ),
     "rel_json_scan": _ballots(_TOP_PRECINCT),
+    "rel_json_variant": _ballots(
+        f"SELECT candidate_name, {_SUM_VOTES} AS sum_column FROM ballots"
+        " WHERE CAST(ballot_id AS BIGINT) % 50 <> 3 GROUP BY 1"
+        " UNION ALL SELECT NULL, count(*) FROM ballots WHERE CAST(ballot_id AS BIGINT) % 50 = 3"
+    ),
     "graph_default_vertices": _graph("SELECT id, name, age FROM vertices").replace(
         "FROM customer)", "FROM customer WHERE c_acctbal >= 0)"
     ),
@@ -328,6 +333,13 @@ ORACLES: dict[str, str] = {
         " FROM vertices LEFT JOIN oldest USING (id)",
         _OLDEST,
     ),
+    "graph_two_rounds": _graph(
+        "SELECT id, CAST(sum(s) AS BIGINT) AS total FROM"
+        " (SELECT dst AS id, s FROM edges JOIN sums ON sums.id = src"
+        " UNION ALL SELECT src, s FROM edges JOIN sums ON sums.id = dst) GROUP BY id",
+        "sums AS (SELECT v.id, coalesce(sum(t.src_age), 0) AS s"
+        " FROM vertices v LEFT JOIN triplets t ON t.dst = v.id GROUP BY v.id)",
+    ),
     "graph_avg_follower_age": _graph(
         "SELECT id, name, round(avg(src_age), 6) AS avg_age FROM vertices LEFT JOIN triplets ON dst = id GROUP BY 1, 2"
     ),
@@ -470,6 +482,9 @@ ORACLES: dict[str, str] = {
     "text_new_words": _vocabulary(
         f"SELECT DISTINCT doc_id, word FROM tokens WHERE {_MAY} AND word NOT IN (SELECT word FROM vocab)"
     ),
+    "text_new_words_filtered": _vocabulary(
+        f"SELECT DISTINCT doc_id, word FROM tokens WHERE {_MAY} AND word NOT IN (SELECT word FROM vocab)"
+    ),
     "contender_counts": _texts("SELECT word, n FROM contenders", _CONTENDERS),
     "contender_decay": _texts("SELECT word, n - 1 AS n FROM contenders WHERE n > 1", _CONTENDERS),
     "vocab_admission": _vocabulary(
