@@ -58,12 +58,19 @@ KNOWN = {
 _GENDER_OF = {name: gender for gender, names in KNOWN.items() for name in names.split()}
 _GENDER_OF |= {name: key[0] for key, names in GIVEN.items() for name in names}
 
+#: Country calling codes of one and two digits (fixed values); all others have three.
+SHORT_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
+    " 81 82 84 86 90 91 92 93 94 95 98"
+).split()
+
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 #: The next word of a name: none that begins an address.
 _NEXT = rf"[ ]+(?![\w.%+'’-]*@){_NAME}"
+_MAIL = r"[\w.%+-]++@[\w-]+(?:\.[\w-]+)+"
 #: The types in the order in which they claim text; letter case is of no matter but in names.
 PATTERNS = {
-    "email": r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+",
+    "email": rf"(?<![\w.%+-]){_MAIL}",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.]*\d)",
     "ip6": r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{2,38}[0-9A-Fa-f](?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)",
@@ -73,8 +80,11 @@ PATTERNS = {
     r"|(?<![\w.+/-])(?<!\d )0\d{1,4}[ /-]\d{5,8}(?![ .-]?\d|\w)"
     r"|(?<![\w.+/-])(?<!\d )(?=0(?:[ ./-]?\d){8,11}(?!\d))0\d{1,4}(?:[ ./-]\d{2,4}){2,4}(?![ .-]?\d|\w)",
     "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])",
-    "name": rf"(?<!\w)(?=[A-ZА-Яг])(?:(?:{'|'.join(TITLES)})\.?{_NEXT}(?:{_NEXT})?|(?:{'|'.join(_GENDER_OF)}){_NEXT})",
+    "name": rf"(?<!\w)(?=[A-ZА-Яг])(?:(?:{'|'.join(TITLES)})\.?{_NEXT}(?:{_NEXT})?"
+    rf"|(?<!\w[-'’])(?:[^\W\d_]++[-'’])*(?:{'|'.join(_GENDER_OF)})(?:[-'’][^\W\d_]+)*{_NEXT})",
 }
+#: An address that begins where another entity ended.
+_MAIL_HERE = re.compile(_MAIL)
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 #: What any match holds; the engine's regex picks the documents to be looked at by it.
 HINT = (
@@ -92,16 +102,36 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
 
     The value is what identifies the entity: a card without blanks, an address in
     lower case, a name without its title. The form is what a surrogate must match.
-    A surname that stands alone is the person of that name named last before it,
-    or else first after it.
+    A surname after a title or alone is the person of that name, of a gender the
+    title allows, who is named in full last before it, or else first after it. A full name
+    that the text also has in capitals is the same person.
     """
     found = list(_direct(text))
-    people: dict[str, list[tuple[int, str, str]]] = {}
+    told: dict[str, set[str]] = {}
+    for *_, kind, form, value in found:
+        if kind == "name":
+            told.setdefault(value, set()).add(form[0])
+    full: dict[str, list[tuple[int, str, str]]] = {}
     for start, _, kind, form, value in found:
-        if kind == "name" and len(surname := value.split()[-1]) > 1:
-            people.setdefault(surname.upper(), []).append((start, form, value))
+        if kind == "name" and " " in value:
+            known = told[value] - {"n"}
+            form = (known.pop() if len(known) == 1 else "n") + form[1:]
+            full.setdefault(value.split()[-1].upper(), []).append((start, form, value))
+    people: dict[str, list[tuple[int, str, str]]] = {}
+    for n, (start, end, kind, form, value) in enumerate(found):
+        if kind != "name" or len(surname := value.split()[-1]) < 2:
+            continue
+        if " " not in value and (named := full.get(surname.upper())):
+            named = [p for p in named if p[1][0] == form[0] or "n" in (p[1][0], form[0])]
+            if named:
+                form, value = named[max(bisect.bisect(named, (start,)) - 1, 0)][1:]
+                found[n] = (start, end, kind, form, value)
+        people.setdefault(surname.upper(), []).append((start, form, value))
+        if " " in value:
+            people.setdefault(value.upper(), []).append((start, form, value))
     if people:
-        either = "|".join(re.escape(n) for k, named in people.items() for n in {k, named[0][2].split()[-1]})
+        spelled = {n for k, named in people.items() for n in (k, named[0][2].split()[-1])}
+        either = "|".join(re.escape(n) for n in sorted(spelled, key=lambda n: (-len(n), n)))
         at = 0
         for bare in re.finditer(rf"(?<!\w)(?:{either})(?!\w)", text):
             while at < len(found) and found[at][1] <= bare.start():
@@ -120,8 +150,8 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str, str]]:
 def _direct(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     """The mentions that :data:`PATTERNS` find; after a match that is cut or left out the search goes on inside it."""
     after = 0
-    while found := _ALL.search(text, after):
-        kind, start, end = found.lastgroup, found.start(), found.end()
+    while found := (after and _MAIL_HERE.match(text, after)) or _ALL.search(text, after):
+        kind, start, end = found.lastgroup or "email", found.start(), found.end()
         after = end
         if kind == "ip" and any(int(part) > 255 for part in found.group().split(".")):
             continue
@@ -151,10 +181,13 @@ def _direct(text: str) -> Iterator[tuple[int, int, str, str, str]]:
                 after = found.start() + len(first)
                 continue
             given = name.split()[0]
-            gender = _GENDER_OF.get(given) or TITLES.get(title, "n")
+            told = (_GENDER_OF[part] for part in [given, *re.split("[-'’]", given)] if part in _GENDER_OF)
+            gender = next(told, None) or TITLES.get(title, "n")
             yield start, end, kind, f"{gender}/{script_of(name)}/{len(name.split())}", " ".join(name.split())
         elif kind == "email":
             yield start, end, kind, "", found.group().lower()
+        elif kind == "phone":
+            yield start, end, kind, "+" if text[start] == "+" else "", re.sub(r"\D", "", found.group())
         else:
             yield start, end, kind, "", re.sub(r"\D" if kind != "ip" else r"[^\d.]", "", found.group())
 
@@ -194,8 +227,8 @@ _SYLLABLES = {
 
 
 def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str:
-    """A value of the same type, script, gender, length of digits; Luhn-valid where the value is."""
-    draw = _Stream(key, kind, form, value, str(attempt))
+    """A value of the same type, script, gender, length of digits, country code; Luhn-valid where the value is."""
+    draw = _Stream(key, kind, value, str(attempt))
 
     def word(script: str, least: int) -> str:
         some = _SYLLABLES[script]
@@ -219,6 +252,8 @@ def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str
         family = word(script, 3 + min(attempt, 3)).capitalize()
         return family if parts == "1" else f"{given} {family}"
     keep = 1 if kind == "phone" and len(value) > 10 else 0
+    if form == "+":
+        keep = next((n for n in (1, 2) if value[:n] in SHORT_CODES), 3)
     digits = value[:keep] + "".join(str(draw.below(10)) for _ in value[keep:])
     if kind == "card" and _luhn(value) == 0:
         digits = next(digits[:-1] + str(d) for d in range(10) if _luhn(digits[:-1] + str(d)) == 0)
@@ -227,6 +262,8 @@ def surrogate(kind: str, form: str, value: str, key: bytes, attempt: int) -> str
 
 def written(kind: str, original: str, new: str) -> str:
     """The surrogate in the format of the text: blanks, hyphens, brackets and capitals stay, a surname alone is one."""
+    if new.startswith("["):  # no surrogate was left
+        return new
     if kind == "name" and " " not in original:
         new = new.split()[-1]
     if kind in ("email", "ip", "ip6", "name"):
@@ -253,12 +290,29 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
+def settled(found: DataFrame) -> DataFrame:
+    """``kind, value, form``: each entity once, with the form that all its mentions tell.
+
+    A name is of the gender that a mention tells, unless another tells the other one;
+    a number has a country code if it is written with one anywhere.
+    """
+    tells = {g: F.max((F.col("kind") == "name") & F.col("form").startswith(g)) for g in "fm"}
+    entities = found.groupBy("kind", "value").agg(
+        F.max("form").alias("form"), tells["f"].alias("_f"), tells["m"].alias("_m")
+    )
+    gender = F.when(F.col("_f") == F.col("_m"), "n").when(F.col("_f"), "f").otherwise("m")
+    form = F.when(F.col("kind") == "name", F.concat(gender, F.substring("form", 2, 1000))).otherwise(F.col("form"))
+    return entities.select("kind", "value", form.alias("form"))
+
+
 def distinct_surrogates(entities: DataFrame, key: str, max_attempts: int = 20) -> DataFrame:
-    """``kind, form, value`` with a ``surrogate`` that no other entity has, nor is one of the values.
+    """``kind, value, form`` with a ``surrogate`` that no other entity has, nor is one of the values.
 
     Every round draws surrogates for the entities still without; of those that drew
     the same, the least value keeps it. What is taken in a round stays taken. Whether
-    a surrogate is itself a value in the texts is checked against all entities.
+    a surrogate is itself a value in the texts is checked against all entities. Should
+    the values of a type be so many that ``max_attempts`` rounds leave some without,
+    those get their type and a keyed digest in square brackets.
     """
     secret = key.encode()
 
@@ -277,7 +331,7 @@ def distinct_surrogates(entities: DataFrame, key: str, max_attempts: int = 20) -
             done.select(F.col("kind").alias("_kind"), F.col("surrogate").alias("_value"))
         )
         clash = (F.col("kind") == F.col("_kind")) & (F.col("surrogate") == F.col("_value"))
-        first = Window.partitionBy("kind", "surrogate").orderBy("value", "form")
+        first = Window.partitionBy("kind", "surrogate").orderBy("value")
         tried = tried.withColumn("_nth", F.row_number().over(first)).join(
             taken.distinct().withColumn("_taken", F.lit(True)), clash, "left"
         )
@@ -288,15 +342,17 @@ def distinct_surrogates(entities: DataFrame, key: str, max_attempts: int = 20) -
         left = tried.filter(~good).drop("_nth", "_taken", "surrogate")
         if left.isEmpty():
             return done
-    raise RuntimeError(f"surrogates still collide after {max_attempts} attempts")
+    digest = F.sha2(F.concat_ws("\0", F.lit(key), "kind", "value"), 256)
+    rest = left.withColumn("surrogate", F.concat(F.lit("["), "kind", F.lit("-"), F.substring(digest, 1, 32), F.lit("]")))
+    return rest if done is None else done.unionByName(rest)
 
 
 def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, personal data in ``text`` replaced; adds ``n_replaced``.
 
     Addresses, IP numbers, phone, social security and card numbers and names are
-    found by :data:`PATTERNS`. An entity gets the same surrogate wherever it stands
-    and no two entities share one; see :func:`distinct_surrogates`. Surrogates
+    found by :data:`PATTERNS`. An entity, that is a value of a type, gets the same surrogate
+    wherever it stands and no two entities share one; see :func:`distinct_surrogates`. Surrogates
     depend on the key and the set of entities alone. Documents without a hint of
     an entity go through as they are; the others meet their replacements by doc_id
     and a hash of the text. Null and empty texts stay; rows that repeat get the
@@ -312,11 +368,11 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
     found = materialize(
         rows.filter("_hint").select("doc", "hash", "text").mapInArrow(_find, FOUND), "personal-found"
     )
-    entities = found.select("kind", "form", "value").distinct()
-    chosen = distinct_surrogates(entities, key).withColumnsRenamed({c: f"_{c}" for c in ("kind", "form", "value")})
-    equal = [F.col(c) == F.col(f"_{c}") for c in ("kind", "form", "value")]
+    entities = materialize(settled(found), "personal-entities")
+    chosen = distinct_surrogates(entities, key).select(F.col("kind").alias("_kind"), F.col("value").alias("_value"), "surrogate")
+    equal = [F.col(c) == F.col(f"_{c}") for c in ("kind", "value")]
     by_document = (
-        found.join(chosen, equal[0] & equal[1] & equal[2])
+        found.join(chosen, equal[0] & equal[1])
         .groupBy(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"))
         .agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind", "original", "surrogate"))).alias("_found"))
     )

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from rillflow.llm import curriculum, hashtree
@@ -162,5 +163,41 @@ def test_empty_table_of_shards(spark):
     assert placed(spark, [], hashtree.regular_tree(16)) == []
 
 
-def test_draws_are_exponential():
+def drawn_plainly(key, tree, seed=5):
+    """Region, rack and shard by the definition: at each level the least exponential draw."""
+
+    def hashed(*parts):
+        h = 42
+        for part in parts:
+            raw = part.to_bytes(4, "little") if isinstance(part, int) else part.encode()
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+        return h
+
+    def least(children):
+        if len(children) == 1:
+            return children[0][0]
+        rate = {n: -math.log((hashed(seed, str(n), key) >> 11) / 2**53 + 2.0**-54) / w for n, w in children}
+        return min(rate, key=rate.get)
+
+    def weight(node):
+        return sum(map(weight, node.values())) if isinstance(node, dict) else node
+
+    def children(node):
+        return [(n, weight(below)) for n, below in node.items() if weight(below) > 0]
+
+    region = least(children(tree))
+    rack = least(children(tree[region]))
+    return region, rack, least(children(tree[region][rack]))
+
+
+def test_draws_against_the_definition(spark):
+    rows = [(i, "", None) for i in range(-500, 1500)] + [(None, "", None)]
+    uneven = {"r1": {"k1": {0: 1.0, 1: 3.0}, "k2": {2: 2.0}}, "r2": {"k3": {3: 2.0, 4: 0.0}}, "r3": {"k4": {5: 0.0}}}
+    for tree in (uneven, hashtree.regular_tree(17)):
+        for r in placed(spark, rows, tree):
+            key = "\0null" if r.doc_id is None else str(r.doc_id)
+            assert (r.region, r.rack, r.shard) == drawn_plainly(key, tree)
+
+
+def test_a_grown_tree_has_a_shard_more():
     assert math.isclose(sum(1.0 for r in hashtree.regular_tree(17).values() for k in r.values() for _ in k), 17)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -126,6 +127,88 @@ def test_no_value_of_the_documents_is_left(spark):
         assert bool(values) == (got[doc_id].text != text)
 
 
+PEOPLE = [
+    "Dr Zorb Kim and Mr Zorb Kim, Mrs Kim",
+    "John Smith met Mr Smith. Dr Smith said so. Smith left. JOHN SMITH came, SMITH went.",
+    "Mr Smith, then Sarah Smith, Mrs Smith, Ms Smith",
+    "Anna-Lena Müller, Jean-Pierre Dupont and 'Lena Müller' with Mr Xu-Paul Berg",
+    "+49 170 1234567, +1 (555) 123-4567, +423 234 5678, 491701234567",
+    "+49 170 1234567x@left.example.org",
+]
+
+
+def test_a_person_has_one_surrogate(spark):
+    got = replaced(spark, [(i, t, "s") for i, t in enumerate(PEOPLE)])
+    doctor, mister, missis = re.match(r"Dr (\w+ \w+) and Mr (\w+ \w+), Mrs (\w+)$", got[0].text).groups()
+    assert doctor == mister and doctor.split()[0] in surrogates.GIVEN["m", "latin"] and missis != doctor.split()[1]
+    whole = re.match(r"(\w+ (\w+)) met Mr (\w+). Dr (\w+) said so. (\w+) left. (\w+ \w+) came, (\w+) went.$", got[1].text)
+    name, family, *others, capitals, alone = whole.groups()
+    assert set(others) == {family} and capitals == name.upper() and alone == family.upper()
+    mr, sarah, *mrs = re.match(r"Mr (\w+), then \w+ (\w+), Mrs (\w+), Ms (\w+)$", got[2].text).groups()
+    assert set(mrs) == {sarah} and mr != sarah
+    assert not any(n in got[3].text for n in ("Anna-", "Müller", "Jean", "Pierre", "Dupont", "Paul", "Berg", "Xu"))
+    first, second, third, plain = re.match(r"\+49 (.{11}), \+1 (.{14}), \+423 (.{8}), (\d{12})$", got[4].text).groups()
+    assert plain.startswith("4917012") or plain == "49" + first.replace(" ", "")
+    assert (first, second, third) != ("170 1234567", "(555) 123-4567", "234 5678")
+    assert "left" not in got[5].text and "1234567" not in got[5].text
+
+
+def plainly_replaced(texts, key):
+    """The same by dictionaries: all entities at once, round by round."""
+    found = {i: list(surrogates.mentions(t or "")) for i, t in texts.items()}
+    forms = {}
+    for places in found.values():
+        for *_, kind, form, value in places:
+            forms.setdefault((kind, value), set()).add(form)
+    left = {}
+    for (kind, value), told in forms.items():
+        form = max(told)
+        if kind == "name":
+            genders = {f[0] for f in told} - {"n"}
+            form = (genders.pop() if len(genders) == 1 else "n") + form[1:]
+        left[kind, value] = form
+    taken, chosen, attempt = set(forms), {}, 0
+    while left:
+        drawn = {}
+        for (kind, value), form in sorted(left.items()):
+            new = surrogates.surrogate(kind, form, value, key.encode(), attempt)
+            drawn.setdefault((kind, new), value)
+        won = {(kind, value): new for (kind, new), value in drawn.items() if (kind, new) not in taken}
+        taken |= {(kind, new) for (kind, _), new in won.items()}
+        chosen |= won
+        left = {entity: form for entity, form in left.items() if entity not in won}
+        attempt += 1
+    result = {}
+    for i, text in texts.items():
+        for start, end, kind, _, value in reversed(found[i]):
+            text = text[:start] + surrogates.written(kind, text[start:end], chosen[kind, value]) + text[end:]
+        result[i] = text
+    return result
+
+
+def test_against_dictionaries(spark):
+    texts = dict(duckdb.sql("select doc_id, text from '/root/testdata/sf0.01/documents.parquet'").fetchall())
+    texts |= {-1 - i: t for i, t in enumerate([*PEOPLE, *TEXTS.values()])}
+    texts |= {-1000 - i: f"Mr John Miller{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]} called" for i in range(100)}
+    got = replaced(spark, [(i, t, "s") for i, t in texts.items()])
+    assert {i: r.text for i, r in got.items()} == plainly_replaced(texts, KEY)
+
+
+def test_a_type_without_any_value_left(spark):
+    rows = [("phone", "", str(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "kind string, form string, value string")
+    got = surrogates.distinct_surrogates(df, KEY, 2).collect()
+    assert len({r.surrogate for r in got}) == 10 and all(re.fullmatch(r"\[phone-[0-9a-f]{32}\]", r.surrogate) for r in got)
+    assert surrogates.written("phone", "5", got[0].surrogate) == got[0].surrogate
+
+
+def test_long_runs_without_blanks_take_linear_time():
+    for run in ("a" * 1_000_000, "Aa-" * 300_000, "a.b-" * 250_000):
+        start = time.process_time()
+        assert list(surrogates.mentions(run)) == []
+        assert time.process_time() - start < 10  # a quadratic search takes minutes
+
+
 # Secrets
 
 
