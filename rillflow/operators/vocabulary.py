@@ -87,6 +87,22 @@ def decay_contenders(contenders: DataFrame) -> DataFrame:
     return contenders.select("word", (F.col("n") - 1).alias("n")).filter("n >= 1")
 
 
+def live_count(decays: int) -> Column:
+    """What is left of ``n``, counted when ``decays`` decays were done, after so many of them; 0 is gone."""
+    return F.greatest(F.col("n") - (F.lit(decays) - F.col("decays")), F.lit(0)).cast("bigint")
+
+
+def changed_contenders(seen: DataFrame, stored: DataFrame, decays: int) -> DataFrame:
+    """The words of a batch (``seen``, distinct) with their counts: ``word, before, n``.
+
+    ``stored(word, n, decays)`` need only have the rows of these words. It is not
+    rewritten for a decay: each row says how many decays it has gone through.
+    """
+    found = stored.select("word", live_count(decays).alias("before"))
+    before = F.coalesce("before", F.lit(0)).cast("bigint")
+    return seen.select("word").join(found, "word", "left").select("word", before.alias("before"), (before + 1).alias("n"))
+
+
 def admit(contenders: DataFrame, vocab_size: int, length: int,
           above: int = ADMIT_ABOVE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Contenders counted more than ``above`` times become words.

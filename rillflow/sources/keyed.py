@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -111,8 +111,8 @@ def _newest(parts: list[DataFrame], key: list[str]) -> DataFrame:
     return newest.select(*key, *[F.col(f"_row.{c}").alias(c) for c in names])
 
 
-def lookup(spark: SparkSession, path: str, key: list[str], wanted: DataFrame) -> DataFrame:
-    """The current rows of the keys in ``wanted`` (its columns ``key``), read from their buckets only.
+def lookup(spark: SparkSession, path: str, key: list[str], wanted: DataFrame, before: int | None = None) -> DataFrame:
+    """The current rows (before version ``before``) of the keys in ``wanted``, read from their buckets only.
 
     The driver takes the numbers of the buckets asked for, of which there are no
     more than the table has, and up to LISTED_KEYS keys of one column, which go to
@@ -122,7 +122,7 @@ def lookup(spark: SparkSession, path: str, key: list[str], wanted: DataFrame) ->
     buckets is read whole.
     """
     asked = materialize(wanted.select(*key).dropna().distinct(), "keys-asked")
-    parts = _parts(spark, path)
+    parts = _parts(spark, path, before)
     if buckets := _buckets(spark, path):
         numbers_asked = [r[0] for r in asked.select(_bucket_of(key, buckets)).distinct().collect()]
         parts = [part.filter(F.col(BUCKET).isin(numbers_asked)) for part in parts]
@@ -134,11 +134,12 @@ def lookup(spark: SparkSession, path: str, key: list[str], wanted: DataFrame) ->
 
 
 def upsert(df: DataFrame, path: str, key: list[str], batch: int, full_every: int = 50,
-           writer: str = "") -> None:
+           writer: str = "", alive: Column | None = None) -> None:
     """Set the rows of ``df`` (one per key) in the table at ``path`` as batch ``batch`` of ``writer``.
 
     The marker is written first: a crash after it leaves an unfinished folder,
-    which the replay overwrites.
+    which the replay overwrites. A full version keeps only the rows that are
+    ``alive``; until then readers see the others too.
     """
     spark = df.sparkSession
     version = version_for(spark, path, writer, batch)
@@ -148,6 +149,8 @@ def upsert(df: DataFrame, path: str, key: list[str], batch: int, full_every: int
         return
     old = read_table(spark, path, key, before=version)
     merged = old.join(df.select(*key), key, "left_anti").unionByName(df.select(*old.columns))
+    if alive is not None:
+        merged = merged.filter(alive)
     _write(merged, path, f"full/version={version}", key)
     _forget(spark, path, last_finished(spark, f"{path}/full", "version", version))
 

@@ -1,8 +1,10 @@
 """Training word vectors on a stream of short texts, batch by batch.
 
-The state lies in ``vocab``, ``weights`` and ``contenders``, one folder per version
-that changed it, in the keyed table ``metrics`` and in the file ``done``, which names
-the last finished version and is written last. Versions are the state's own: a
+The state lies in ``vocab`` and ``weights``, one folder per version that changed it,
+in the keyed tables ``contenders`` and ``metrics`` and in the file ``done``, which names
+the last finished version and is written last. A batch sets the contenders it has
+seen and no others: a decay is a number in the metrics, which a contender's count is
+reduced by when it is read. Versions are the state's own: a
 batch gets the last finished one plus one, whatever its number in the stream, so a
 new checkpoint goes on from the state that is there. The file ``marker`` names the
 stream and batch of the version under way; a batch that is replayed finds itself
@@ -19,19 +21,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.embedding import train_step
 from rillflow.operators.vocabulary import (
-    ADMIT_ABOVE, admit, count_contenders, decay_contenders, kept_texts, new_words,
+    ADMIT_ABOVE, admit, changed_contenders, kept_texts, live_count, new_words,
 )
 from rillflow.session import materialize, scratch_scope
-from rillflow.sources.keyed import create_table, read_table, upsert
+from rillflow.sources.keyed import create_table, lookup, read_table, upsert, version_for
 from rillflow.sources.paths import delete, last_finished, numbers, read_text, write_text
 from rillflow.streaming.running_mean import writer_of
 
 SCHEMAS = {
     "vocab": "word string, id int, vector array<double>",
     "weights": "id int, vector array<double>",
-    "contenders": "word string, n bigint",
 }
-METRICS_SCHEMA = "batch bigint, n_words bigint, n_contenders bigint, n_texts bigint"
+#: ``decays``: how many there had been when ``n`` was set. An admitted word has n = 0.
+CONTENDERS_SCHEMA = "word string, n bigint, decays bigint"
+METRICS_SCHEMA = "batch bigint, n_words bigint, n_contenders bigint, n_texts bigint, n_decays bigint"
 
 
 @dataclass(frozen=True)
@@ -64,6 +67,7 @@ def create_state(spark: SparkSession, state: str, snapshots: str | None = None)
     if last_version(spark, state) is not None:
         return
     create_table(spark, f"{state}/metrics", METRICS_SCHEMA)
+    create_table(spark, f"{state}/contenders", CONTENDERS_SCHEMA)
     if snapshots and last_finished(spark, f"{snapshots}/w", "batch") is not None:
         for name, df in load_snapshot(spark, snapshots).items():
             df.write.mode("overwrite").parquet(f"{state}/{name}/batch=-1")
@@ -71,7 +75,7 @@ def create_state(spark: SparkSession, state: str, snapshots: str | None = None)
 
 
 def load_state(spark: SparkSession, state: str, before: int | None = None) -> dict[str, DataFrame]:
-    """The tables after the last finished version (before version ``before``).
+    """The tables after the last finished version, or before it if that is ``before`` (a replay).
 
     A table that no version has written is empty; a state that was never created is an error.
     """
@@ -80,6 +84,9 @@ def load_state(spark: SparkSession, state: str, before: int | None = None) -> di
         raise FileNotFoundError(f"no training state at {state}")
     if before is not None:
         done = min(done, before - 1)
+    _, decays = _counts_after(spark, state, done)
+    stored = read_table(spark, f"{state}/contenders", ["word"], before=_contenders_before(spark, state, done + 1))
+    live = stored.select("word", live_count(decays).alias("n")).filter("n > 0")
     tables = {}
     for name, schema in SCHEMAS.items():
         version = last_finished(spark, f"{state}/{name}", "batch", before=done + 1)
@@ -87,7 +94,18 @@ def load_state(spark: SparkSession, state: str, before: int | None = None) -> di
             tables[name] = spark.read.schema(schema).parquet(f"{state}/{name}/batch={version}")
         else:
             tables[name] = spark.createDataFrame([], schema)
-    return tables
+    return tables | {"contenders": live}
+
+
+def _counts_after(spark: SparkSession, state: str, version: int) -> tuple[int, int]:
+    """How many contenders there are after a version, and how many decays there were."""
+    row = read_table(spark, f"{state}/metrics", ["batch"]).filter(F.col("batch") == version).first()
+    return (row.n_contenders, row.n_decays) if row else (0, 0)
+
+
+def _contenders_before(spark: SparkSession, state: str, version: int) -> int:
+    """The version of the contenders that ``version``, the newest or the one to come, sets."""
+    return version_for(spark, f"{state}/contenders", "", version)
 
 
 def save_snapshot(tables: dict[str, DataFrame], path: str, number: int, keep: int = 2) -> None:
@@ -146,33 +164,42 @@ def _process(kept: DataFrame, version: int, tables: dict[str, DataFrame], state:
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(SCHEMAS[name]).parquet(path)
 
-    vocab, weights, contenders = tables["vocab"], tables["weights"], tables["contenders"]
-    changed = False
+    vocab, weights = tables["vocab"], tables["weights"]
+    n_contenders, decays = _counts_after(spark, state, version - 1)
+    table, changed = f"{state}/contenders", False
+    decayed = decays + bool(version and version % settings.decay_every == 0)
     if n_texts:
-        seen = new_words(kept, vocab)
-        counted = materialize(count_contenders(contenders, seen), "contenders")
+        seen = materialize(new_words(kept, vocab), "seen")
+        stored = lookup(spark, table, ["word"], seen, before=_contenders_before(spark, state, version))
+        counted = materialize(changed_contenders(seen, stored, decays), "contenders")
         if n_words:
             vocab, weights = train_step(
                 kept, vocab, weights, settings.rate, settings.context, settings.length,
                 n_texts=n_texts, n_words=n_words,
             )
             changed = True
-        n_ready = counted.filter(F.col("n") > settings.admit_above).count()
-        contenders = counted
+        ready = F.col("n") > settings.admit_above
+        n_ready, n_new, n_known = counted.agg(
+            F.count_if(ready), F.count_if(~ready & (F.col("before") == 0)), F.count_if(ready & (F.col("before") > 0))
+        ).first()
+        n_contenders += n_new - n_known
         if n_ready:
-            more, more_weights, contenders = admit(counted, n_words, settings.length, settings.admit_above)
+            more, more_weights, _ = admit(counted.select("word", "n"), n_words, settings.length, settings.admit_above)
             vocab = vocab.unionByName(more.select(*vocab.columns))
             weights = weights.unionByName(more_weights)
             n_words += n_ready
             changed = True
-    if version and version % settings.decay_every == 0:
-        contenders = decay_contenders(contenders)
+        now = counted.select("word", F.when(ready, 0).otherwise(F.col("n")).cast("bigint").alias("n"),
+                             F.lit(decays).cast("bigint").alias("decays"))
+        upsert(now, table, ["word"], version, alive=live_count(decayed) > 0)
+    if decayed > decays:
+        newest = read_table(spark, table, ["word"])
+        n_contenders = newest.filter(live_count(decayed) > 0).count()
     if changed:
         vocab, weights = save("vocab", vocab), save("weights", weights)
-    contenders = save("contenders", contenders)
     if snapshots and version and version % settings.snapshot_every == 0:
         save_snapshot({"vocab": vocab, "weights": weights}, snapshots, version, settings.keep_snapshots)
-    counts = spark.createDataFrame([(version, n_words, contenders.count(), n_texts)], METRICS_SCHEMA)
+    counts = spark.createDataFrame([(version, n_words, n_contenders, n_texts, decayed)], METRICS_SCHEMA)
     upsert(counts.coalesce(1), f"{state}/metrics", ["batch"], version)
     write_text(spark, f"{state}/done", str(version))
     for name in SCHEMAS:
@@ -208,4 +235,4 @@ def train_stream(texts: DataFrame, state: str, checkpoint: str, settings: Settin
 
 def read_metrics(spark: SparkSession, state: str) -> DataFrame:
     """One row per version: words known, contenders, texts kept."""
-    return read_table(spark, f"{state}/metrics", ["batch"])
+    return read_table(spark, f"{state}/metrics", ["batch"]).drop("n_decays")
