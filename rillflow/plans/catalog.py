@@ -12,7 +12,7 @@ from rillflow.operators import clustering, embedding, graph, layout, logs, neare
 from rillflow.operators.components import connected_components
 from rillflow.plans import views
 from rillflow.session import materialize, new_scratch
-from rillflow.sources import keyed, streams, tables, tags
+from rillflow.sources import feed, keyed, streams, tables, tags
 from rillflow.sources.paths import exists
 from rillflow.sources.logs import bad_lines, parse_lines, parse_report, read_access_log
 from rillflow.streaming import running_mean, training
@@ -238,6 +238,17 @@ def tags_set_members(spark: SparkSession, sf: str) -> DataFrame:
     return members.select("id", "set_id")
 
 
+def tags_link_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many documents each one is similar to, without a row for every pair."""
+    return similarity.link_counts(views.tagged_documents(spark, sf))
+
+
+def tags_set_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """The graph of sets: a row per set of tags with the sets it is similar to."""
+    g = similarity.set_graph(views.tagged_documents(spark, sf))
+    return graph.with_degrees(g).vertices.select("id", "n_members", "in_degree", "out_degree")
+
+
 def graph_pic_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Which documents are clustered."""
     return graph_pic(spark, sf).select("id")
@@ -324,6 +335,21 @@ def stream_running_avg(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_feed_means(spark: SparkSession, sf: str) -> DataFrame:
+    """The running means again, from a log that is read by row number."""
+    root = new_scratch(spark, "feed-mean")
+    line = F.concat_ws(",", "event_type", F.col("value").cast("string"))
+    for part in _slices(views.table(spark, sf, "events"), "event_id", 3):
+        feed.append(part.select(line.alias("value")), f"{root}/feed")
+        pairs = streams.keyed_numbers(feed.feed_rows(spark, f"{root}/feed", "value string", 50_000))
+        running_mean.write_running_mean(
+            pairs, f"{root}/avg", f"{root}/checkpoint", every=None
+        ).awaitTermination()
+    return running_mean.read_running_mean(spark, f"{root}/avg").select(
+        "word", F.round(F.col("count").cast("double"), 3).alias("mean")
+    )
+
+
 def stream_running_avg_trace(spark: SparkSession, sf: str) -> DataFrame:
     root = new_scratch(spark, "mean-trace")
     line = F.concat_ws(",", "event_type", F.col("value").cast("string"))
@@ -567,6 +593,8 @@ QUERIES: dict[str, Query] = {
     "tags_similar_graph": tags_similar_graph,
     "tags_similar_sets": tags_similar_sets,
     "tags_set_members": tags_set_members,
+    "tags_link_counts": tags_link_counts,
+    "tags_set_graph": tags_set_graph,
     "graph_hops": graph_hops,
     "graph_cheapest": graph_cheapest,
     "graph_pic": graph_pic,
@@ -577,6 +605,7 @@ QUERIES: dict[str, Query] = {
     "vec_requests": vec_requests,
     "stream_running_avg": stream_running_avg,
     "stream_running_avg_trace": stream_running_avg_trace,
+    "stream_feed_means": stream_feed_means,
     "keyed_upsert": keyed_upsert,
     "keyed_lookup": keyed_lookup,
     "stream_train_metrics": stream_train_metrics,

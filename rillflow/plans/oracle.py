@@ -106,6 +106,14 @@ pairs AS (
   WHERE (a.title <> b.title OR a.artist <> b.artist)
     AND n::DOUBLE > (len(a.tags) + len(b.tags) - n)::DOUBLE * CAST('0.7' AS DOUBLE))"""
 
+_SETS = (
+    "sets AS (SELECT min(id) AS set_id, list_sort(tags) AS tags FROM tagged WHERE len(tags) > 0 GROUP BY 2)",
+    "words AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM sets)",
+    "met AS (SELECT a.set_id AS a, b.set_id AS b, count(*) AS n, any_value(a.size + b.size) AS size FROM words a"
+    " JOIN words b ON a.tag = b.tag AND a.set_id < b.set_id GROUP BY 1, 2)",
+)
+_ALIKE = "n::DOUBLE > (size - n)::DOUBLE * CAST('0.7' AS DOUBLE)"
+
 _STRETCHED = (
     "coalesce((v - min(v) OVER ()) * 1125899906842624 // nullif(max(v) OVER () - min(v) OVER (), 0), 0)"
 )
@@ -372,12 +380,22 @@ ORACLES: dict[str, str] = {
     "tags_similar_pairs": _with(_TAGS, select="SELECT src, dst, round(score, 9) AS score FROM pairs"),
     "tags_similar_sets": _with(
         _TAGS,
-        "sets AS (SELECT min(id) AS set_id, list_sort(tags) AS tags FROM tagged WHERE len(tags) > 0 GROUP BY 2)",
-        "words AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM sets)",
-        "met AS (SELECT a.set_id AS a, b.set_id AS b, count(*) AS n, any_value(a.size + b.size) AS size FROM words a"
-        " JOIN words b ON a.tag = b.tag AND a.set_id < b.set_id GROUP BY 1, 2)",
+        *_SETS,
         select="SELECT a, b, round(n::DOUBLE / (size - n)::DOUBLE, 9) AS score FROM met"
-        " WHERE n::DOUBLE > (size - n)::DOUBLE * CAST('0.7' AS DOUBLE)",
+        f" WHERE {_ALIKE}",
+    ),
+    "tags_link_counts": _with(
+        _TAGS,
+        select="SELECT id, min(id) OVER (PARTITION BY list_sort(tags)) AS set_id, coalesce(n, 0) AS n_links"
+        " FROM tagged LEFT JOIN (SELECT src, count(*) AS n FROM pairs GROUP BY src) ON src = id WHERE len(tags) > 0",
+    ),
+    "tags_set_graph": _with(
+        _TAGS,
+        *_SETS,
+        f"alike AS (SELECT a, b FROM met WHERE {_ALIKE} UNION ALL SELECT b, a FROM met WHERE {_ALIKE})",
+        select="SELECT set_id AS id, n_members, coalesce(n, 0) AS in_degree, coalesce(n, 0) AS out_degree FROM"
+        " (SELECT min(id) AS set_id, count(*) AS n_members FROM tagged WHERE len(tags) > 0 GROUP BY list_sort(tags))"
+        " LEFT JOIN (SELECT a, count(*) AS n FROM alike GROUP BY a) ON a = set_id",
     ),
     "tags_set_members": _with(
         _TAGS,
@@ -444,6 +462,8 @@ ORACLES: dict[str, str] = {
     " FROM events GROUP BY 1",
     "stream_running_avg_trace": "SELECT event_id, event_type AS word, round(avg(value) OVER (PARTITION BY event_type"
     " ORDER BY event_id ROWS UNBOUNDED PRECEDING) + CAST('1e-9' AS DOUBLE), 6) AS mean FROM events",
+    "stream_feed_means": "SELECT event_type AS word, round(CAST(CAST(avg(value) AS FLOAT) AS DOUBLE), 3) AS mean"
+    " FROM events GROUP BY 1",
     "keyed_lookup": "SELECT user_id, max(event_id) AS last_event, max_by(value, event_id) AS value"
     " FROM events WHERE user_id % 50 = 0 GROUP BY user_id",
     "keyed_upsert": "SELECT user_id, max(event_id) AS last_event, max_by(value, event_id) AS value"

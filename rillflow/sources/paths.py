@@ -33,6 +33,20 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all. One that is there already is an error."""
+    write_text(spark, f"{path}.part", text)
+    fs, where = _open(spark, f"{path}.part")
+    if not fs.rename(where, _open(spark, path)[1]):
+        raise FileExistsError(path)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of all children, none without the folder."""
+    fs, where = _open(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """What :func:`write_text` wrote, None without the file."""
     fs, where = _open(spark, path)
@@ -47,11 +61,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """The ``N`` of all children ``<prefix>=N``, ascending; one listing."""
-    fs, where = _open(spark, path)
-    if not fs.exists(where):
-        return []
-    names = (status.getPath().getName() for status in fs.listStatus(where))
-    matches = (re.fullmatch(rf"{prefix}=(-?\d+)", name) for name in names)
+    matches = (re.fullmatch(rf"{prefix}=(-?\d+)", name) for name in names(spark, path))
     return sorted(int(match.group(1)) for match in matches if match)
 
 

@@ -1,0 +1,167 @@
+"""The numbered log: batches by row number, replays, clients that start again."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from rillflow.sources import feed, streams
+from rillflow.sources.keyed import read_table
+from rillflow.streaming import training
+from rillflow.streaming.running_mean import writer_of
+
+SCHEMA = "n bigint, word string"
+
+
+def put(spark, path, low, high, parts=1):
+    df = spark.range(low, high, 1, parts).select(F.col("id").alias("n"), F.concat(F.lit("w"), "id").alias("word"))
+    return feed.append(df, path)
+
+
+def drain(spark, path, checkpoint, fail=False, **options):
+    """The rows of each batch that comes until the log is at its end. The first batch may have none."""
+    got = []
+
+    def keep(batch, number):
+        found = rows(batch, "n", "word")
+        if found:
+            got.append(found)
+        if fail and found:
+            raise RuntimeError("lost")
+
+    query = (
+        feed.feed_rows(spark, path, SCHEMA, **options).writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).foreachBatch(keep).start()
+    )
+    try:
+        query.awaitTermination()
+    except Exception as error:
+        if not fail or "lost" not in str(error):
+            raise
+    return got
+
+
+def expected(low, high):
+    return sorted((n, f"w{n}") for n in range(low, high))
+
+
+def test_batches_replays_and_restarts(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "feed"), str(tmp_path / "cp")
+    assert drain(spark, path, checkpoint) == []  # nothing published yet
+    assert put(spark, path, 0, 25, parts=3) == 25
+    assert drain(spark, path, checkpoint, rows_per_partition=4) == [expected(0, 25)]
+    put(spark, path, 25, 30)
+    assert drain(spark, path, checkpoint, fail=True) == [expected(25, 30)]
+    put(spark, path, 30, 40)  # comes after the failed batch, which is read again as it was
+    assert drain(spark, path, checkpoint) == [expected(25, 30)]
+    assert drain(spark, path, checkpoint) == [expected(30, 40)]
+    assert drain(spark, path, checkpoint) == []
+    late = str(tmp_path / "late")
+    assert drain(spark, path, late, start="latest") == []
+    put(spark, path, 40, 41)
+    assert drain(spark, path, late, start="latest") == [expected(40, 41)]
+
+    feed.forget(spark, path, 30)  # the first two appends
+    assert drain(spark, path, str(tmp_path / "new")) == [expected(30, 41)]
+    (tmp_path / "feed" / "data" / "append=9").mkdir()  # an append that was never published
+    assert drain(spark, path, checkpoint) == [expected(40, 41)]
+
+
+def test_forgotten_rows_are_an_error(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "feed"), str(tmp_path / "cp")
+    put(spark, path, 0, 5)
+    drain(spark, path, checkpoint)
+    put(spark, path, 5, 9)
+    put(spark, path, 9, 12)
+    feed.forget(spark, path, 9)
+    with pytest.raises(Exception, match="not all there"):
+        drain(spark, path, checkpoint)
+    with pytest.raises(ValueError):
+        feed.feed_rows(spark, path, SCHEMA, start="somewhere")
+
+
+def test_types_nulls_and_column_order(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    schema = "t timestamp, d date, a array<string>, s struct<x:int,y:double>, m decimal(10,2)"
+    moment = datetime.datetime(2024, 2, 29, 12, 30, 1, 250)
+    data = [(moment, moment.date(), ["x", None], (1, 2.5), Decimal("3.00")), (None, None, None, None, None)]
+    df = spark.createDataFrame(data, schema)
+    feed.append(df.withColumn("extra", F.lit(1)).select("extra", *reversed(df.columns)).coalesce(1), path)
+    got = []
+    (
+        feed.feed_rows(spark, path, schema).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True).foreachBatch(lambda b, _: got.extend(b.collect())).start().awaitTermination()
+    )
+    assert sorted(got, key=repr) == sorted(df.collect(), key=repr)
+
+
+def test_a_client_goes_on_after_its_last_rows(spark, tmp_path):
+    path, posts = str(tmp_path / "feed"), [(i, f"w{i}") for i in range(7)]
+    lost = [True]
+
+    def poll(position):
+        if position == "3" and lost.pop():
+            raise ConnectionError
+        start = int(position or 0)
+        chosen = posts[start:start + 3]
+        return chosen, str(start + len(chosen))
+
+    assert feed.pull(spark, path, SCHEMA, poll) == 3
+    with pytest.raises(ConnectionError):
+        feed.pull(spark, path, SCHEMA, poll)
+    lost.append(False)
+    assert [feed.pull(spark, path, SCHEMA, poll) for _ in range(2)] == [3, 1]
+    assert feed.position(spark, path) == "7"
+    assert drain(spark, path, str(tmp_path / "cp")) == [expected(0, 7)]
+
+
+SETTINGS = training.Settings(length=3, admit_above=2, decay_every=3, every=None, rate=0.1)
+BATCHES = [["dog cat", "dog emu"], ["dog cat"], ["dog cow"], ["cat emu", "dog cow"], ["emu dog"]]
+
+
+def test_training_restarted_and_replayed_equals_an_uninterrupted_run(spark, tmp_path, monkeypatch):
+    """Counts, decays and admissions also equal those of a plain simulation."""
+    path = str(tmp_path / "feed")
+
+    def run(name):
+        root = tmp_path / name
+        texts = feed.feed_rows(spark, path, streams.SHORT_TEXT_SCHEMA)
+        training.train_stream(texts, str(root / "state"), str(root / "cp"), SETTINGS).awaitTermination()
+
+    def failing(*args):
+        done(*args)
+        raise RuntimeError("lost")
+
+    done, words, counts, metrics, doc = training._process, [], {}, [], 0
+    for number, batch in enumerate(BATCHES):
+        texts = [(doc + i, text, "en", None) for i, text in enumerate(batch)]
+        doc += len(batch)
+        feed.append(spark.createDataFrame(texts, streams.SHORT_TEXT_SCHEMA), path)
+        run("calm")
+        if number == 3:  # lost after its work, before the stream knew; then read again
+            with monkeypatch.context() as broken:
+                broken.setattr(training, "_process", failing)
+                with pytest.raises(Exception, match="lost"):
+                    run("stormy")
+        run("stormy")
+        for word in sorted({w for text in batch for w in text.split()} - set(words)):
+            counts[word] = counts.get(word, 0) + 1
+        ready = sorted(w for w, n in counts.items() if n > 2)
+        words += ready
+        decay = int(number > 0 and number % 3 == 0)
+        counts = {w: n - decay for w, n in counts.items() if w not in ready and n > decay}
+        metrics.append((number, len(words), len(counts), len(batch)))
+    calm, stormy = (str(tmp_path / name / "state") for name in ("calm", "stormy"))
+    for state in (calm, stormy):
+        assert rows(training.read_metrics(spark, state)) == metrics
+        tables = training.load_state(spark, state)
+        assert rows(tables["contenders"]) == sorted(counts.items())
+        assert [w for _, w in rows(tables["vocab"], "id", "word")] == words
+    a, b = (training.load_state(spark, state) for state in (calm, stormy))
+    for name in ("vocab", "weights"):
+        assert rows(a[name]) == rows(b[name])
+    stored = read_table(spark, f"{stormy}/contenders", ["word"])
+    assert stored.filter("n = 0").count() == len(words)  # what was admitted stays out
+    assert writer_of(spark, str(tmp_path / "calm" / "cp")) != writer_of(spark, str(tmp_path / "stormy" / "cp"))
