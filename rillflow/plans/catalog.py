@@ -13,7 +13,7 @@ from rillflow.operators.components import connected_components
 from rillflow.plans import views
 from rillflow.session import materialize, new_scratch
 from rillflow.sources import feed, keyed, streams, tables, tags
-from rillflow.sources.paths import exists
+from rillflow.sources.paths import delete, exists
 from rillflow.sources.logs import bad_lines, parse_lines, parse_report, read_access_log
 from rillflow.streaming import running_mean, training
 
@@ -471,13 +471,21 @@ def text_new_words_filtered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contender_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Batch after batch added to the counts of those before."""
+    """Batch after batch added to the counts of those before, which are stored in between.
+
+    As one plan all additions may share a task, each with a table of all words.
+    """
     seen = materialize(
         vocabulary.new_words(views.english_texts(spark, sf), views.no_words(spark), "batch"), "seen"
     )
+    root = new_scratch(spark, "contender-counts")
     counts = spark.createDataFrame([], "word string, n bigint")
     for batch in range(views.BATCHES):
-        counts = vocabulary.count_contenders(counts, seen.filter(F.col("batch") == batch))
+        added = vocabulary.count_contenders(counts, seen.filter(F.col("batch") == batch))
+        added.write.parquet(f"{root}/batch={batch}")
+        counts = spark.read.schema(added.schema).parquet(f"{root}/batch={batch}")
+        if batch:
+            delete(spark, f"{root}/batch={batch - 1}")
     return counts
 
 

@@ -34,3 +34,9 @@ def test_clustering_covers_the_connected_documents(spark):
     found = entry.queries()["graph_pic"](spark, SF)
     pairs = entry.queries()["tags_similar_pairs"](spark, SF)
     assert {r.id for r in found.collect()} == {r.src for r in pairs.collect()}
+
+
+def test_contenders_are_counted_batch_by_batch(spark):
+    """Not in one plan, whose additions would share a task."""
+    plan = entry.queries()["contender_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
