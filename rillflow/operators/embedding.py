@@ -11,7 +11,7 @@ after the counting, no work grows with the number of texts.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -198,8 +198,9 @@ def _dense_gradients(weights: pa.Table, words: pa.Table) -> pa.Table:
     )
 
 
-def _blocked(weights: DataFrame, words: DataFrame, n_words: int, block_rows: int | None):
-    """Both sides repeated so that each pair of blocks meets in one group.
+def _blocked(weights: DataFrame, words: DataFrame, n_words: int, block_rows: int | None,
+             work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``work`` on each pair of a block of weight rows and one of words.
 
     Weight rows come in blocks as large as a task holds; words in as many blocks
     as there are tasks, within limits.
@@ -211,16 +212,9 @@ def _blocked(weights: DataFrame, words: DataFrame, n_words: int, block_rows: int
     def own(size: int) -> Column:
         return F.floor(F.col("id") / size).cast("int")
 
-    def last(size: int) -> int:
-        return max(0, (n_words - 1) // size)
-
-    def every(size: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(last(size))))
-
     return pair_blocks(
-        weights.withColumn("a", own(rows)).withColumn("b", every(cols)),
-        words.withColumn("b", own(cols)).withColumn("a", every(rows)),
-        cells=(last(rows) + 1) * (last(cols) + 1),
+        weights.withColumn("_block", own(rows)), words.withColumn("_block", own(cols)),
+        (max(0, n_words - 1) // rows + 1, max(0, n_words - 1) // cols + 1), work, schema,
     )
 
 
@@ -233,8 +227,8 @@ def log_sums(vocab: DataFrame, weights: DataFrame, n_words: int,
     out first, so nothing overflows.
     """
     words = vocab.select("id", "vector")
-    parts = _blocked(weights.select("id", "vector"), words, n_words, block_rows).applyInArrow(
-        _log_sums, "id int, log_sum double"
+    parts = _blocked(
+        weights.select("id", "vector"), words, n_words, block_rows, _log_sums, "id int, log_sum double"
     )
     top = F.max("log_sum")
     merged = parts.groupBy("id").agg(top.alias("top"), F.collect_list("log_sum").alias("all"))
@@ -257,8 +251,9 @@ def gradients(totals: DataFrame, vocab: DataFrame, weights: DataFrame, n_words:
     if n_words > (block_rows or MAX_BLOCK_ROWS):
         words = active.join(log_sums(active, weights, n_words, block_rows), "id")
     dense = _blocked(
-        weights.select("id", "vector"), words, n_words, block_rows
-    ).applyInArrow(_dense_gradients, "side string, id int, grad array<double>")
+        weights.select("id", "vector"), words, n_words, block_rows,
+        _dense_gradients, "side string, id int, grad array<double>",
+    )
 
     def scaled(factor: Column) -> Column:
         return F.transform("vector", lambda v: v * factor)

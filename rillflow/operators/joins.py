@@ -7,15 +7,16 @@ is quadratic, where no key may become one task's work.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
 
-#: Beyond so many partitions several cells share one; a parameter of :func:`pair_blocks`.
-CELL_PARTITIONS = 20_000
+#: Beyond so many partitions of a side several blocks share one; a parameter of :func:`pair_blocks`.
+SIDE_PARTITIONS = 400
 
 
 def crowded_keys(df: DataFrame, keys: Sequence[str], rows_per_chunk: int) -> DataFrame:
@@ -50,17 +51,28 @@ def replicate(df: DataFrame, crowded: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
-def pair_blocks(left: DataFrame, right: DataFrame, cells: int, most: int = CELL_PARTITIONS):
-    """Group two sides by their block numbers ``a`` and ``b``, cell by cell.
+def pair_blocks(left: DataFrame, right: DataFrame, blocks: tuple[int, int],
+                work: Callable[[pa.Table, pa.Table], pa.Table], schema: str, most: int = SIDE_PARTITIONS) -> DataFrame:
+    """``work`` on each block of the left rows with each of the right; ``_block`` numbers a row's.
 
-    A cell is much work on few bytes, so the number of partitions follows the
-    number of cells, up to ``most``, and is not left to be merged by size.
+    Every row is shuffled once and packed into its block; blocks meet in a product, pair
+    by pair, and no row is repeated for it. ``blocks`` are their numbers on either side.
+    A pair is much work on few bytes, so the number of partitions follows them.
     """
-    n = min(2 * cells, most)
-    return (
-        left.repartition(n, "a", "b").groupBy("a", "b")
-        .cogroup(right.repartition(n, "a", "b").groupBy("a", "b"))
-    )
+
+    def packed(rows: DataFrame, n: int, name: str) -> DataFrame:
+        row = F.struct(*[c for c in rows.columns if c != "_block"])
+        dealt = rows.repartition(max(1, min(2 * n, most)), "_block")
+        return dealt.groupBy("_block").agg(F.collect_list(row).alias(name)).select(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = (pa.Table.from_struct_array(c.slice(i, 1).flatten()) for c in batch.columns)
+                yield from work(*sides).to_batches()
+
+    pairs = packed(left, blocks[0], "left").hint("shuffle_replicate_nl").crossJoin(packed(right, blocks[1], "right"))
+    return pairs.mapInArrow(run, schema)
 
 
 def fits(df: DataFrame, max_bytes: int, size: Column) -> bool:

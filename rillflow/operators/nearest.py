@@ -103,18 +103,12 @@ def _by_blocks(known: DataFrame, vectors: DataFrame, key: str, vector: str, n_qu
     n_left = max(1, -(-n_queries // queries_per_block))
     n_right = max(1, -(-vectors.count() // vectors_per_block))
 
-    def blocks(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    def block(column: str, n: int):
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int").alias("_block")
 
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = known.withColumn("a", blocks("query", n_left)).withColumn("b", every(n_right))
-    right = vectors.select(
-        F.col(key).alias("key"), F.col(vector).alias("vector"),
-        blocks(key, n_right).alias("b"), every(n_left).alias("a"),
-    )
-    return pair_blocks(left, right, cells=n_left * n_right).applyInArrow(_closest_in_block, schema)
+    left = known.select("query", "n", "point", block("query", n_left))
+    right = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"), block(key, n_right))
+    return pair_blocks(left, right, (n_left, n_right), _closest_in_block, schema)
 
 
 def nearest_many(

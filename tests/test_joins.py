@@ -1,7 +1,8 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import rows
-from rillflow.operators.joins import SALT, crowded_keys, fits, replicate, spread
+from rillflow.operators.joins import SALT, crowded_keys, fits, pair_blocks, replicate, spread
 from rillflow.operators.numbering import dense_ids
 
 
@@ -39,3 +40,19 @@ def test_dense_ids(spark):
     df = dense_ids(spark.createDataFrame(words, "word string").repartition(7), ["word"], start=5)
     assert rows(df) == [(f"w{i:04d}", i + 5) for i in range(1000)]
     assert rows(dense_ids(spark.createDataFrame([], "word string"), ["word"])) == []
+
+
+def test_blocks_meet_without_repeated_rows(spark):
+    left = spark.range(40).select("id", (F.col("id") % 5).cast("int").alias("_block"))
+    right = spark.range(30).select("id", (F.col("id") % 7).cast("int").alias("_block"))
+
+    def work(one, other):
+        assert one.num_rows == 8 and other.num_rows in (4, 5)
+        return pa.table({"n": [one.num_rows * other.num_rows], "s": [sum(one["id"].to_pylist())]})
+
+    pairs = pair_blocks(left, right, (5, 7), work, "n bigint, s bigint")
+    got = pairs.collect()
+    assert len(got) == 35 and sum(r.n for r in got) == 1200 and sum(r.s for r in got) == 780 * 7
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan
+    assert pair_blocks(left.limit(0), right, (1, 7), work, "n bigint, s bigint").count() == 0
