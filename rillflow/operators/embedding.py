@@ -30,6 +30,10 @@ MAX_BLOCK_ROWS = 16_384
 MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024
 SLICE_WORDS = 1 << 19
+#: Pairs of words whose sums a task holds before it hands them on, and blocks of ids the sums travel in.
+MAX_HELD_PAIRS = 1 << 22
+MAX_ID_BLOCKS = 2_048
+CODEC = "zstd"
 
 
 def occurrences(texts: DataFrame, vocab: DataFrame, sift: bool = False) -> DataFrame:
@@ -84,62 +88,139 @@ def context_totals(targets: DataFrame) -> DataFrame:
     )
 
 
-def _batch_sums(doc: np.ndarray, ids: np.ndarray, size: int) -> pa.RecordBatch:
-    """The totals over some texts: ``ids`` are their known words in order, ``doc`` the text of each."""
+def _summed(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of equal keys added up, by ascending key; keys are 0 or more."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(weight[order], first) if len(first) else weight
+
+
+def _batch_sums(doc: np.ndarray, ids: np.ndarray, size: int, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
+    """The totals over some texts: ``ids`` (below ``n_ids``) are their known words in order, ``doc`` the text of each.
+
+    A pair is the number id * (n_ids + 1) + context; ``n_ids`` as context counts the occurrences.
+    """
     steps = [step for k in range(1, size + 1) for step in (k, -k)]
     near = np.full((len(steps), len(ids)), -1, np.int64)
     for row, step in zip(near, steps):
         here, there = (slice(None, -step), slice(step, None)) if step > 0 else (slice(-step, None), slice(None, step))
         row[here] = np.where(doc[here] == doc[there], ids[there], -1)
-    value = 1.0 / np.maximum((near >= 0).sum(axis=0), 1)
+    positions = (near >= 0).sum(axis=0)
     for at in range(1, len(steps)):  # a word that fills two positions is set once
         near[at, (near[:at] == near[at]).any(axis=0)] = -1
     _, place = np.nonzero(near >= 0)
-    width = int(ids.max(initial=0)) + 1
-    pairs, group = np.unique(ids[place] * width + near[near >= 0], return_inverse=True)
+    kinds = len(steps) + 1  # pair and number of positions in one number: sorted plainly, then counted
+    keys = (ids[place] * (n_ids + 1) + near[near >= 0]) * kinds + positions[place]
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    weight = np.diff(first, append=len(keys)) / (keys[first] % kinds)
     words, counts = np.unique(ids, return_counts=True)
-    context = pa.concat_arrays([pa.array(pairs % width, pa.int32()), pa.nulls(len(words), pa.int32())])
-    weight = np.concatenate([np.bincount(group, value[place], len(pairs)), counts.astype("float64")])
+    return _summed(
+        np.concatenate([keys[first] // kinds, words * (n_ids + 1) + n_ids]), np.concatenate([weight, counts])
+    )
+
+
+def _packed(keys: np.ndarray, weight: np.ndarray, per_block: int) -> pa.RecordBatch:
+    """Ascending keys and their weights as a row per block of ``per_block`` keys, steps from key to key compressed."""
+    block = keys // per_block
+    cuts = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(keys)]
+    parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+
+    def column(values: Iterator[np.ndarray]) -> pa.Array:
+        return pa.array([pa.compress(v.tobytes(), codec=CODEC, asbytes=True) for v in values], pa.binary())
+
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([pairs // width, words]), pa.int32()), context, pa.array(weight, pa.float64())],
-        ["id", "context_id", "weight"],
+        [
+            pa.array(block[cuts[:-1]], pa.int32()), pa.array(np.diff(cuts), pa.int32()),
+            column(np.diff(keys[p], prepend=0) for p in parts), column(weight[p] for p in parts),
+        ],
+        ["id_block", "n", "keys", "weights"],
     )
 
 
+def _unpacked(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The keys and weights of each row of :func:`_packed`."""
+    for n, *parts in zip(*(rows[c].to_pylist() for c in ("n", "keys", "weights"))):
+        steps, weight = (pa.decompress(part, n * 8, codec=CODEC) for part in parts)
+        yield np.cumsum(np.frombuffer(steps, np.int64)), np.frombuffer(weight, np.float64)
+
+
+def _merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums over all parts; no more than a bounded number of pairs, or twice the result, is held."""
+    held, n, most = [], 0, MAX_HELD_PAIRS
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n > most:
+            held = [_summed(*map(np.concatenate, zip(*held)))]
+            n = len(held[0][0])
+            most = max(MAX_HELD_PAIRS, 2 * n)
+    return _summed(*map(np.concatenate, zip(*held)))
+
+
 def text_totals(texts: DataFrame, vocab: DataFrame, size: int,
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """:func:`context_totals` of all texts. A null text has no words.
 
-    A vocabulary of a checked size goes to the tasks, which number the words of a
-    batch of texts and sum its targets: only partial sums are shuffled, neither
-    texts nor words. A larger one is joined by word, after a filter of it has taken out
+    A vocabulary of a checked size goes to the tasks, which number the words of their
+    texts and sum the targets: only partial sums are shuffled, neither texts nor words.
+    They travel packed, a row per task and block of ids, and a block is summed at once.
+    A larger vocabulary is joined by word, after a filter of it has taken out
     what it surely lacks.
     """
     known = vocab.select("word", F.col("id").cast("int").alias("id"))
     if not fits(known, broadcast_bytes, word_bytes()):
         return context_totals(contexts(occurrences(texts, vocab, sift=True), size))
     table = known.toArrow()
-    words, numbers = table["word"].combine_chunks(), table["id"].to_numpy().astype("int64")
+    words = table["word"].combine_chunks()
+    numbers, ranks = np.unique(table["id"].to_numpy().astype("int64"), return_inverse=True)
+    n_ids = len(numbers)
+    per_block = math.ceil(max(1, n_ids) / MAX_ID_BLOCKS) * (n_ids + 1)
+
+    def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lists = batch.column("tokens")
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        start = 0
+        while start < len(lists):  # about so many words at once, a longer text alone
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + SLICE_WORDS, "right")))
+            part = lists.slice(start, end - start)
+            place = pc.index_in(part.flatten(), value_set=words)
+            there = pc.is_valid(place).to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(start, end), np.diff(ends[start:end], prepend=before))
+            yield _batch_sums(doc[there], ranks[pc.drop_null(place).to_numpy()], size, n_ids)
+            start = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("tokens")
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
-            start = 0
-            while start < len(lists):  # about so many words at once, a longer text alone
-                before = ends[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(ends, before + SLICE_WORDS, "right")))
-                part = lists.slice(start, end - start)
-                place = pc.index_in(part.flatten(), value_set=words)
-                there = pc.is_valid(place).to_numpy(zero_copy_only=False)
-                doc = np.repeat(np.arange(start, end), np.diff(ends[start:end], prepend=before))
-                yield _batch_sums(doc[there], numbers[pc.drop_null(place).to_numpy()], size)
-                start = end
+        held, n = [], 0
+        for sums in (sums for batch in batches for sums in slices(batch)):
+            held.append(sums)
+            n += len(sums[0])
+            if n > MAX_HELD_PAIRS:
+                held = [_merged(held)]
+                n = len(held[0][0])
+                if n > MAX_HELD_PAIRS // 2:
+                    yield _packed(*held[0], per_block)
+                    held, n = [], 0
+        if n:
+            yield _packed(*_merged(held), per_block)
+
+    def total(rows: pa.Table) -> pa.Table:
+        keys, weight = _merged(_unpacked(rows))
+        ids, around = np.divmod(keys, n_ids + 1)
+        counted = around == n_ids
+        around[counted] = 0
+        return pa.table({
+            "id": pa.array(numbers[ids], pa.int32()),
+            "context_id": pa.array(numbers[around], pa.int32(), mask=counted),
+            "weight": pa.array(weight, pa.float64()),
+        })
 
     parts = texts.select(tokens(F.col("text")).alias("tokens")).mapInArrow(
-        run, "id int, context_id int, weight double"
+        run, "id_block int, n int, keys binary, weights binary"
     )
-    return parts.groupBy("id", "context_id").agg(F.sum("weight").alias("weight"))
+    return parts.groupBy("id_block").applyInArrow(total, "id int, context_id int, weight double")
 
 
 def _rows(table: pa.Table, column: str) -> np.ndarray:

@@ -507,14 +507,21 @@ def vocab_admission(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _written_vocabulary(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    vocab, weights = views.first_vocabulary(spark, sf, LENGTH)
+def _written_vocabulary(spark: SparkSession, sf: str,
+                        texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    vocab, weights = views.first_vocabulary(spark, sf, LENGTH, texts)
     return materialize(vocab, "vocab"), materialize(weights, "weights")
 
 
+def _written_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The English texts, joined to their originals once for both the vocabulary and the step."""
+    return materialize(views.english_texts(spark, sf), "texts")
+
+
 def emb_context(spark: SparkSession, sf: str) -> DataFrame:
-    vocab, _ = _written_vocabulary(spark, sf)
-    totals = embedding.text_totals(views.english_texts(spark, sf), vocab, CONTEXT)
+    texts = _written_texts(spark, sf)
+    vocab, _ = _written_vocabulary(spark, sf, texts)
+    totals = embedding.text_totals(texts, vocab, CONTEXT)
     return totals.withColumn("weight", F.round("weight", 6))
 
 
@@ -525,8 +532,9 @@ def emb_softmax(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def emb_gradients(spark: SparkSession, sf: str) -> DataFrame:
-    vocab, weights = _written_vocabulary(spark, sf)
-    totals = embedding.text_totals(views.english_texts(spark, sf), vocab, CONTEXT)
+    texts = _written_texts(spark, sf)
+    vocab, weights = _written_vocabulary(spark, sf, texts)
+    totals = embedding.text_totals(texts, vocab, CONTEXT)
     grads = embedding.gradients(totals, vocab, weights, weights.count(), LENGTH)
     return grads.select("side", "id", F.posexplode("grad").alias("dim", "value")).withColumn(
         "value", F.round("value", 6)
@@ -534,10 +542,9 @@ def emb_gradients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def emb_train_step(spark: SparkSession, sf: str) -> DataFrame:
-    vocab, weights = _written_vocabulary(spark, sf)
-    vocab, weights = embedding.train_step(
-        views.english_texts(spark, sf), vocab, weights, RATE, CONTEXT, LENGTH
-    )
+    texts = _written_texts(spark, sf)
+    vocab, weights = _written_vocabulary(spark, sf, texts)
+    vocab, weights = embedding.train_step(texts, vocab, weights, RATE, CONTEXT, LENGTH)
     return _long(vocab, "id").withColumn("side", F.lit("x")).unionByName(
         _long(weights, "id").withColumn("side", F.lit("w"))
     )

@@ -168,15 +168,20 @@ def no_words(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "word string, id int, vector array<double>")
 
 
-def contenders(spark: SparkSession, sf: str) -> DataFrame:
-    """The contender counts after all batches, if none was admitted on the way."""
-    seen = new_words(english_texts(spark, sf), no_words(spark), "batch")
+def contenders(spark: SparkSession, sf: str, texts: DataFrame | None = None) -> DataFrame:
+    """The contender counts after all batches, if none was admitted on the way.
+
+    ``texts`` are the English texts, if the caller has them already.
+    """
+    texts = english_texts(spark, sf) if texts is None else texts
+    seen = new_words(texts, no_words(spark), "batch")
     return seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def first_vocabulary(spark: SparkSession, sf: str, length: int) -> tuple[DataFrame, DataFrame]:
+def first_vocabulary(spark: SparkSession, sf: str, length: int,
+                     texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The words of more than ten batches with their first vectors and weights."""
-    vocab, weights, _ = admit(contenders(spark, sf), 0, length)
+    vocab, weights, _ = admit(contenders(spark, sf, texts), 0, length)
     return vocab, weights
 
 

@@ -2,10 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import rows
 from rillflow.operators import embedding
+from rillflow.plans import catalog
 
 D, CONTEXT, RATE = 3, 2, 0.1
 
@@ -119,3 +121,73 @@ def test_only_sums_are_shuffled(spark):
     batch, vocab, _ = frames(spark, words, points, matrix, texts)
     plan = embedding.text_totals(batch, vocab, CONTEXT)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "hashpartitioning(id" in plan
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a plan wrote, once it ran; adaptive execution is off."""
+    df.collect()
+    found, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Exchange"):
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_sums_travel_packed(spark):
+    words, points, matrix, texts = setup(5)
+    batch, vocab, _ = frames(spark, words, points, matrix, texts * 3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        totals = embedding.text_totals(batch.coalesce(4), vocab, CONTEXT)
+        assert totals.count() > 4 * len(words)
+        assert 0 < shuffled_rows(totals) <= 4 * len(words)  # a row per task and block of ids
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("held, blocks", [(5, 2), (40, 3), (1 << 22, 1)])
+def test_sums_in_small_steps(spark, monkeypatch, held, blocks):
+    monkeypatch.setattr(embedding, "SLICE_WORDS", 11)
+    monkeypatch.setattr(embedding, "MAX_HELD_PAIRS", held)
+    monkeypatch.setattr(embedding, "MAX_ID_BLOCKS", blocks)
+    words, points, matrix, texts = setup(6)
+    ids = dict(zip(words, (7, 1_000_000_000, 0, 12, 2_000_000_000, 5, 12, 90, 3)))  # with gaps, one id twice
+    texts = spark.createDataFrame([*texts, (60, None)], "doc_id bigint, text string")
+    vocab = spark.createDataFrame(list(ids.items()), "word string, id int")
+    one, other = (
+        {(r.id, r.context_id): r.weight for r in embedding.text_totals(texts, vocab, CONTEXT, limit).collect()}
+        for limit in (3, 1 << 20)
+    )
+    assert one.keys() == other.keys() and one == pytest.approx(other)
+    assert embedding.text_totals(texts, vocab.limit(0), CONTEXT).count() == 0
+
+
+def test_merged_in_bounded_steps(monkeypatch):
+    monkeypatch.setattr(embedding, "MAX_HELD_PAIRS", 10)
+    rng = np.random.default_rng(0)
+    parts = []
+    for _ in range(30):
+        keys = np.unique(rng.integers(0, 60, 8))
+        parts.append((keys, rng.integers(1, 9, len(keys)) / 4))
+    packed = [embedding._packed(*part, 7) for part in parts]
+    keys, weight = embedding._merged(embedding._unpacked(pa.Table.from_batches(packed)))
+    expected = {}
+    for k, w in zip(*map(np.concatenate, zip(*parts))):
+        expected[k] = expected.get(k, 0) + w
+    assert dict(zip(keys, weight)) == expected and (np.diff(keys) > 0).all()
+    for rows in packed:
+        assert len(set(rows["id_block"].to_pylist())) == rows.num_rows
+
+
+def test_texts_are_joined_once(spark, tmp_path):
+    rows = [(i, " ".join(f"v{chr(97 + (i + j) % 7)}" for j in range(20)), "en") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    joined = []
+    english = catalog.views.english_texts
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog.views, "english_texts", lambda *a: joined.append(1) or english(*a))
+        got = catalog.emb_context(spark, str(tmp_path)).filter("context_id is null")
+        assert got.agg({"weight": "sum"}).first()[0] == 60 * 20
+    assert len(joined) == 1
