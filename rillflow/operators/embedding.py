@@ -29,9 +29,9 @@ from rillflow.session import materialize
 MAX_BLOCK_ROWS = 16_384
 MIN_BLOCK_WORDS = 512
 SLICE_ROWS = 1_024
-SLICE_WORDS = 1 << 19
+SLICE_WORDS = 1 << 18
 #: Pairs of words whose sums a task holds before it hands them on, and blocks of ids the sums travel in.
-MAX_HELD_PAIRS = 1 << 22
+MAX_HELD_PAIRS = 1 << 21
 MAX_ID_BLOCKS = 2_048
 CODEC = "zstd"
 
