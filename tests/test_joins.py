@@ -2,7 +2,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import rows
-from rillflow.operators.joins import SALT, crowded_keys, fits, pair_blocks, replicate, spread
+from rillflow.operators.joins import SALT, block_names, crowded_keys, fits, pair_blocks, replicate, spread
 from rillflow.operators.numbering import dense_ids
 
 
@@ -56,3 +56,12 @@ def test_blocks_meet_without_repeated_rows(spark):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" in plan and "Generate" not in plan
     assert pair_blocks(left.limit(0), right, (1, 7), work, "n bigint, s bigint").count() == 0
+
+
+def test_each_named_block_has_a_partition(spark):
+    """By their numbers several blocks would share one, and a task would hold the pairs of them all."""
+    for n, most in ((1, 400), (7, 400), (40, 400), (50, 20)):
+        names = block_names(n, most)
+        dealt = spark.createDataFrame([(i,) for i in names], "_block int").repartition(min(n, most), "_block")
+        held = dealt.groupBy(F.spark_partition_id()).count().collect()
+        assert len(set(names)) == n and max(r[1] for r in held) == -(-n // min(n, most))
